@@ -69,13 +69,18 @@ def null_div(num, den) -> Column:
 def round_half_away(x, n: int) -> Column:
     """Round half away from zero to ``n`` decimals.
 
-    Spark's ``round`` on doubles and other engines disagree on values such
-    as 1.005; this arithmetic form gives the same answer everywhere.
-    ``+ 0.0`` turns a negative zero into zero.
+    Engines disagree on ``round`` of doubles such as 1.005, and sums of the
+    same terms added in a different order differ in the last bits, which
+    flips values sitting exactly on a tie (frequent with small rational
+    inputs). So the value is first snapped to 9 decimals, then rounded with
+    plain arithmetic. Values too large to carry ``n`` fraction digits in a
+    double are returned unchanged (this also keeps ``floor`` inside the
+    long range). ``+ 0.0`` turns a negative zero into zero.
     """
-    x = _c(x)
+    x = F.round(_c(x), 9)
     scale = float(10**n)
-    return F.signum(x) * F.floor(F.abs(x) * F.lit(scale) + F.lit(0.5)) / F.lit(scale) + F.lit(0.0)
+    body = F.signum(x) * F.floor(F.abs(x) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+    return F.when(F.abs(x) * F.lit(scale) < F.lit(9.0e15), body).otherwise(x) + F.lit(0.0)
 
 
 def week_start(ts) -> Column:

@@ -226,22 +226,27 @@ def bridge_ht_worlds(cells: DataFrame, zero_hc: str = "maturity") -> DataFrame:
     active rep, "maturity" (the SQL rule) drops it from S2m; "headcount"
     keeps the target mix there, so the loss shows up as headcount.
     """
+    from pyspark.sql import Window as W
     ok = F.col("dias_pp_tg").isNotNull()
     s0 = F.col("tg_hc") * F.col("dias_pp_tg") * F.col("tg_prod")
     s1 = F.col("tg_hc") * F.col("dias_pp_tg") * F.col("prod_real")
     s2 = F.col("hc_real") * F.col("dias_pp_tg") * F.col("prod_real")
-    wc = cells.groupBy("q", "week", "country").agg(
-        F.sum(F.when(ok, F.col("tg_hc"))).alias("tg_hc_total"),
-        F.sum("hc_real").alias("hc_real_total"),
-        F.sum(F.when(ok, s0)).alias("s0"), F.sum(F.when(ok, s1)).alias("s1"),
-        F.sum(F.when(ok, s2)).alias("s2"), F.sum("stores_real").alias("s3"))
-    s2m = F.col("tg_hc_total") / F.nullif(F.col("hc_real_total"), F.lit(0)) * F.col("s2")
+    # Week-country totals via a window over at most three aging cells.
+    wcw = W.partitionBy("q", "week", "country")
+    c = (cells.withColumn("tg_hc_total", F.sum(F.when(ok, F.col("tg_hc"))).over(wcw))
+         .withColumn("hc_real_total", F.sum("hc_real").over(wcw)))
+    s2m = (F.col("tg_hc_total") * (F.col("hc_real") / F.nullif(F.col("hc_real_total"), F.lit(0)))
+           * F.col("dias_pp_tg") * F.col("prod_real"))
     if zero_hc == "headcount":
-        s2m = F.when(F.col("hc_real_total") == 0, F.col("s1")).otherwise(s2m)
+        s2m = F.when(F.col("hc_real_total") == 0, s1).otherwise(s2m)
     elif zero_hc != "maturity":
         raise ValueError("zero_hc must be 'maturity' or 'headcount'")
+    wc = c.groupBy("q", "week", "country").agg(
+        F.sum(F.when(ok, s0)).alias("s0"), F.sum(F.when(ok, s1)).alias("s1"),
+        F.sum(F.when(ok & F.col("tg_hc_total").isNotNull(), s2m)).alias("s2m"),
+        F.sum(F.when(ok, s2)).alias("s2"), F.sum("stores_real").alias("s3"))
     q = wc.groupBy("q").agg(F.sum("s0").alias("s0_raw"), F.sum("s1").alias("s1_raw"),
-                            F.sum(s2m).alias("s2m_raw"), F.sum("s2").alias("s2_raw"),
+                            F.sum("s2m").alias("s2m_raw"), F.sum("s2").alias("s2_raw"),
                             F.sum("s3").alias("s3_raw"))
     r1 = lambda c: round_half_away(F.col(c), 1)
     return q.select("q", r1("s0_raw").alias("s0"), r1("s1_raw").alias("s1"), r1("s2m_raw").alias("s2m"),

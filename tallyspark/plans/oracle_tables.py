@@ -239,3 +239,16 @@ def with_tables(body: str, extra: dict[str, str] | None = None) -> str:
             visit(n)
     parts = [f"{n} AS ({CTES[n]}\n)" for n in order] + [f"{k} AS ({v}\n)" for k, v in extra.items()]
     return ("WITH " + ",\n".join(parts) + "\n" + body) if parts else body
+
+
+def rha(expr: str, n: int) -> str:
+    """SQL text of round-half-away-from-zero (same arithmetic as
+    ``tallyspark.functions.exprs.round_half_away``)."""
+    s = float(10**n)
+    x = f"round({expr}, 9)"
+    return f"(sign({x}) * floor(abs({x}) * {s!r} + 0.5) / {s!r} + 0.0)"
+
+
+def aging_norm_sql(col: str) -> str:
+    return (f"UPPER(TRIM(CASE {col} WHEN 'New Entry' THEN '01 - new entry' WHEN 'Junior' THEN '02 - junior' "
+            f"WHEN 'Senior' THEN '03 - senior' END))")
