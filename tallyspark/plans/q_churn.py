@@ -1 +1,89 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: early churn."""
+
+from __future__ import annotations
+
+from tallyspark.operators import calendar as C
+from tallyspark.operators import churn as CH
+from tallyspark.plans.common import AS_OF, TZ, round_doubles
+from tallyspark.plans.oracle_tables import rha, with_tables
+from tallyspark.plans.registry import query
+from tallyspark.sources import testdata as TD
+
+_CHURN_CTES = {
+    "axis": f"""SELECT DISTINCT q, week FROM elc_target
+               WHERE week < CAST(date_trunc('week', TIMESTAMP '{AS_OF}' - INTERVAL 5 HOUR) AS DATE)""",
+    "silver": """
+SELECT a.q, s.week, s.age,
+  CASE WHEN UPPER(s.channel_am) = 'HUNTING' THEN 'HUNTING' WHEN UPPER(s.channel_am) = 'INSIDE SALES' THEN 'IS'
+       WHEN UPPER(s.channel_am) = 'BRAND EXPANSION' THEN 'BE' WHEN UPPER(s.channel_am) = 'SELF-ONBOARDING' THEN 'SOB'
+       ELSE NULL END AS canal,
+  s.churn, s.total_store
+FROM churn_detail s JOIN axis a ON s.week = a.week
+WHERE s.country != 'BR'""",
+    "all_data": f"""
+SELECT q, week, age, canal, CAST(SUM(churn) AS BIGINT) AS churn_s, CAST(SUM(total_store) AS BIGINT) AS total_s,
+       {rha('SUM(churn) / NULLIF(SUM(total_store), 0) * 100', 1)} AS churn_pct100,
+       SUM(churn) / NULLIF(SUM(total_store), 0) AS ratio
+FROM silver WHERE canal IS NOT NULL GROUP BY q, week, age, canal
+UNION ALL
+SELECT q, week, age, 'TOTAL', CAST(SUM(churn) AS BIGINT), CAST(SUM(total_store) AS BIGINT),
+       {rha('SUM(churn) / NULLIF(SUM(total_store), 0) * 100', 1)}, SUM(churn) / NULLIF(SUM(total_store), 0)
+FROM silver GROUP BY q, week, age""",
+    "tg": """
+SELECT CAST(week AS DATE) AS week, channel_am AS canal, "TARGET_%CHURN_M1" AS tg_m1,
+       "TARGET_%CHURN_M2" AS tg_m2, "TARGET_%CHURN_M3" AS tg_m3
+FROM churn_target WHERE country = 'TOTAL'""",
+    "early": f"""
+SELECT a.q, a.week, a.age, a.canal, a.churn_s AS churn_stores, a.total_s AS total_stores,
+  a.churn_pct100 / 100 AS churn_pct,
+  CASE a.age WHEN 'M1' THEN t.tg_m1 WHEN 'M2' THEN t.tg_m2 WHEN 'M3' THEN t.tg_m3 END AS target_pct,
+  {rha("(a.churn_pct100 / 100 - CASE a.age WHEN 'M1' THEN t.tg_m1 WHEN 'M2' THEN t.tg_m2 WHEN 'M3' THEN t.tg_m3 END) * 100", 1)} AS delta_pp,
+  a.ratio AS churn_ratio,
+  CASE a.canal WHEN 'HUNTING' THEN 1 WHEN 'IS' THEN 2 WHEN 'SOB' THEN 3 WHEN 'BE' THEN 4 WHEN 'TOTAL' THEN 5 END AS canal_rank
+FROM all_data a LEFT JOIN tg t ON a.week = t.week AND a.canal = t.canal""",
+}
+
+
+def _early(spark, d):
+    return CH.early_churn(TD.churn_detail(spark, d), TD.churn_target(spark, d),
+                          C.week_axis(TD.elc_target(spark, d)), AS_OF, TZ)
+
+
+_EARLY_SELECT = f"""
+SELECT q, week, age, canal, churn_stores, total_stores, {rha('churn_pct', 6)} AS churn_pct,
+       {rha('target_pct', 6)} AS target_pct, delta_pp, ABS(delta_pp) > 40 AS is_anomaly,
+       {rha('churn_ratio', 6)} AS churn_ratio, canal_rank
+FROM early"""
+
+
+@query("early_churn", with_tables(_EARLY_SELECT, extra=_CHURN_CTES))
+def early_churn(spark, d):
+    return round_doubles(_early(spark, d))
+
+
+@query("churn_anomalies", with_tables(f"SELECT * FROM ({_EARLY_SELECT}) WHERE is_anomaly", extra=_CHURN_CTES))
+def churn_anomalies(spark, d):
+    return round_doubles(CH.churn_anomalies(_early(spark, d)))
+
+
+@query("churn_qtd", with_tables(f"""
+SELECT q, age, canal, CAST(SUM(churn_stores) AS BIGINT) AS churn_stores,
+       CAST(SUM(total_stores) AS BIGINT) AS total_stores,
+       {rha('SUM(churn_stores) / NULLIF(SUM(total_stores), 0)', 6)} AS churn_qtd,
+       {rha('SUM(CASE WHEN target_pct IS NOT NULL THEN target_pct * total_stores END) / NULLIF(SUM(CASE WHEN target_pct IS NOT NULL THEN total_stores END), 0)', 6)} AS target_qtd,
+       {rha('SUM(churn_stores) / NULLIF(SUM(total_stores), 0) - SUM(CASE WHEN target_pct IS NOT NULL THEN target_pct * total_stores END) / NULLIF(SUM(CASE WHEN target_pct IS NOT NULL THEN total_stores END), 0)', 6)} AS gap_qtd,
+       COUNT(*) AS weeks, COUNT(target_pct) AS weeks_with_target
+FROM early GROUP BY q, age, canal""", extra=_CHURN_CTES))
+def churn_qtd(spark, d):
+    return round_doubles(CH.churn_qtd(_early(spark, d)))
+
+
+@query("churn_completeness", with_tables("""
+SELECT g.q, g.week, a.age, c.canal
+FROM (SELECT DISTINCT q, week FROM early) g,
+     (VALUES ('M1'), ('M2'), ('M3')) a(age),
+     (VALUES ('HUNTING'), ('IS'), ('SOB'), ('BE'), ('TOTAL')) c(canal)
+WHERE NOT EXISTS (SELECT 1 FROM early e WHERE e.q = g.q AND e.week = g.week AND e.age = a.age
+                  AND e.canal = c.canal)""", extra=_CHURN_CTES))
+def churn_completeness(spark, d):
+    return CH.churn_completeness(_early(spark, d))
