@@ -1 +1,155 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: portfolio quality and store detail."""
+
+from __future__ import annotations
+
+from tallyspark.operators import quality as X
+from tallyspark.operators import stores as P
+from tallyspark.plans.common import round_doubles
+from tallyspark.plans.oracle_tables import rha, with_tables
+from tallyspark.plans.registry import query
+from tallyspark.sources import testdata as TD
+from tallyspark.sources.tables import read_table
+
+_COUNTS_SQL = """
+CAST(COUNT(*) AS BIGINT) AS total_store,
+CAST(SUM(CASE WHEN first_login IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS store_sin_fl,
+CAST(SUM(CASE WHEN orders_0_28 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS store_sin_orders,
+CAST(SUM(CASE WHEN handoff <> 'COMPLETED' THEN 1 ELSE 0 END) AS BIGINT) AS store_sin_handoff,
+CAST(SUM(CASE WHEN first_login IS NOT NULL AND orders_0_28 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS churn,
+CAST(SUM(CASE WHEN first_login IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS total_store_churn"""
+
+_RATES_SQL = ", ".join([
+    f"{rha('store_sin_fl / NULLIF(total_store, 0)', 6)} AS store_sin_login_rate",
+    f"{rha('store_sin_orders / NULLIF(total_store, 0)', 6)} AS pct_sin_orders",
+    f"{rha('store_sin_handoff / NULLIF(total_store, 0)', 6)} AS pct_sin_handoff",
+    f"{rha('churn / NULLIF(total_store_churn, 0)', 6)} AS churn_rate"])
+
+_GOLD = f"SELECT hunter_, coordinador, channel, {_COUNTS_SQL} FROM store_detail GROUP BY ALL"
+
+
+def _silver(spark, d):
+    return TD.store_detail(spark, d)
+
+
+@query("quality_gold", with_tables(f"SELECT *, {_RATES_SQL} FROM gold", extra={"gold": _GOLD}))
+def quality_gold(spark, d):
+    return round_doubles(X.quality_gold(_silver(spark, d)))
+
+
+@query("churn_rate", with_tables(f"""
+SELECT hunter_, coordinador, channel, churn, total_store_churn,
+       {rha('churn / NULLIF(total_store_churn, 0)', 6)} AS churn_rate FROM gold""", extra={"gold": _GOLD}))
+def churn_rate(spark, d):
+    g = X.quality_gold(_silver(spark, d))
+    return round_doubles(g.select("hunter_", "coordinador", "channel", "churn", "total_store_churn", "churn_rate"))
+
+
+@query("quality_rates", with_tables(f"""
+SELECT hunter_, coordinador, channel, total_store, store_sin_fl, store_sin_orders, store_sin_handoff,
+       {rha('store_sin_fl / NULLIF(total_store, 0)', 6)} AS store_sin_login_rate,
+       {rha('store_sin_orders / NULLIF(total_store, 0)', 6)} AS pct_sin_orders,
+       {rha('store_sin_handoff / NULLIF(total_store, 0)', 6)} AS pct_sin_handoff FROM gold""",
+    extra={"gold": _GOLD}))
+def quality_rates(spark, d):
+    g = X.quality_gold(_silver(spark, d))
+    return round_doubles(g.select("hunter_", "coordinador", "channel", "total_store", "store_sin_fl",
+                                  "store_sin_orders", "store_sin_handoff", "store_sin_login_rate",
+                                  "pct_sin_orders", "pct_sin_handoff"))
+
+
+@query("hunter_ranking", with_tables(f"""
+SELECT *, {_RATES_SQL} FROM (
+  SELECT hunter_, {', '.join(f'CAST(SUM({c}) AS BIGINT) AS {c}' for c in X.COUNTS)} FROM gold GROUP BY hunter_)""",
+    extra={"gold": _GOLD}))
+def hunter_ranking(spark, d):
+    return round_doubles(X.hunter_ranking(X.quality_gold(_silver(spark, d))))
+
+
+@query("quality_by_dim", with_tables(f"""
+SELECT *, {_RATES_SQL} FROM (
+  SELECT 'hunter_' AS dim, hunter_ AS value, {_COUNTS_SQL} FROM store_detail GROUP BY hunter_
+  UNION ALL SELECT 'coordinador', coordinador, {_COUNTS_SQL} FROM store_detail GROUP BY coordinador
+  UNION ALL SELECT 'channel', channel, {_COUNTS_SQL} FROM store_detail GROUP BY channel)"""))
+def quality_by_dim(spark, d):
+    return round_doubles(X.quality_by_dim(_silver(spark, d)))
+
+
+_WO = {
+    "long": """SELECT hunter_, store_id, first_login, 'razon_social' AS entity_type, razon_social AS entity FROM store_detail
+               UNION ALL SELECT hunter_, store_id, first_login, 'brand_name', brand_name FROM store_detail
+               UNION ALL SELECT hunter_, store_id, first_login, 'adress', adress FROM store_detail""",
+    "per": """SELECT hunter_, entity_type, entity, COUNT(*) AS total_store_wo,
+                     CAST(SUM(CASE WHEN first_login IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS store_sin_login_wo
+              FROM long GROUP BY ALL""",
+    "wo": """SELECT hunter_, entity_type, entity, total_store_wo, store_sin_login_wo FROM (
+               SELECT *, ROW_NUMBER() OVER (PARTITION BY hunter_, entity_type
+                                            ORDER BY store_sin_login_wo DESC, total_store_wo DESC, entity) AS rn
+               FROM per) WHERE rn = 1""",
+}
+
+
+@query("worst_offender", with_tables("SELECT * FROM wo", extra=_WO))
+def worst_offender(spark, d):
+    return X.worst_offender(_silver(spark, d))
+
+
+@query("offender_stores", with_tables("""
+SELECT l.store_id, l.hunter_, l.entity_type, l.entity, s.fecha_envio_de_credenciales, s.first_login, s.handoff,
+       s.orders_0_28
+FROM long l JOIN wo ON l.hunter_ = wo.hunter_ AND l.entity_type = wo.entity_type AND l.entity = wo.entity
+JOIN store_detail s ON l.store_id = s.store_id""", extra=_WO))
+def offender_stores(spark, d):
+    s = _silver(spark, d)
+    return X.offender_stores(s, X.worst_offender(s))
+
+
+@query("low_availability", with_tables("""
+SELECT store_id, hunter_, coordinador, channel, av_0_28, av_last_week, av_last_2week, av_l4w,
+       av_0_28 < 0.2 AS low_0_28, av_last_week < 0.2 AS low_last_week, av_last_2week < 0.2 AS low_last_2week,
+       av_l4w < 0.2 AS low_l4w
+FROM store_detail WHERE av_0_28 < 0.2 OR av_last_week < 0.2 OR av_last_2week < 0.2 OR av_l4w < 0.2"""))
+def low_availability(spark, d):
+    return X.low_availability(_silver(spark, d), 0.2)
+
+
+@query("partner_cancellations", with_tables(f"""
+SELECT hunter_, COUNT(*) AS total_store,
+       CAST(SUM(CASE WHEN orders_cancel_partner_0_28 >= 3 THEN 1 ELSE 0 END) AS BIGINT) AS stores_high_cancel,
+       CAST(SUM(CASE WHEN orders_cancel_partner_0_28 >= 3 THEN orders_cancel_partner_0_28 ELSE 0 END) AS BIGINT)
+         AS cancels_high,
+       CAST(SUM(orders_cancel_partner_0_28) AS BIGINT) AS cancels_total,
+       {rha('SUM(CASE WHEN orders_cancel_partner_0_28 >= 3 THEN 1 ELSE 0 END) / NULLIF(COUNT(*), 0)', 6)}
+         AS share_high_cancel
+FROM store_detail GROUP BY hunter_"""))
+def partner_cancellations(spark, d):
+    return round_doubles(X.partner_cancellations(_silver(spark, d), 3))
+
+
+_NO_LOGIN = """SELECT store_id, hunter_, coordinador, channel, razon_social, brand_name, adress,
+                      fecha_envio_de_credenciales
+               FROM store_detail WHERE fecha_envio_de_credenciales IS NOT NULL AND first_login IS NULL"""
+
+
+@query("no_login_stores", with_tables(_NO_LOGIN))
+def no_login_stores(spark, d):
+    return X.no_login_stores(_silver(spark, d))
+
+
+@query("store_history", with_tables("""
+SELECT * FROM store_history h WHERE EXISTS (SELECT 1 FROM nl WHERE nl.store_id = h.external_store_id)""",
+    extra={"nl": _NO_LOGIN}))
+def store_history(spark, d):
+    return P.store_history(TD.store_history(spark, d), X.no_login_stores(_silver(spark, d)))
+
+
+@query("store_latest", with_tables("""
+SELECT external_store_id, day_date, order_id, week_date, status, order_value FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY external_store_id ORDER BY day_date DESC, order_id DESC) AS rn
+  FROM store_history) WHERE rn = 1"""))
+def store_latest(spark, d):
+    return P.store_latest(TD.store_history(spark, d))
+
+
+@query("describe_columns")
+def describe_columns(spark, d):
+    return P.describe_columns(read_table(spark, d, "lineitem"))
