@@ -199,3 +199,23 @@ def simple_channel_section(elc: DataFrame, elc_tg: DataFrame, team: str, channel
     m = merge_weekly([a, t])
     return m.select("q", "week", "new_available", "target_new_available",
                     *(["store_created"] if with_created else []))
+
+
+def gap_concentration(elc: DataFrame, elc_tg: DataFrame, dims: tuple[str, ...] = ("country",),
+                      quarter: str | None = None) -> DataFrame:
+    """Where a channel's new-available gap sits: actual vs target per
+    (q, channel_group, dims), the target counted only over the weeks the
+    channel has actuals, and each part's share of the channel's total gap
+    (a window over the few countries of one channel and quarter)."""
+    a = (in_quarter(elc, quarter).where(F.col("type") == "AVAILABLE"))
+    weeks = a.select("q", "channel_group", "week").distinct()
+    t = (in_quarter(elc_tg, quarter).where(F.col("tipo_target") == "AVAILABLE")
+         .join(weeks, ["q", "channel_group", "week"], "left_semi")
+         .groupBy("q", "channel_group", *dims).agg(F.sum("target").alias("target")))
+    a = a.groupBy("q", "channel_group", *dims).agg(F.sum("metric").alias("actual"))
+    j = a.join(t, ["q", "channel_group", *dims], "full_outer")
+    gap = F.coalesce("actual", F.lit(0.0)) - F.coalesce("target", F.lit(0.0))
+    w = W.partitionBy("q", "channel_group")
+    return j.select("q", "channel_group", *dims, F.coalesce("actual", F.lit(0.0)).alias("actual"),
+                    F.coalesce("target", F.lit(0.0)).alias("target"), gap.alias("gap"),
+                    safe_div(gap, F.sum(gap).over(w)).alias("share"))

@@ -252,3 +252,14 @@ def rha(expr: str, n: int) -> str:
 def aging_norm_sql(col: str) -> str:
     return (f"UPPER(TRIM(CASE {col} WHEN 'New Entry' THEN '01 - new entry' WHEN 'Junior' THEN '02 - junior' "
             f"WHEN 'Senior' THEN '03 - senior' END))")
+
+
+def prefixed(ctes: dict[str, str], prefix: str, body: str | None = None):
+    """Rename a CTE set (names and references) so several sets can share
+    one statement; also rewrites ``body`` when given."""
+    def ren(text):
+        for name in ctes:
+            text = re.sub(rf"\b{name}\b", prefix + name, text)
+        return text
+    out = {prefix + k: ren(v) for k, v in ctes.items()}
+    return out if body is None else (ren(body), out)

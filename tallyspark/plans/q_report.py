@@ -1 +1,316 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: spec-driven report assembly."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tallyspark.operators import calendar as C
+from tallyspark.operators import churn as CH
+from tallyspark.operators import kpi as K
+from tallyspark.operators import report as R
+from tallyspark.plans.common import AS_OF, TZ, round_doubles
+from tallyspark.plans.oracle_tables import prefixed, rha, with_tables
+from tallyspark.plans.q_churn import _CHURN_CTES
+from tallyspark.plans.q_kpi import section_parts
+from tallyspark.plans.registry import query
+from tallyspark.session import cut_lineage
+from tallyspark.sources import testdata as TD
+
+SPEC = R.report_spec()
+
+
+# -------------------------------------------------------------- Spark side
+def _sections(spark, d):
+    elc, etg = TD.elc_funnel(spark, d), TD.elc_target(spark, d)
+    htf, htt = TD.ht_funnel(spark, d), TD.ht_target(spark, d)
+    isf, ist = TD.is_funnel(spark, d), TD.is_target(spark, d)
+    churn = CH.early_churn(TD.churn_detail(spark, d), TD.churn_target(spark, d), C.week_axis(etg), AS_OF, TZ)
+    return {
+        "main_metrics_top": K.main_metrics_top(elc),
+        "main_metrics_bottom": K.main_metrics_bottom(elc),
+        "hunting": K.rep_channel_section(elc, etg, htf, htt, "HUNTING", "HUNTING"),
+        "inside_sales_outbound": K.rep_channel_section(elc, etg, isf, ist, "INSIDE SALES",
+                                                       "INSIDE SALES OUTBOUND", "OUTBOUND"),
+        "inside_sales_inbound": K.rep_channel_section(elc, etg, isf, ist, "INSIDE SALES",
+                                                      "INSIDE SALES INBOUND", "INBOUND"),
+        "self_onboarding": K.simple_channel_section(elc, etg, "SELF-ONBOARDING", "SELF-ONBOARDING", False),
+        "brand_expansion": K.simple_channel_section(elc, etg, "BRAND EXPANSION", "BRAND EXPANSION", True),
+        "early_churn_m1": churn, "early_churn_m2": churn, "early_churn_m3": churn,
+    }
+
+
+def _long(spark, d):
+    """The long table is reused by most report pieces: materialize it once
+    (reliable checkpoint in the shared checkpoint folder), so its section
+    plans run once and a lost executor re-reads files instead of
+    recomputing every section."""
+    return cut_lineage(R.values_long(_sections(spark, d), SPEC))
+
+
+def _axis(spark, d):
+    return C.week_axis(TD.elc_target(spark, d))
+
+
+def _rows(spark, d):
+    return cut_lineage(R.report_rows(_long(spark, d), _axis(spark, d), R.spec_frame(spark, SPEC)))
+
+
+# ---------------------------------------------------------------- SQL side
+def _lit(s) -> str:
+    if s is None:
+        return "NULL"
+    if isinstance(s, bool):
+        return "TRUE" if s else "FALSE"
+    if isinstance(s, int):
+        return str(s)
+    return "'" + str(s).replace("'", "''") + "'"
+
+
+def _sum_t(t: str) -> str:
+    return f"SUM(CASE WHEN type = '{t}' THEN metric ELSE 0 END)"
+
+
+def _report_ctes() -> dict[str, str]:
+    ctes: dict[str, str] = {
+        "mmt": f"""
+SELECT q, week, total_available_stores, total_active_stores,
+       new_active / NULLIF(new_available, 0) AS activation_rate_pct,
+       total_available_stores - LAG(total_available_stores) OVER (PARTITION BY q ORDER BY week) AS net_available_adds,
+       total_active_stores - LAG(total_active_stores) OVER (PARTITION BY q ORDER BY week) AS net_active_adds,
+       new_available, new_active
+FROM (SELECT q, week, {_sum_t('TOTAL AVAILABLE')} AS total_available_stores,
+             {_sum_t('TOTAL ACTIVE')} AS total_active_stores, {_sum_t('AVAILABLE')} AS new_available,
+             {_sum_t('ACTIVE')} AS new_active
+      FROM elc_funnel WHERE type IN ('TOTAL AVAILABLE', 'TOTAL ACTIVE', 'AVAILABLE', 'ACTIVE') GROUP BY q, week)""",
+        "mmb": f"""
+SELECT q, week, new_available_stores, new_active_stores,
+       new_active_stores / NULLIF(new_available_stores, 0) AS new_inflow_active_rate_pct
+FROM (SELECT q, week, {_sum_t('AVAILABLE')} AS new_available_stores, {_sum_t('ACTIVE')} AS new_active_stores
+      FROM elc_funnel WHERE type IN ('AVAILABLE', 'ACTIVE') GROUP BY q, week)""",
+    }
+    frames = {"main_metrics_top": "mmt", "main_metrics_bottom": "mmb"}
+    for sid, pre, args in [("hunting", "h_", ("HUNTING", "HUNTING", "ht_funnel", "ht_target", None)),
+                           ("inside_sales_outbound", "o_",
+                            ("INSIDE SALES", "INSIDE SALES OUTBOUND", "is_funnel", "is_target", "OUTBOUND")),
+                           ("inside_sales_inbound", "i_",
+                            ("INSIDE SALES", "INSIDE SALES INBOUND", "is_funnel", "is_target", "INBOUND"))]:
+        body, extra = section_parts(*args, raw=True)
+        body, extra = prefixed(extra, pre, body)
+        ctes.update(extra)
+        ctes[pre + "sec"] = body
+        frames[sid] = pre + "sec"
+    for sid, team, created in [("self_onboarding", "SELF-ONBOARDING", False),
+                               ("brand_expansion", "BRAND EXPANSION", True)]:
+        types = "('AVAILABLE', 'CREATED')" if created else "('AVAILABLE')"
+        cr = f", {_sum_t('CREATED')} AS store_created" if created else ""
+        ctes[sid] = f"""
+SELECT COALESCE(a.q, t.q) AS q, COALESCE(a.week, t.week) AS week, a.new_available, t.target_new_available
+       {', a.store_created' if created else ''}
+FROM (SELECT q, week, {_sum_t('AVAILABLE')} AS new_available{cr} FROM elc_funnel
+      WHERE team = '{team}' AND channel_group = '{team}' AND type IN {types} GROUP BY q, week) a
+FULL OUTER JOIN (SELECT q, week, SUM(target) AS target_new_available FROM elc_target
+                 WHERE team = '{team}' AND channel_group = '{team}' AND tipo_target = 'AVAILABLE'
+                 GROUP BY q, week) t ON a.q = t.q AND a.week = t.week"""
+        frames[sid] = sid
+    ctes.update(_CHURN_CTES)
+    for age in R.CHURN_AGES:
+        frames[f"early_churn_{age.lower()}"] = "early"
+    parts = []
+    for ln in SPEC:
+        if ln.field is None:
+            continue
+        num = f"CAST({ln.num} AS DOUBLE)" if ln.num else "CAST(NULL AS DOUBLE)"
+        den = f"CAST({ln.den} AS DOUBLE)" if ln.den else "CAST(NULL AS DOUBLE)"
+        parts.append(f"SELECT q, {_lit(ln.section_id)} AS section_id, {_lit(ln.label)} AS label, week, "
+                     f"CAST({ln.field} AS DOUBLE) AS value, {num} AS num, {den} AS den "
+                     f"FROM {frames[ln.section_id]} WHERE {ln.row_filter or 'TRUE'}")
+    ctes["long"] = "\nUNION ALL ".join(parts)
+    ctes["spec"] = ("SELECT * FROM (VALUES " + ", ".join(
+        "(" + ", ".join(_lit(v) for v in (s.section_id, s.seq, s.label, s.fmt, s.qtd_rule, s.gap_against,
+                                          s.render_as, s.invert_gap, s.is_churn_total)) + ")" for s in SPEC)
+        + ") v(section_id, seq, label, format, qtd_rule, gap_against, render_as, invert_gap, is_churn_total)")
+    ctes["axis_all"] = "SELECT DISTINCT q, week FROM elc_target"
+    ctes["lv"] = """
+SELECT l.*, s.qtd_rule, s.gap_against FROM long l JOIN spec s ON l.section_id = s.section_id AND l.label = s.label
+WHERE s.gap_against IS NULL
+   OR EXISTS (SELECT 1 FROM long a WHERE a.q = l.q AND a.section_id = l.section_id AND a.label = s.gap_against
+              AND a.week = l.week AND a.value IS NOT NULL)"""
+    ctes["qtd"] = """
+SELECT q, section_id, label, qtd_rule,
+  CASE WHEN qtd_rule = 'additive' THEN SUM(value) WHEN qtd_rule = 'avg' THEN AVG(value)
+       WHEN qtd_rule = 'last_value' THEN arg_max(value, CASE WHEN value IS NOT NULL THEN week END)
+       WHEN qtd_rule IN ('weighted_ratio', 'weighted_productivity', 'funnel_ratio_qtd')
+       THEN SUM(num) / NULLIF(SUM(den), 0) END AS qtd,
+  COUNT(value) AS weeks_with_value
+FROM lv GROUP BY q, section_id, label, qtd_rule"""
+    ctes["gap"] = """
+SELECT t.q, t.section_id, t.label, s.gap_against, a.qtd AS qtd_actual, t.qtd AS qtd_target, a.qtd - t.qtd AS gap
+FROM qtd t JOIN spec s ON t.section_id = s.section_id AND t.label = s.label AND s.gap_against IS NOT NULL
+LEFT JOIN qtd a ON a.q = t.q AND a.section_id = t.section_id AND a.label = s.gap_against"""
+    ctes["rows"] = """
+SELECT x.q, s.section_id, s.seq, s.label, s.format, s.qtd_rule, s.gap_against, s.invert_gap, s.is_churn_total,
+       CASE s.render_as WHEN 'missing_source' THEN 'N/A' WHEN 'pending_definition' THEN 'Pending definition'
+            ELSE 'value' END AS state,
+       d.qtd, g.gap, CAST(COALESCE(d.weeks_with_value, 0) AS BIGINT) AS weeks_with_value
+FROM (SELECT DISTINCT q FROM axis_all) x CROSS JOIN spec s
+LEFT JOIN qtd d ON d.q = x.q AND d.section_id = s.section_id AND d.label = s.label
+LEFT JOIN gap g ON g.q = x.q AND g.section_id = s.section_id AND g.label = s.label"""
+    return ctes
+
+
+_CTES = _report_ctes()
+
+
+def _sql(body: str) -> str:
+    return with_tables(body, extra=_CTES)
+
+
+def _r6(cols):
+    return ", ".join(f"{rha(c, 6)} AS {c.split('.')[-1]}" for c in cols)
+
+
+# ------------------------------------------------------------------ queries
+@query("section_on_axis", _sql(f"""
+SELECT x.q, s.section_id, s.seq, s.label, x.week,
+       {rha('CASE WHEN s.render_as IS NULL THEN l.value END', 6)} AS value,
+       CASE s.render_as WHEN 'missing_source' THEN 'N/A' WHEN 'pending_definition' THEN 'Pending definition'
+            ELSE 'value' END AS state
+FROM axis_all x CROSS JOIN spec s
+LEFT JOIN long l ON l.q = x.q AND l.section_id = s.section_id AND l.label = s.label AND l.week = x.week"""))
+def section_on_axis(spark, d):
+    return round_doubles(R.section_on_axis(_long(spark, d), _axis(spark, d), SPEC))
+
+
+@query("qtd", _sql(f"SELECT q, section_id, label, qtd_rule, {rha('qtd', 6)} AS qtd, weeks_with_value FROM qtd"))
+def qtd(spark, d):
+    return round_doubles(R.qtd(_long(spark, d), R.spec_frame(spark, SPEC)))
+
+
+@query("gap", _sql(f"SELECT q, section_id, label, gap_against, {_r6(['qtd_actual', 'qtd_target', 'gap'])} FROM gap"))
+def gap(spark, d):
+    spec = R.spec_frame(spark, SPEC)
+    return round_doubles(R.gap(R.qtd(_long(spark, d), spec), spec))
+
+
+@query("row_state", _sql(f"""
+SELECT q, section_id, seq, label, format, qtd_rule, gap_against, invert_gap, is_churn_total, state,
+       {_r6(['qtd', 'gap'])}, weeks_with_value FROM rows"""))
+def row_state(spark, d):
+    return round_doubles(_rows(spark, d))
+
+
+@query("row_class", _sql(f"""
+SELECT q, section_id, seq, label,
+       (label LIKE 'Target%' OR label LIKE '%\\% Target%' ESCAPE '\\') AS is_target,
+       ((label LIKE 'Target%' OR label LIKE '%\\% Target%' ESCAPE '\\')
+        AND section_id IN ('hunting', 'inside_sales_outbound', 'inside_sales_inbound')
+        AND (label LIKE '%Store\\_Created' ESCAPE '\\' OR label LIKE '%Productivity')) AS is_calculated,
+       is_churn_total AS is_total,
+       CASE WHEN invert_gap THEN 'lower_is_better' ELSE 'higher_is_better' END AS polarity,
+       {rha('gap', 6)} AS gap,
+       CASE WHEN gap IS NULL THEN NULL WHEN invert_gap THEN gap <= 0 ELSE gap >= 0 END AS gap_is_good
+FROM rows"""))
+def row_class(spark, d):
+    return round_doubles(R.row_class(_rows(spark, d)))
+
+
+@query("display_cells")
+def display_cells(spark, d):
+    return R.display_cells(R.section_on_axis(_long(spark, d), _axis(spark, d), SPEC), R.spec_frame(spark, SPEC))
+
+
+@query("coverage", _sql("""
+SELECT x.q, a.actuals_loaded_through, CAST(COALESCE(a.weeks_with_actual, 0) AS BIGINT) AS weeks_with_actual,
+       x.weeks_in_axis
+FROM (SELECT q, COUNT(DISTINCT week) AS weeks_in_axis FROM axis_all GROUP BY q) x
+LEFT JOIN (SELECT q, MAX(week) AS actuals_loaded_through, COUNT(DISTINCT week) AS weeks_with_actual
+           FROM long WHERE section_id = 'main_metrics_top' AND value IS NOT NULL GROUP BY q) a ON x.q = a.q"""))
+def coverage(spark, d):
+    return R.coverage(_long(spark, d), _axis(spark, d))
+
+
+@query("summary_cards", _sql(f"""
+SELECT q, 'available_qtd' AS card, section_id, label, {rha('qtd', 6)} AS value FROM rows
+WHERE section_id = 'main_metrics_top' AND label = 'Total Available Stores'
+UNION ALL SELECT q, 'active_qtd', section_id, label, {rha('qtd', 6)} FROM rows
+WHERE section_id = 'main_metrics_top' AND label = 'Total Active Stores'
+UNION ALL SELECT q, 'activation_rate_qtd', section_id, label, {rha('qtd', 6)} FROM rows
+WHERE section_id = 'main_metrics_top' AND label = '% Activation Rate'
+UNION ALL SELECT q, 'worst_gap', section_id, first(label ORDER BY gap, label), {rha('MIN(gap)', 6)} FROM rows
+WHERE section_id IN ('hunting', 'inside_sales_outbound', 'inside_sales_inbound', 'self_onboarding',
+                     'brand_expansion') AND gap < 0
+GROUP BY q, section_id"""))
+def summary_cards(spark, d):
+    return round_doubles(R.summary_cards(_rows(spark, d)))
+
+
+@query("top_gaps", _sql(f"""
+SELECT q, rk AS rank, section_id, label, {rha('gap', 6)} AS gap FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY q ORDER BY ABS(gap) DESC, section_id, label) AS rk
+  FROM rows WHERE gap IS NOT NULL) WHERE rk <= 5"""))
+def top_gaps(spark, d):
+    return round_doubles(R.top_gaps(_rows(spark, d), 5)).withColumn("rank", F.col("rank").cast("bigint"))
+
+
+@query("section_status", _sql(f"""
+SELECT q, section_id, label AS main_kpi, {rha('gap', 6)} AS gap, {rha('rel', 6)} AS relative_gap,
+       CASE WHEN rel IS NULL THEN NULL WHEN rel >= -0.05 THEN 'on_track' WHEN rel >= -0.15 THEN 'risk'
+            ELSE 'critical' END AS status
+FROM (SELECT q, section_id, label, gap,
+             CASE WHEN invert_gap THEN -1 ELSE 1 END * (gap / NULLIF(ABS(qtd), 0)) AS rel
+      FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY q, section_id ORDER BY seq) AS rn
+            FROM rows WHERE gap IS NOT NULL) WHERE rn = 1)"""))
+def section_status(spark, d):
+    return R.section_status(_rows(spark, d))
+
+
+@query("kpi_trend", _sql(f"""
+SELECT l.q, l.section_id, l.label, l.n_weeks, {rha('l.v_first', 6)} AS v_first, {rha('l.v_last', 6)} AS v_last,
+  CASE WHEN l.n_weeks < 2 THEN NULL WHEN ABS(l.v_last - l.v_first) <= ABS(l.v_first) * 0.01 THEN 'stable'
+       WHEN CASE WHEN s.invert_gap THEN -(l.v_last - l.v_first) ELSE l.v_last - l.v_first END > 0 THEN 'improving'
+       ELSE 'worsening' END AS trend
+FROM (SELECT q, section_id, label, MAX(CASE WHEN rn = 1 THEN value END) AS v_last,
+             arg_max(value, rn) AS v_first, MAX(rn) AS n_weeks
+      FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY q, section_id, label ORDER BY week DESC) AS rn
+            FROM long WHERE value IS NOT NULL) WHERE rn <= 3 GROUP BY q, section_id, label) l
+JOIN spec s ON s.section_id = l.section_id AND s.label = l.label"""))
+def kpi_trend(spark, d):
+    out = R.kpi_trend(_long(spark, d), R.spec_frame(spark, SPEC))
+    return round_doubles(out).withColumn("n_weeks", F.col("n_weeks").cast("bigint"))
+
+
+@query("kpi_pull", _sql(f"""
+SELECT q, section_id, label, {rha('gap', 6)} AS gap, {rha('ABS(gap) / NULLIF(ABS(qtd), 0)', 6)} AS pull,
+       ROW_NUMBER() OVER (PARTITION BY q, section_id
+                          ORDER BY {rha('ABS(gap) / NULLIF(ABS(qtd), 0)', 6)} DESC NULLS LAST, label) AS pull_rank
+FROM rows WHERE gap IS NOT NULL"""))
+def kpi_pull(spark, d):
+    return round_doubles(R.kpi_pull(_rows(spark, d))).withColumn("pull_rank", F.col("pull_rank").cast("bigint"))
+
+
+@query("report_json")
+def report_json(spark, d):
+    long = _long(spark, d)
+    return R.report_json(R.section_on_axis(long, _axis(spark, d), SPEC),
+                         R.report_rows(long, _axis(spark, d), R.spec_frame(spark, SPEC)))
+
+
+# ------------------------------------------------------- gap concentration
+@query("gap_concentration", with_tables(f"""
+SELECT COALESCE(a.q, t.q) AS q, COALESCE(a.channel_group, t.channel_group) AS channel_group,
+       COALESCE(a.country, t.country) AS country, COALESCE(a.actual, 0.0) AS actual, COALESCE(t.target, 0.0) AS target,
+       COALESCE(a.actual, 0.0) - COALESCE(t.target, 0.0) AS gap,
+       {rha("(COALESCE(a.actual, 0.0) - COALESCE(t.target, 0.0)) / NULLIF(SUM(COALESCE(a.actual, 0.0) - COALESCE(t.target, 0.0)) OVER (PARTITION BY COALESCE(a.q, t.q), COALESCE(a.channel_group, t.channel_group)), 0)", 6)} AS share
+FROM (SELECT q, channel_group, country, SUM(metric) AS actual FROM elc_funnel WHERE type = 'AVAILABLE'
+      GROUP BY q, channel_group, country) a
+FULL OUTER JOIN (SELECT q, channel_group, country, SUM(target) AS target FROM elc_target t
+                 WHERE tipo_target = 'AVAILABLE' AND EXISTS (
+                   SELECT 1 FROM elc_funnel f WHERE f.type = 'AVAILABLE' AND f.q = t.q
+                   AND f.channel_group = t.channel_group AND f.week = t.week)
+                 GROUP BY q, channel_group, country) t
+  ON a.q = t.q AND a.channel_group = t.channel_group AND a.country = t.country"""))
+def gap_concentration(spark, d):
+    return round_doubles(K.gap_concentration(TD.elc_funnel(spark, d), TD.elc_target(spark, d)),
+                         skip=("actual", "target", "gap"))
+
+

@@ -26,6 +26,7 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
     if master:
         builder = builder.master(master)
     builder = (builder.config("spark.ui.enabled", "false")
+               .config("spark.driver.memory", os.environ.get("TALLYSPARK_DRIVER_MEMORY", "16g"))
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
     for k, v in _DEFAULTS.items():
