@@ -31,9 +31,16 @@ def target_by_kind(target: DataFrame, keys: list[str], quarter: str | None = Non
     """
     t = in_quarter(target, quarter)
     kind, val = F.col("tipo_target"), F.col("target")
-    group = ["q"] + [F.col(week_col).alias("week") if k == week_col else k for k in keys]
+    if week_col != "week":
+        t = t.withColumnRenamed(week_col, "week")
     if aging_col:
-        group.append(norm_key(aging_col).alias("aging_norm"))
+        # Grouping columns are named (not expressions) and ordered like the
+        # join keys downstream, so the aggregation's hash partitioning is
+        # reused by the join instead of a second exchange.
+        t = t.withColumn("aging_norm", norm_key(aging_col))
+    group = ["q"] + [k for k in keys if k != "aging_norm"]
+    if aging_col:
+        group.insert(min(2, len(group)), "aging_norm")
     return t.groupBy(*group).agg(
         F.sum(F.when(kind == "STORES", val).otherwise(F.lit(0.0))).alias("stores_tg"),
         F.avg(F.when(kind == "HC", val)).alias("hc_tg"),

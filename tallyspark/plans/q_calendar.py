@@ -8,7 +8,7 @@ from tallyspark.operators import calendar as C
 from tallyspark.plans.common import AS_OF, TZ
 from tallyspark.plans.oracle_tables import with_tables
 from tallyspark.plans.registry import query
-from tallyspark.sources import testdata as TD
+from tallyspark.sources import model as TD
 from tallyspark.sources.tables import read_table
 
 _WEEKS_WITH_REAL = "EXISTS (SELECT 1 FROM is_funnel f WHERE f.q = t.q AND f.week_date = t.week)"

@@ -7,7 +7,7 @@ from tallyspark.operators import churn as CH
 from tallyspark.plans.common import AS_OF, TZ, round_doubles
 from tallyspark.plans.oracle_tables import rha, with_tables
 from tallyspark.plans.registry import query
-from tallyspark.sources import testdata as TD
+from tallyspark.sources import model as TD
 
 _CHURN_CTES = {
     "axis": f"""SELECT DISTINCT q, week FROM elc_target

@@ -7,7 +7,7 @@ from tallyspark.operators import stores as P
 from tallyspark.plans.common import round_doubles
 from tallyspark.plans.oracle_tables import rha, with_tables
 from tallyspark.plans.registry import query
-from tallyspark.sources import testdata as TD
+from tallyspark.sources import model as TD
 from tallyspark.sources.tables import read_table
 
 _COUNTS_SQL = """

@@ -14,7 +14,7 @@ from tallyspark.plans.q_churn import _CHURN_CTES
 from tallyspark.plans.q_kpi import section_parts
 from tallyspark.plans.registry import query
 from tallyspark.session import cut_lineage
-from tallyspark.sources import testdata as TD
+from tallyspark.sources import model as TD
 
 SPEC = R.report_spec()
 
