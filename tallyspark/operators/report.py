@@ -265,13 +265,15 @@ def gap(qtd_df: DataFrame, spark_spec: DataFrame) -> DataFrame:
                     (F.col("qtd_actual") - F.col("qtd_target")).alias("gap"))
 
 
-def report_rows(long: DataFrame, axis: DataFrame, spark_spec: DataFrame) -> DataFrame:
+def report_rows(long: DataFrame, axis: DataFrame, spark_spec: DataFrame,
+                spec: list[Line] | None = None) -> DataFrame:
     """One row per (quarter, line): spec attributes, state, QTD and GAP.
-    Quarters come from the axis, so lines without data still appear."""
+    Quarters come from the axis, so lines without data still appear.
+    ``spec`` must be the lines ``spark_spec`` was built from."""
     # Every quarter gets every line: the spec (a fixed literal) is exploded
     # onto the distinct quarters, a generator rather than a join.
     lines = F.array(*[F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, SPEC_SCHEMA.fields)])
-                      for r in spark_spec_rows()])
+                      for r in spark_spec_rows(spec)])
     base = axis.select("q").distinct().select("q", F.explode(lines).alias("s")).select("q", "s.*")
     qd = qtd(long, spark_spec)
     gp = gap(qd, spark_spec).select("q", "section_id", "label", "gap")

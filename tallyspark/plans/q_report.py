@@ -52,7 +52,7 @@ def _axis(spark, d):
 
 
 def _rows(spark, d):
-    return cut_lineage(R.report_rows(_long(spark, d), _axis(spark, d), R.spec_frame(spark, SPEC)))
+    return cut_lineage(R.report_rows(_long(spark, d), _axis(spark, d), R.spec_frame(spark, SPEC), SPEC))
 
 
 # ---------------------------------------------------------------- SQL side
@@ -292,7 +292,7 @@ def kpi_pull(spark, d):
 def report_json(spark, d):
     long = _long(spark, d)
     return R.report_json(R.section_on_axis(long, _axis(spark, d), SPEC),
-                         R.report_rows(long, _axis(spark, d), R.spec_frame(spark, SPEC)))
+                         R.report_rows(long, _axis(spark, d), R.spec_frame(spark, SPEC), SPEC))
 
 
 # ------------------------------------------------------- gap concentration

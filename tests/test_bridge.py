@@ -102,9 +102,10 @@ def test_shapley_efficiency_and_symmetry(spark):
     cells = B.bridge_is_cells(f, t)
     for r in S.shapley_bridge(cells).collect():
         assert abs(r["closure"]) < 1e-6
+        # each output is rounded to 6 decimals, so sums of five of them agree to ~1e-5
         assert abs(r["target_base"] + r["ef_productivity"] + r["ef_capacity"] + r["ef_maturity"]
-                   - r["actual_base"]) < 1e-6
-        assert abs(r["actual_base"] + r["unallocated_real"] - r["real_total"]) < 1e-6
+                   - r["actual_base"]) < 1e-5
+        assert abs(r["actual_base"] + r["unallocated_real"] - r["real_total"]) < 1e-5
     # only productivity differs: the whole gap is productivity
     rows = [("Q2", "P", "CO", D(2026, 4, 6), 10, 30, 10.0, 1.0),
             ("Q2", "P", "CO", D(2026, 4, 6), 20, 60, 40.0, 2.0)]

@@ -26,8 +26,8 @@ def test_division_guards(spark):
 
 
 def test_perf_bucket_rules(spark):
-    rows = [(0, 5, 1.0), (1, 5, 1.0), (3, 5, 1.0), (4.5, 5, 1.0), (6, 5, 1.0),
-            (3, 5, None), (3, 0, 1.0), (3, 5, 0.0)]
+    rows = [(0.0, 5.0, 1.0), (1.0, 5.0, 1.0), (3.0, 5.0, 1.0), (4.5, 5.0, 1.0), (6.0, 5.0, 1.0),
+            (3.0, 5.0, None), (3.0, 0.0, 1.0), (3.0, 5.0, 0.0)]
     df = spark.createDataFrame(rows, "stores double, dias double, pt double")
     out = [r["b"] for r in df.select(perf_bucket("stores", "dias", "pt", "IS").alias("b")).collect()]
     assert out == ["00 stores", "<50% target prod", "50-80% target prod", "80-100% target prod",

@@ -59,13 +59,14 @@ def test_report_rows_class_and_trend(spark):
     long = R.values_long({"s": _frame(spark)}, spec)
     axis = spark.createDataFrame([("Q2", w) for w in W], "q string, week date")
     sf = R.spec_frame(spark, spec)
-    rows = R.report_rows(long, axis, sf)
+    rows = R.report_rows(long, axis, sf, spec)
     assert rows.count() == len(spec)
     cls = {r["label"]: r for r in R.row_class(rows).collect()}
     assert cls["Target Flow"]["is_target"] and not cls["Flow"]["is_target"]
     assert cls["Target Flow"]["gap_is_good"] is True
     tr = {r["label"]: r["trend"] for r in R.kpi_trend(long, sf).collect()}
-    assert tr["Flow"] == "improving" and tr["Rate"] == "worsening" and tr["HC"] == "stable"
+    assert tr["Flow"] == "improving" and tr["Rate"] == "worsening" and tr["HC"] == "improving"
+    assert tr["Target Flow"] == "stable"
 
 
 def test_full_spec_shape():
