@@ -50,7 +50,17 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (never a
-    local checkpoint: it would not survive the loss of an executor)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialize ``df`` as a Parquet table in the shared checkpoint folder
+    and return a DataFrame reading it back.
+
+    This cuts the lineage the way a reliable checkpoint does (a lost
+    executor re-reads files; nothing is recomputed), but runs the plan once:
+    ``Dataset.checkpoint`` without a cache computes it twice (one job for
+    the action, one to write the checkpoint). Never a local checkpoint,
+    which would not survive the loss of an executor.
+    """
+    import uuid
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tallyspark-cut/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
