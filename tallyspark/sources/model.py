@@ -68,8 +68,19 @@ def materialized(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = table_path(spark, sf_dir, name)
     fs, p = _fs_and_path(spark, f"{path}/_SUCCESS")
     if not fs.exists(p):
-        df = build(spark, sf_dir)
-        df.sortWithinPartitions(*SORT_KEYS[name]).write.mode("overwrite").parquet(path)
+        # Write to a private folder, then publish it with one rename: two
+        # sessions building the same table never see a half-written copy,
+        # and the loser of a race simply reads the winner's table.
+        import uuid
+        tmp = f"{path}.tmp-{uuid.uuid4().hex}"
+        build(spark, sf_dir).sortWithinPartitions(*SORT_KEYS[name]).write.parquet(tmp)
+        _, tmp_p = _fs_and_path(spark, tmp)
+        _, dst = _fs_and_path(spark, path)
+        if fs.exists(dst) and not fs.exists(p):
+            fs.delete(dst, True)          # leftover of an interrupted write
+        # rename() into an existing folder would nest; only publish if absent
+        if fs.exists(dst) or not fs.rename(tmp_p, dst):
+            fs.delete(tmp_p, True)
     return spark.read.parquet(path)
 
 
