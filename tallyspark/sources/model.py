@@ -23,7 +23,17 @@ from tallyspark.session import ensure_checkpoint_dir
 from tallyspark.sources import testdata
 from tallyspark.sources.tables import RAW_TABLES
 
-ADAPTER_VERSION = "1"
+def _code_hash(*modules) -> str:
+    h = hashlib.sha1()
+    for m in modules:
+        with open(m.__file__, "rb") as fh:
+            h.update(fh.read())
+    return h.hexdigest()[:12]
+
+
+# The stored tables are keyed by the adapter's own source: changing a rule
+# can never serve a table built by the old one.
+ADAPTER_VERSION = _code_hash(testdata)
 # Sort keys of each model table (quarter first where the table has one).
 SORT_KEYS = {
     "is_funnel": ["q", "week_date"], "ht_funnel": ["q", "week_date"],
@@ -65,7 +75,19 @@ def materialized(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     build = getattr(testdata, name)
     if os.environ.get("TALLYSPARK_MATERIALIZE", "1") == "0":
         return build(spark, sf_dir)
-    path = table_path(spark, sf_dir, name)
+    return _stored(spark, table_path(spark, sf_dir, name), lambda: build(spark, sf_dir), SORT_KEYS[name])
+
+
+def derived(spark: SparkSession, sf_dir: str, name: str, build, version: str,
+            sort_keys: tuple[str, ...] = ()) -> DataFrame:
+    """A dataset derived from the model tables (e.g. one report run),
+    stored once per input *and* code version and then read back."""
+    if os.environ.get("TALLYSPARK_MATERIALIZE", "1") == "0":
+        return build()
+    return _stored(spark, f"{table_path(spark, sf_dir, name)}-{version}", build, list(sort_keys))
+
+
+def _stored(spark: SparkSession, path: str, build, sort_keys) -> DataFrame:
     fs, p = _fs_and_path(spark, f"{path}/_SUCCESS")
     if not fs.exists(p):
         # Write to a private folder, then publish it with one rename: two
@@ -73,7 +95,8 @@ def materialized(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         # and the loser of a race simply reads the winner's table.
         import uuid
         tmp = f"{path}.tmp-{uuid.uuid4().hex}"
-        build(spark, sf_dir).sortWithinPartitions(*SORT_KEYS[name]).write.parquet(tmp)
+        df = build()
+        (df.sortWithinPartitions(*sort_keys) if sort_keys else df).write.parquet(tmp)
         _, tmp_p = _fs_and_path(spark, tmp)
         _, dst = _fs_and_path(spark, path)
         if fs.exists(dst) and not fs.exists(p):
