@@ -22,7 +22,8 @@ def test_every_oracle_key_is_a_query():
 
 
 @pytest.mark.parametrize("key", ["bridge_is", "bridge_ht", "section_hunting", "early_churn", "dd_is_project",
-                                 "worst_offender", "qtd", "bridge_shapley"])
+                                 "worst_offender", "qtd", "bridge_shapley", "bridge_ht_lw", "section_on_axis",
+                                 "gap_concentration", "waterfall_bars", "churn_completeness", "top_drivers"])
 def test_matches_duckdb_oracle_on_smoke_data(spark, key):
     got = E.queries()[key](spark, SMOKE).toPandas()
     want = duck(SMOKE).execute(E.oracle_sql()[key]).fetchdf()
