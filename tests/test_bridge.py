@@ -116,3 +116,15 @@ def test_shapley_efficiency_and_symmetry(spark):
     assert r["target_base"] == 50.0 and r["actual_base"] == 90.0
     assert abs(r["ef_productivity"] - 40.0) < 1e-9
     assert abs(r["ef_capacity"]) < 1e-9 and abs(r["ef_maturity"]) < 1e-9
+
+
+def test_ht_zero_headcount_option_only_moves_the_loss(spark):
+    f, t = _data(spark, seed=3)
+    ht_f = f.drop("proyecto_agrupado").withColumn("hc", F.when(F.col("country") == "MX", 0).otherwise(F.col("hc")))
+    ht_t = t.where("proyecto = 'INBOUND'").drop("proyecto")
+    a = B.bridge_ht(ht_f, ht_t, zero_hc="maturity").first()
+    b = B.bridge_ht(ht_f, ht_t, zero_hc="headcount").first()
+    assert a["ef_prod"] == b["ef_prod"] and a["ef_ausencias"] == b["ef_ausencias"]
+    # MX has no active rep: the SQL rule books its loss as maturity, the option as headcount
+    assert abs((a["ef_madurez"] + a["ef_hc"]) - (b["ef_madurez"] + b["ef_hc"])) < 0.11
+    assert b["ef_hc"] < a["ef_hc"]
