@@ -9,19 +9,22 @@ sets, so copies are never compared with one another:
 2. Global order: shingles that a documented sample of classes shows to be
    common come last, all others stand by hash. Any order gives the same
    links; this one keeps common shingles out of the prefixes.
-3. Candidates: a linked pair shares a shingle among the first
-   ``n - ceil(0.75 n) + 1`` of both. The order is cut into fragments, each a
-   group of its own. In a fragment, buckets of one class vanish and every
-   other bucket links its members to its smallest member (a star, never all
-   pairs). A common shingle is not gathered at all: its members are paired
-   with the class that the sample names.
-4. Overlaps: pairs are cut into blocks and each class's set into vertical
-   fragments; a (block, fragment) group counts partial overlaps, and the
-   counts are summed per pair.
-5. Components of the links so far. Buckets that still hold several
-   components then yield the pairs between components that pass the length
-   and position filters; those are verified the same way. Pairs inside one
-   component can't change it, so no link between components is lost.
+3. Prefixes: of ``n`` shingles the first ``n - ceil(0.75 n) + 1``. The order
+   is cut into fragments, each a group of its own, in which buckets of one
+   class vanish and buckets with the same members count as one. Every bucket
+   first pairs its members with a few centers only (stars, never all
+   pairs); a common shingle is not gathered at all, its members are paired
+   with the classes that the sample names. Partial overlaps are summed per pair
+   over the fragments, and pairs that can still be similar are verified.
+4. Verification: pairs are dealt into blocks and each class's set into
+   vertical fragments; a (block, fragment) group counts partial overlaps,
+   and the counts are summed per pair.
+5. Components of the links so far, then two more steps, each of which leaves
+   out what the last has joined: a star with many centers, and every pair
+   between components that is left. Prefix overlaps are summed, pruned and verified as before; in
+   the last step the sums are exact, so no link between different components
+   is lost, and pairs inside a component can't change it. The stars
+   join large groups of near copies at linear cost.
 
 The texts are read again rather than storing all shingles: hashing is
 vectorised and costs less than moving eight bytes per word.
@@ -40,6 +43,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,14 +52,18 @@ from tallyspark.llm.common import connected_components, mix64, shingle_sets, shu
 #: Share of classes (1 in SAMPLE) whose shingles are counted for the order.
 SAMPLE = 16
 #: A shingle is common when the sample holds it this often.
-COMMON_IN_SAMPLE = 4
-#: So many of the commonest shingles at most are told to the tasks (24 bytes each).
-MAX_COMMON = 1 << 17
+COMMON_IN_SAMPLE = 2
+#: So many of the commonest shingles at most are told to the tasks (16 bytes each).
+MAX_COMMON = 1 << 18
 #: Prefix entries per fragment, pairs per block, and vertical fragments of a block.
-FRAGMENT_ENTRIES = 400_000
-BLOCK_PAIRS = 4_000
-VERTICAL = 4
-#: Class ids up to which the list of classes to verify is broadcast (16 MB); beyond, it is a shuffled join.
+FRAGMENT_ENTRIES = 500_000
+BLOCK_PAIRS = 50_000
+VERTICAL = 32
+#: Members of a bucket that each verify the others in a star round.
+CENTERS = 5
+#: The second star step reads one in so many buckets, with so many times the centers.
+KEYS = 8
+#: Class ids up to which the list of classes to verify is broadcast (about 32 MB); beyond, it is a shuffled join.
 BROADCAST_CLASSES = 1 << 20
 
 _PERCENT = 75
@@ -89,170 +97,154 @@ def shingle_classes(docs: DataFrame) -> DataFrame:
         run, "doc_id long, n long, cid long, sample array<long>")
 
 
-def _common(sets: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of the commonest sampled shingles: hash (sorted), a class that has it, its set size."""
-    sampled = sets.filter("sample IS NOT NULL").groupBy("cid").agg(F.first("n").alias("n"), F.first("sample").alias("sample"))
-    rows = (sampled.select("cid", "n", F.explode("sample").alias("g")).groupBy("g")
-            .agg(F.count("*").alias("df"), F.min(F.struct("cid", "n")).alias("c"))
+def _rank(cid: str, seed: int):
+    return F.xxhash64(F.lit(seed), cid)
+
+
+def _common(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Of the commonest sampled shingles: hash (sorted) and CENTERS classes that have it."""
+    sampled = sets.filter("sample IS NOT NULL").groupBy("cid").agg(F.first("sample").alias("sample"))
+    rows = (sampled.select("cid", F.explode("sample").alias("g")).groupBy("g")
+            .agg(F.count("*").alias("df"), *[F.min(F.struct(_rank("cid", s), "cid")).alias(f"c{s}") for s in range(CENTERS)])
             .filter(F.col("df") >= COMMON_IN_SAMPLE).orderBy(F.desc("df"), "g").limit(MAX_COMMON)
-            .select("g", "c.cid", "c.n").toPandas())
+            .select("g", *[F.col(f"c{s}.cid").alias(f"c{s}") for s in range(CENTERS)]).toPandas())
     g = rows["g"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(g)
-    return g[order], rows["cid"].to_numpy(np.int64)[order], rows["n"].to_numpy(np.int64)[order]
-
-
-def _long_enough(a, b):
-    """Whether sizes a and b allow the similarity at all."""
-    return 100 * np.minimum(a, b) >= _PERCENT * np.maximum(a, b)
+    return g[order], np.stack([rows[f"c{s}"].to_numpy(np.int64)[order] for s in range(CENTERS)])
 
 
 def _entries(docs: DataFrame, common, fragments: int) -> DataFrame:
     """Prefix entries, packed: one row per batch and fragment of the order.
-    Fragment -1 holds star pairs of common shingles, -2 their entries."""
+    Below zero, a row per batch: star pairs of common shingles with their
+    number (odd) and the entries of common shingles (even)."""
     spark = docs.sparkSession
     told = spark.sparkContext.broadcast(common)
-    names = ["frag", "key", "cid", "n", "pos"]
     width = np.uint64(((1 << 64) - 1) // fragments + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot, hot_cid, hot_n = told.value
-        for batch in batches:
+        hot, hot_cid = told.value
+        task = TaskContext.get().partitionId()
+        for number, batch in enumerate(batches):
             seen: set[int] = set()
-            keys, cids, ns, poss = [], [], [], []
-            hk, hc, hn, hp, star = [], [], [], [], []
+            keys, cids, hk, hc, star = [], [], [], [], []
             with np.errstate(over="ignore"):
                 for u in shingle_sets(batch.column(0)):
                     n = len(u)
-                    if not n:
-                        continue
-                    cid = _class_id(u)
-                    if cid in seen:
+                    if not n or (cid := _class_id(u)) in seen:
                         continue
                     seen.add(cid)
                     m = _prefix(n)
+                    cold, h = u[:m], ()
                     if len(hot):
                         at = np.minimum(np.searchsorted(hot, u), len(hot) - 1)
                         is_hot = hot[at] == u
                         cold = u[~is_hot][:m]
-                    else:
-                        is_hot, cold = None, u[:m]
+                        h = at[is_hot][:m - len(cold)]
                     keys.append(cold)
                     cids.append(np.full(len(cold), cid, np.int64))
-                    ns.append(np.full(len(cold), n, np.int32))
-                    poss.append(np.arange(len(cold), dtype=np.int32))
-                    if len(cold) < m:
-                        h = at[is_hot][:m - len(cold)]
+                    if len(h):
                         hk.append(hot[h].view(np.int64))
                         hc.append(np.full(len(h), cid, np.int64))
-                        hn.append(np.full(len(h), n, np.int32))
-                        hp.append(np.arange(len(cold), len(cold) + len(h), dtype=np.int32))
-                        near = np.unique(hot_cid[h[_long_enough(hot_n[h], n)]])
-                        near = near[near != cid]
-                        star.append(np.stack([near, np.full(len(near), cid, np.int64)]))
+                        near, count = np.unique(hot_cid[:, h], return_counts=True)
+                        star.append(np.stack([near, np.full(len(near), cid, np.int64), count])[:, near != cid])
             out = []
             if keys:
-                k, c, n_, p = (np.concatenate(x) for x in (keys, cids, ns, poss))
+                k, c = np.concatenate(keys), np.concatenate(cids)
                 order = np.argsort(k)
-                k, c, n_, p = k[order], c[order], n_[order], p[order]
+                k, c = k[order], c[order]
                 f = (k // width).astype(np.int64)
+                short = (((k - f.astype(np.uint64) * width).astype(np.float64) / float(width)) * ((1 << 32) - 1)).astype(np.uint32)
                 cut = np.flatnonzero(np.diff(f)) + 1
                 for lo, hi in zip(np.r_[0, cut], np.r_[cut, len(k)], strict=True):
                     if hi > lo:
-                        out.append((int(f[lo]), *(x[lo:hi].tobytes() for x in (k, c, n_, p))))
-            if star and (s := np.unique(np.concatenate(star, axis=1), axis=1)).size:
-                out.append((-1, np.ascontiguousarray(s[0]).tobytes(), np.ascontiguousarray(s[1]).tobytes(), b"", b""))
+                        out.append((int(f[lo]), short[lo:hi].tobytes(), c[lo:hi].tobytes(), b""))
+            own = -2 * (1 + (task << 24) + number)
+            if star:
+                out.append((own + 1, *(x.tobytes() for x in np.concatenate(star, axis=1))))
             if hk:
-                out.append((-2, *(np.concatenate(x).tobytes() for x in (hk, hc, hn, hp))))
-            yield pa.RecordBatch.from_pandas(pd.DataFrame(out, columns=names), preserve_index=False, schema=pa.schema(
-                [("frag", pa.int64())] + [(x, pa.binary()) for x in names[1:]]))
-    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(
-        run, "frag long, key binary, cid binary, n binary, pos binary")
+                out.append((own, np.concatenate(hk).tobytes(), np.concatenate(hc).tobytes(), b""))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x[0] for x in out], pa.int64()), *(pa.array([x[i] for x in out], pa.binary()) for i in (1, 2, 3))],
+                ["frag", "key", "cid", "count"])
+    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "frag long, key binary, cid binary, count binary")
 
 
 def _buckets(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One fragment of the order: star pairs (kind 0: a, b) and the entries of
-    buckets with three classes or more (kind 1: key a, class b, n, pos)."""
+    """One fragment of the order. kind 0: star pair (a, b) and the number of
+    shingles it stands for; kind 1: class b in bucket a, which stands for so
+    many buckets with the same members; kind 2: class b has common shingle a."""
     col = lambda name, kind: np.concatenate([np.frombuffer(x, dtype=kind) for x in pdf[name]])
-    k, c, n, p = col("key", np.uint64), col("cid", np.int64), col("n", np.int32), col("pos", np.int32)
+    frag = int(pdf["frag"].iloc[0])
+    c = col("cid", np.int64)
+    if frag < 0:
+        pair = frag % 2 == 1
+        return pd.DataFrame({"kind": np.full(len(c), 0 if pair else 2, np.int32), "a": col("key", np.int64), "b": c,
+                             "count": col("count", np.int64) if pair else np.ones(len(c), np.int64)})
+    k = col("key", np.uint32)
     order = np.lexsort((c, k))
-    k, c, n, p = k[order], c[order], n[order], p[order]
+    k, c = k[order], c[order]
     keep = np.ones(len(k), dtype=bool)
     keep[1:] = (k[1:] != k[:-1]) | (c[1:] != c[:-1])  # copies met in other batches
-    k, c, n, p = k[keep], c[keep], n[keep], p[keep]
-    first = np.flatnonzero(np.r_[True, k[1:] != k[:-1]]) if len(k) else np.zeros(0, np.int64)
+    k, c = k[keep], c[keep]
+    first = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
     size = np.diff(np.r_[first, len(k)])
     with np.errstate(over="ignore"):
-        member = np.add.reduceat(mix64(c.view(np.uint64)), first) if len(first) else np.zeros(0, np.uint64)
-    # Of buckets with the same members the first in the order holds every pair's first common shingle.
-    _, earliest = np.unique(member, return_index=True)
-    use = np.zeros(len(first), dtype=bool)
-    use[earliest] = True
-    use &= size > 1
-    bucket = np.repeat(np.arange(len(first)), size)
-    rows = use[bucket]
-    head = np.repeat(first, size)
-    pair = rows & (np.arange(len(k)) != head) & _long_enough(n, n[head])
-    pairs = np.unique(np.stack([c[head[pair]], c[pair]]), axis=1) if pair.any() else np.zeros((2, 0), np.int64)
-    many = rows & (size[bucket] > 2)
-    m, e = pairs.shape[1], int(many.sum())
-    return pd.DataFrame({"kind": np.r_[np.zeros(m, np.int32), np.ones(e, np.int32)],
-                         "a": np.r_[pairs[0], k[many].view(np.int64)], "b": np.r_[pairs[1], c[many]],
-                         "n": np.r_[np.zeros(m, np.int32), n[many]], "pos": np.r_[np.zeros(m, np.int32), p[many]]})
-
-
-def _unpack(df: DataFrame, names: str, kinds: dict[str, type]) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.frombuffer(batch.column(x)[i].as_py(), dtype=t)) for x, t in kinds.items()], list(kinds))
-    return df.select(*kinds).mapInArrow(run, names)
-
-
-def _overlaps(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+        member = np.add.reduceat(mix64(c.view(np.uint64)), first)
+    _, one, number = np.unique(member, return_index=True, return_counts=True)
+    count = np.zeros(len(first), dtype=np.int64)
+    count[one] = number
+    rows = np.repeat((count > 0) & (size > 1), size)
+    k, c, count = k[rows], c[rows], np.repeat(count, size)[rows]
+    bucket = np.cumsum(np.r_[False, k[1:] != k[:-1]]) if len(k) else np.zeros(0, np.int64)
+    stars = []
+    for seed in range(CENTERS):
+        rank = mix64(c.view(np.uint64) ^ mix64(np.array([seed], dtype=np.uint64)))
+        head = np.lexsort((rank, bucket))[np.searchsorted(bucket, bucket)]  # the member of least rank
+        leaf = c != c[head]
+        stars.append(np.stack([c[head][leaf], c[leaf], count[leaf], bucket[leaf]]))
+    star = np.unique(np.concatenate(stars, axis=1), axis=1)  # two seeds may choose the same center
+    pairs = pd.DataFrame({"a": star[0], "b": star[1], "count": star[2]}).groupby(["a", "b"], as_index=False)["count"].sum()
+    return pd.concat([pairs.assign(kind=0), pd.DataFrame({
+        "kind": 1, "a": (frag << 32) + k.astype(np.int64), "b": c, "count": count})])[["kind", "a", "b", "count"]].astype({"kind": np.int32})
+
+
+def _overlaps(docs: DataFrame, pairs: DataFrame, reps: DataFrame) -> DataFrame:
     """``pairs(a, b)`` of class ids -> (a, b, common): sizes of the
     intersections, counted fragment by fragment and summed per pair."""
-    spark = docs.sparkSession
-    count = pairs.count()
-    blocks = max(shuffle_width(spark), count // BLOCK_PAIRS)
-    dealt = store(pairs.repartitionByRange(blocks, "a", "b").withColumn("block", F.spark_partition_id()), "op4-pairs")
+    blocks = max(1, pairs.count() // BLOCK_PAIRS)
+    dealt = store(pairs.select("a", "b").repartitionByRange(blocks, "a", "b").withColumn("block", F.spark_partition_id()), "op4-pairs")
     wanted = store(dealt.select("block", F.explode(F.array("a", "b")).alias("cid")).distinct()
-                   .groupBy("cid").agg(F.collect_list("block").alias("blocks")), "op4-wanted")
-    few = wanted.count() <= BROADCAST_CLASSES
-
-    if few:
-        ids = spark.sparkContext.broadcast(np.sort(wanted.select("cid").toPandas()["cid"].to_numpy(np.int64)))
-    else:
-        ids = spark.sparkContext.broadcast(None)
+                   .groupBy("cid").agg(F.collect_list("block").alias("blocks")).join(reps, "cid"), "op4-wanted")
+    width = np.uint64(((1 << 64) - 1) // VERTICAL + 1)
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = ids.value
-        width = np.uint64(((1 << 64) - 1) // VERTICAL + 1)
         for batch in batches:
-            seen: set[int] = set()
-            cid, frag, segs = [], [], []
+            block, frag, cid, segs = [], [], [], []
             with np.errstate(over="ignore"):
-                for u in shingle_sets(batch.column(0)):
-                    if not len(u) or (c := _class_id(u)) in seen:
+                for u, to in zip(shingle_sets(batch.column(0)), batch.column(1).to_pylist(), strict=True):
+                    if not len(u):
                         continue
-                    seen.add(c)
-                    if known is not None:
-                        at = np.searchsorted(known, c)
-                        if at == len(known) or known[at] != c:
-                            continue
+                    c = _class_id(u)
                     cut = np.searchsorted(u, width * np.arange(1, VERTICAL, dtype=np.uint64))
                     for f, part in enumerate(np.split(u, cut)):
                         if len(part):
-                            cid.append(c)
-                            frag.append(f)
-                            segs.append(part.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(cid, pa.int64()), pa.array(frag, pa.int32()), pa.array(segs, pa.binary())],
-                                             ["cid", "frag", "seg"])
-
-    made = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(segments, "cid long, frag int, seg binary")
-    # Copies met in different batches are one segment.
-    one = made.groupBy("cid", "frag").agg(F.first("seg").alias("seg"))
-    left = one.join(wanted, "cid").select(F.explode("blocks").alias("block"), "frag", "cid", "seg")
+                            block += to
+                            frag += [f] * len(to)
+                            cid += [c] * len(to)
+                            segs += [part.tobytes()] * len(to)
+            yield pa.RecordBatch.from_arrays([pa.array(block, pa.int32()), pa.array(frag, pa.int32()), pa.array(cid, pa.int64()),
+                                              pa.array(segs, pa.binary())], ["block", "frag", "cid", "seg"])
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    at = wanted.filter("doc_id IS NOT NULL").select("doc_id", "blocks")
+    if at.count() <= BROADCAST_CLASSES:
+        at = F.broadcast(at)
+    found = texts.join(at, "doc_id").select("text", "blocks")
+    nameless = wanted.filter("doc_id IS NULL")
+    if nameless.limit(1).count():  # classes of rows without an id are found by their digest
+        digest = texts.filter("doc_id IS NULL").select("text").distinct().mapInArrow(_with_class, "cid long, text string")
+        found = found.union(digest.join(nameless, "cid").select("text", "blocks"))
+    left = found.mapInArrow(segments, "block int, frag int, cid long, seg binary")
     right = dealt.select("block", F.explode(F.array(*[F.lit(f) for f in range(VERTICAL)])).alias("frag"), "a", "b")
 
     def count_common(seg: pd.DataFrame, todo: pd.DataFrame) -> pd.DataFrame:
@@ -272,48 +264,90 @@ def _overlaps(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return partial.groupBy("a", "b").agg(F.sum("common").alias("common"))
 
 
-def _links(docs: DataFrame, pairs: DataFrame, sizes: DataFrame) -> DataFrame:
+def _with_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        with np.errstate(over="ignore"):
+            cid = [_class_id(u) if len(u) else None for u in shingle_sets(batch.column(0))]
+        yield pa.RecordBatch.from_arrays([pa.array(cid, pa.int64()), batch.column(0)], ["cid", "text"])
+
+
+def _with_sizes(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    size = lambda x: reps.select(F.col("cid").alias(x), F.col("n").alias(f"n_{x}"))
+    return pairs.join(size("a"), "a").join(size("b"), "b")
+
+
+def _possible(n_a: str, d_a: str, n_b: str, d_b: str) -> str:
+    """Whether sets of these sizes with that many shingles in shared prefix buckets can be similar:
+    what lies behind the prefix that ends first adds no more than its set's rest."""
+    rest = f"greatest(ceil({n_a} * 0.75), ceil({n_b} * 0.75)) - 1"
+    return (f"100 * least({n_a}, {n_b}) >= {_PERCENT} * greatest({n_a}, {n_b}) AND "
+            f"{100 + _PERCENT} * (least({d_a}, {d_b}) + {rest}) >= {_PERCENT} * ({n_a} + {n_b})")
+
+
+def _promising(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    """Sum the partial prefix overlaps of each pair (a, b, count) and keep the pairs that can still be similar."""
+    summed = pairs.groupBy("a", "b").agg(F.sum("count").alias("count"))
+    return _with_sizes(summed, reps).filter(_possible("n_a", "count", "n_b", "count")).select("a", "b")
+
+
+def _links(docs: DataFrame, pairs: DataFrame, reps: DataFrame) -> DataFrame:
     """The pairs that are similar enough."""
-    size = lambda x: sizes.select(F.col("cid").alias(x), F.col("n").alias(f"n_{x}"))
-    joined = _overlaps(docs, pairs).join(size("a"), "a").join(size("b"), "b")
+    joined = _with_sizes(_overlaps(docs, pairs, reps), reps)
     return joined.filter(100 * F.col("common") >= _PERCENT * (F.col("n_a") + F.col("n_b") - F.col("common"))).select("a", "b")
 
 
+def _star(members: DataFrame) -> DataFrame:
+    """Partial pairs of each class with some centers of its buckets, over one in KEYS buckets.
+    The class that shares most of its prefix lies in the middle of its group; the other centers are drawn by hash."""
+    drawn = members.filter(F.pmod(F.xxhash64("key"), F.lit(KEYS)) == 0)
+    ranks = [-F.col("degree") / F.col("n")] + [F.lit(0.0)] * (KEYS * CENTERS - 1)
+    center = drawn.groupBy("key").agg(*[
+        F.min(F.struct(r, _rank("cid", 100 + s), "cid", "label", "n", "degree")).alias(f"c{s}") for s, r in enumerate(ranks)])
+    center = center.select("key", F.explode(F.array_distinct(F.array(*[
+        F.struct(f"c{s}.cid", f"c{s}.label", f"c{s}.n", f"c{s}.degree") for s in range(len(ranks))]))).alias("c"))
+    return (drawn.join(center, "key").filter("c.label <> label").filter(_possible("n", "degree", "c.n", "c.degree"))
+            .select(F.least("cid", "c.cid").alias("a"), F.greatest("cid", "c.cid").alias("b"), (KEYS * F.col("count")).alias("count")))
+
+
+def _every(members: DataFrame) -> DataFrame:
+    """Partial pairs of all classes of a bucket that lie in different components."""
+    x = members.select("key", F.col("cid").alias("a"), F.col("label").alias("label_a"), F.col("n").alias("n_a"), F.col("degree").alias("d_a"), "count")
+    y = members.select("key", F.col("cid").alias("b"), F.col("label").alias("label_b"), F.col("n").alias("n_b"), F.col("degree").alias("d_b"))
+    return (x.join(y, "key").filter("a < b AND label_a <> label_b").filter(_possible("n_a", "d_a", "n_b", "d_b"))
+            .select("a", "b", "count"))
+
+
 def ngram_join(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs(doc_id, text)``."""
     spark = docs.sparkSession
     sets = store(shingle_classes(docs), "op4-sets")
-    sizes = store(sets.filter("n > 0").groupBy("cid").agg(F.first("n").alias("n")), "op4-sizes")
-    common = _common(sets)
-    entries = sizes.agg(F.sum(F.expr("n - ceil(n * 0.75) + 1"))).first()[0] or 0
+    reps = store(sets.filter("n > 0").groupBy("cid").agg(F.first("n").alias("n"), F.min("doc_id").alias("doc_id")), "op4-classes")
+    entries = reps.agg(F.sum(F.expr("n - ceil(n * 0.75) + 1"))).first()[0] or 0
     fragments = max(2, shuffle_width(spark), int(entries) // FRAGMENT_ENTRIES)
-    from_order = store(_entries(docs, common, fragments), "op4-entries")
-    bucket = store(from_order.filter("frag >= 0").groupBy("frag").applyInPandas(_buckets, "kind int, a long, b long, n int, pos int"), "op4-buckets")
-    star = _unpack(from_order.filter("frag = -1").select(F.col("key").alias("a"), F.col("cid").alias("b")),
-                   "a long, b long", {"a": np.int64, "b": np.int64})
-    both = bucket.filter("kind = 0").select("a", "b").union(star)
-    first = store(both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "op4-first")
-    links = store(_links(docs, first, sizes), "op4-links")
+    bucket = store(_entries(docs, _common(sets), fragments).groupBy("frag").applyInPandas(
+        _buckets, "kind int, a long, b long, count long"), "op4-buckets")
+    star = bucket.filter("kind = 0").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "count")
+    first = store(_promising(star, reps), "op4-first")
+    links = store(_links(docs, first, reps), "op4-links")
     labels = connected_components(links)
 
-    hot = _unpack(from_order.filter("frag = -2").select(F.col("key").alias("a"), F.col("cid").alias("b"), "n", "pos"),
-                  "a long, b long, n int, pos int", {"a": np.int64, "b": np.int64, "n": np.int32, "pos": np.int32})
-    members = bucket.filter("kind = 1").select("a", "b", "n", "pos").union(hot.dropDuplicates(["a", "b"]))
-    named = store(members.join(labels.withColumnRenamed("id", "b"), "b", "left")
-                  .select(F.col("a").alias("key"), F.col("b").alias("cid"), "n", "pos", F.coalesce("label", "b").alias("label")), "op4-named")
-    mixed = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("key")
-    open_ = store(named.join(mixed, "key", "left_semi"), "op4-open")
-    x = open_.select("key", *[F.col(c).alias(f"{c}_x") for c in ("cid", "n", "pos", "label")])
-    y = open_.select("key", *[F.col(c).alias(f"{c}_y") for c in ("cid", "n", "pos", "label")])
-    most = "(1 + least(n_x - pos_x, n_y - pos_y) - 1 + least(pos_x, pos_y))"
-    between = (x.join(y, "key").filter("cid_x < cid_y AND label_x <> label_y")
-               .filter("100 * least(n_x, n_y) >= 75 * greatest(n_x, n_y)")
-               .filter(f"100 * {most} >= 75 * (n_x + n_y - {most})")
-               .select(F.col("cid_x").alias("a"), F.col("cid_y").alias("b")).distinct())
-    second = store(between.join(first, ["a", "b"], "left_anti"), "op4-second")
-    if second.limit(1).count():
-        links = store(links.union(_links(docs, second, sizes)), "op4-links")
-        labels = connected_components(links)
+    members = store(bucket.filter("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("cid"), "count").union(
+        bucket.filter("kind = 2").select("a", "b", "count").dropDuplicates(["a", "b"])), "op4-members")
+    # What one step links, the next leaves out: only the last step takes every pair between components.
+    for step in (_star, _every):
+        named = store(members.join(labels.withColumnRenamed("id", "cid"), "cid", "left")
+                      .select("key", "cid", "count", F.coalesce("label", "cid").alias("label")), "op4-named")
+        mixed = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("key")
+        named = named.join(mixed, "key", "left_semi")
+        # A class shares no more of its prefix with another than with all others together.
+        degree = named.groupBy("cid").agg(F.sum("count").alias("degree")).join(reps.select("cid", "n"), "cid")
+        members = store(named.join(degree, "cid"), "op4-open")
+        more = store(_promising(step(members), reps).join(first, ["a", "b"], "left_anti"), "op4-more")
+        if more.limit(1).count():
+            links = store(links.union(_links(docs, more, reps)), "op4-links")
+            labels = connected_components(links)
+            first = store(first.union(more), "op4-first")
+        members = members.select("key", "cid", "count")
     named = sets.select("doc_id", "n", "cid").join(labels.withColumnRenamed("id", "cid"), "cid", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("label", "cid").alias("label"))
     least = named.filter("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("least"))
@@ -322,16 +356,12 @@ def ngram_join(docs: DataFrame) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its component,
-    one row for each component. Rows with a null doc_id stay when nothing
-    links them to a document with an id."""
+    """One row of every component: that with the component's smallest doc_id.
+    Of repeated rows with that id one stays; rows without an id all stay."""
     found = store(ngram_join(docs), "op4-components")
-    kept = found.filter("doc_id <=> component_id").select("doc_id")
-    twice = kept.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").limit(1).count()
-    if twice:  # repeated rows of one id: the first by text stays
-        docs = docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("string"), F.uuid())).dropDuplicates(["_key"]).drop("_key")
-    ids = kept.filter("doc_id IS NOT NULL").distinct().select(F.col("doc_id").alias("_kept"))
+    kept = found.filter("doc_id = component_id").select("doc_id")
+    ids = kept.distinct().select(F.col("doc_id").alias("_kept"))
     rows = docs.join(ids, F.col("doc_id").cast("long") == F.col("_kept"), "left_semi")
-    if kept.filter("doc_id IS NULL").limit(1).count():
-        rows = rows.union(docs.filter("doc_id IS NULL"))
-    return rows
+    if kept.groupBy("doc_id").count().filter("count > 1").limit(1).count():
+        rows = rows.dropDuplicates(["doc_id"])
+    return rows.union(docs.filter("doc_id IS NULL"))
