@@ -50,8 +50,9 @@ ITEM_BLOCK = 5_000
 ITEM_BLOCK_WORDS = 500_000
 #: Size classes grow by this ratio.
 CLASS_RATIO = 4 / 3
-#: Words of one vectorised step.
-STEP_WORDS = 1 << 16
+#: Words of one vectorised step, and of a window at most (its weights fit 16 bits).
+STEP_WORDS = 1 << 15
+MAX_WINDOW = 20_000
 _COMMON_SHARE, _RARE_WEIGHT = 0.02, 3
 
 _WORD_BYTES = np.zeros(256, dtype=bool)
@@ -76,17 +77,28 @@ def _shingles(w: np.ndarray) -> np.ndarray:
     return np.unique(mix64(g))
 
 
-def _fingerprints(w: np.ndarray, weight: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
-    """SimHash of the windows of ``size`` words that start at ``at`` (ascending)."""
-    bits = np.unpackbits(w.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1)
-    kind = np.int16 if size * _RARE_WEIGHT < 1 << 14 else np.int32
-    total = np.zeros((len(w) + 1, 64), dtype=kind)
-    np.cumsum(bits * weight.astype(np.uint8)[:, None], axis=0, dtype=kind, out=total[1:])
-    all_ = np.zeros(len(w) + 1, dtype=kind)
-    np.cumsum(weight, dtype=kind, out=all_[1:])
-    ones = total[at + size] - total[at]
-    full = all_[at + size] - all_[at]
-    return np.packbits(2 * ones > full[:, None], axis=1).view("<u8").ravel()
+#: For a byte, its bits as eight 16-bit counters in two 64-bit numbers.
+_COUNTERS = np.array([[sum(((v >> (4 * h + i)) & 1) << (16 * i) for i in range(4)) for v in range(256)] for h in range(2)], dtype=np.uint64)
+
+
+def _running(w: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Running sums, word by word, of the 64 bits' weights (rows 0 to 15, four counters each) and of
+    the weights (row 16). Counters may carry over; differences of less than 2**16 are exact all the same."""
+    out = np.zeros((17, len(w) + 1), dtype=np.uint64)
+    octets = w.astype("<u8").view(np.uint8).reshape(-1, 8)
+    for j in range(8):
+        column = np.ascontiguousarray(octets[:, j])
+        for h in range(2):
+            np.cumsum(_COUNTERS[h][column] * weight, out=out[2 * j + h, 1:])
+    np.cumsum(weight, out=out[16, 1:])
+    return out
+
+
+def _fingerprints(running: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """SimHash of the windows of ``size`` words that start at ``at``."""
+    sums = running[:, at + size] - running[:, at]
+    ones = np.ascontiguousarray(sums[:16].T).view("<u2")
+    return np.packbits(ones > (sums[16] >> np.uint64(1)).astype(np.uint16)[:, None], axis=1).view("<u8").ravel()
 
 
 class Items:
@@ -111,21 +123,22 @@ class Items:
             if len(w):
                 by_class.setdefault(int(math.log(len(w), CLASS_RATIO) + 1e-9), []).append(i)
         self.classes = [self._tables(members) for members in by_class.values()]
+        self.longest = max((c["size"] for c in self.classes), default=0)
 
     def weight(self, w: np.ndarray) -> np.ndarray:
         if not len(self.common):
-            return np.full(len(w), _RARE_WEIGHT, dtype=np.int16)
+            return np.full(len(w), _RARE_WEIGHT, dtype=np.uint64)
         at = np.minimum(np.searchsorted(self.common, w), len(self.common) - 1)
-        return np.where(self.common[at] == w, 1, _RARE_WEIGHT).astype(np.int16)
+        return np.where(self.common[at] == w, 1, _RARE_WEIGHT).astype(np.uint64)
 
     def _tables(self, members: list[int]) -> dict:
         shortest = min(len(self.words[i]) for i in members)
-        size = max(1, shortest // 2)
+        size = min(max(1, shortest // 2), MAX_WINDOW)
         prints, item, offset = [], [], []
         for i in members:
             w = self.words[i]
             at = np.arange(len(w) - size + 1)
-            prints.append(_fingerprints(w, self.weight(w), at, size))
+            prints.append(_fingerprints(_running(w, self.weight(w)), at, size))
             item.append(np.full(len(at), i))
             offset.append(at)
         prints = np.concatenate(prints)
@@ -181,14 +194,15 @@ def matches(items: Items, column: pa.Array) -> list[tuple[int, int, float, int]]
     best: dict[tuple[int, int], tuple[float, int]] = {}
     for row, w, first in _words(column):
         tried: set[tuple[int, int, int]] = set()
-        for c in items.classes:
-            grid = _grid(first, c["size"], c["step"])
-            for lo in range(0, len(w), STEP_WORDS):
+        grids = [_grid(first, c["size"], c["step"]) for c in items.classes]
+        for lo in range(0, len(w), STEP_WORDS):
+            part = w[lo:lo + STEP_WORDS + items.longest]
+            running = _running(part, items.weight(part))
+            for c, grid in zip(items.classes, grids, strict=True):
                 a, z = np.searchsorted(grid, [lo, lo + STEP_WORDS])
                 if a == z:
                     continue
-                part = w[lo:lo + STEP_WORDS + c["size"]]
-                window, other = _near(_fingerprints(part, items.weight(part), grid[a:z] - lo, c["size"]), c)
+                window, other = _near(_fingerprints(running, grid[a:z] - lo, c["size"]), c)
                 place = grid[a + window]
                 text = np.searchsorted(first, place, side="right") - 1
                 for t, p, i in zip(text.tolist(), (place - c["offset"][other]).tolist(), c["item"][other].tolist(), strict=True):

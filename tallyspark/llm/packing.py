@@ -23,7 +23,9 @@ an empty table gives no rows.
 from __future__ import annotations
 
 import os
+import sys
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -33,29 +35,44 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import CHUNK_BYTES, store
+from tallyspark.llm.common import store
 
 CAPACITY = 2048
 SEPARATOR = 0
 #: Encoded words that a worker remembers before it starts anew.
-CACHE_WORDS = 150_000
+CACHE_WORDS = 250_000
 
 
-class WordEncoder:
-    """Ids of whole texts, word by word. The tokenizer drops white space and
-    never joins across it, so a text's ids are its blank-separated words' ids
-    in order; each distinct word is encoded once per worker."""
+def _byte_letters() -> dict[int, str]:
+    """The letters by which byte-level vocabularies write bytes: printable Latin-1
+    characters stand for themselves, the other bytes for those from U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(other)}
 
-    _by_path: dict[str, WordEncoder] = {}
+
+class WordIds(dict):
+    """Little-endian unsigned 32-bit ids of a blank-separated word, encoded when first met.
+
+    The tokenizer drops white space and never joins across it, so a text's
+    ids are those of its words in order. A word of Latin-1 letters, also with
+    one stop or comma behind it, is a single piece (two with the mark) to
+    the tokenizer's splitter and goes to its BPE model directly; any other
+    word goes through the whole tokenizer.
+    """
+
+    _by_path: dict[str, WordIds] = {}
+    _letters = _byte_letters()
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
+        self.model = self.tokenizer.model
 
     @classmethod
-    def get(cls, path: str | None) -> WordEncoder:
+    def at(cls, path: str | None) -> WordIds:
         if path is None:
             import public_tokenizers
             path = public_tokenizers.path("word_bpe_49k.json")
@@ -63,63 +80,60 @@ class WordEncoder:
             cls._by_path[path] = cls(path)
         return cls._by_path[path]
 
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        """Little-endian unsigned 32-bit ids of each text, the separator at the end."""
-        if len(self.known) > CACHE_WORDS:
-            self.known = {"": b""}
-        end = np.uint32(SEPARATOR).astype("<u4").tobytes()
-        words = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        new = list(set().union(*words) - self.known.keys())
-        encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        for i in range(0, len(new), 5000):
-            part = new[i:i + 5000]
-            for w, e in zip(part, encode(part, add_special_tokens=False), strict=True):
-                self.known[w] = np.array(e.ids, dtype="<u4").tobytes()
-        get = self.known.__getitem__
-        for parts in words:
-            yield b"".join(map(get, parts)) + end
-
-
-def _groups(texts: pa.Array) -> Iterator[list[str]]:
-    """Texts of about CHUNK_BYTES at a time."""
-    group, size = [], 0
-    for t in texts:
-        t = t.as_py() or ""
-        group.append(t)
-        size += len(t)
-        if size >= CHUNK_BYTES:
-            yield group
-            group, size = [], 0
-    if group:
-        yield group
+    def __missing__(self, word: str) -> bytes:
+        if not word:
+            return b""
+        body, mark = (word[:-1], word[-1]) if word[-1] in ".," and len(word) > 1 else (word, "")
+        low = body.lower()
+        if low.isalpha() and (low.isascii() or max(low) <= "\u00ff"):
+            if mark or low != word:
+                ids = self[low] + (self[mark] if mark else b"")
+            else:
+                piece = low if low.isascii() else low.encode().decode("latin-1").translate(self._letters)
+                ids = array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
+        else:
+            ids = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        if len(word) <= 64:
+            if len(self) >= CACHE_WORDS:
+                self.clear()
+            self[word] = ids
+        return ids
+
+    def text(self, text: str) -> bytes:
+        """Ids of a whole text, the separator at the end."""
+        words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+        return b"".join(map(self.__getitem__, words)) + _END
+
+
+if sys.byteorder != "little" or array("I").itemsize != 4:
+    raise ImportError("ids are kept as little-endian 32-bit numbers")
+_END = array("I", [SEPARATOR]).tobytes()
 
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer_path: str | None = None, keep_ids: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, task, rank[, ids])."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder.get(tokenizer_path)
+        encoder = WordIds.at(tokenizer_path)
         task = TaskContext.get().partitionId()
         seen = [0] * (capacity + 1)
         step = 4 * capacity
         for batch in batches:
-            docs_of, row = batch.column(0), 0
             of, piece, start, length, crc, rank, kept = [], [], [], [], [], [], []
-            for group in _groups(batch.column(1)):
-                for ids in encoder.encode(group):
-                    for k, at in enumerate(range(0, len(ids), step)):
-                        part = ids[at:at + step]
-                        n = len(part) // 4
-                        of.append(row)
-                        piece.append(k)
-                        start.append(at // 4)
-                        length.append(n)
-                        crc.append(zlib.crc32(part))
-                        rank.append(seen[n])
-                        seen[n] += 1
-                        if keep_ids:
-                            kept.append(np.frombuffer(part, dtype="<u4").astype(np.int32))
-                    row += 1
-            cols = [docs_of.take(pa.array(of, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
+            for row, text in enumerate(batch.column(1)):
+                ids = encoder.text(text.as_py() or "")
+                for k, at in enumerate(range(0, len(ids), step)):
+                    part = ids[at:at + step]
+                    n = len(part) // 4
+                    of.append(row)
+                    piece.append(k)
+                    start.append(at // 4)
+                    length.append(n)
+                    crc.append(zlib.crc32(part))
+                    rank.append(seen[n])
+                    seen[n] += 1
+                    if keep_ids:
+                        kept.append(np.frombuffer(part, dtype="<u4").astype(np.int32))
+            cols = [batch.column(0).take(pa.array(of, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
                     pa.array(length, pa.int64()), pa.array(crc, pa.int64()), pa.array(np.full(len(of), task), pa.int64()),
                     pa.array(rank, pa.int64())]
             names = ["doc_id", "piece", "start", "length", "ids_crc32", "task", "rank"]
