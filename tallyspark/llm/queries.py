@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspark.llm import chat, decontaminate, ngram_join, packing, quality, secrets, topk
+from tallyspark.llm import chat, decontaminate, ngram_join, packing, quality, secrets, topk, toxicity
 from tallyspark.llm.common import read, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,13 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+@query("op1_toxicity")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every text."""
+    docs = read(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
+
+
 @query("op2_secret_scan")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every text."""
