@@ -59,6 +59,8 @@ MAX_COMMON = 1 << 18
 FRAGMENT_ENTRIES = 500_000
 BLOCK_PAIRS = 50_000
 VERTICAL = 32
+#: Documents that a task packs together.
+SLICE_ROWS = 2_500
 #: Members of a bucket that each verify the others in a star round.
 CENTERS = 5
 #: The second star step reads one in so many buckets, with so many times the centers.
@@ -113,6 +115,13 @@ def _common(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return g[order], np.stack([rows[f"c{s}"].to_numpy(np.int64)[order] for s in range(CENTERS)])
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of SLICE_ROWS rows, so that what a task holds at once stays small."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(lo, SLICE_ROWS)
+
+
 def _entries(docs: DataFrame, common, fragments: int) -> DataFrame:
     """Prefix entries, packed: one row per batch and fragment of the order.
     Below zero, a row per batch: star pairs of common shingles with their
@@ -124,7 +133,7 @@ def _entries(docs: DataFrame, common, fragments: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot, hot_cid = told.value
         task = TaskContext.get().partitionId()
-        for number, batch in enumerate(batches):
+        for number, batch in enumerate(_slices(batches)):
             seen: set[int] = set()
             keys, cids, hk, hc, star = [], [], [], [], []
             with np.errstate(over="ignore"):
@@ -218,22 +227,25 @@ def _overlaps(docs: DataFrame, pairs: DataFrame, reps: DataFrame) -> DataFrame:
     width = np.uint64(((1 << 64) - 1) // VERTICAL + 1)
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            block, frag, cid, segs = [], [], [], []
+        cuts = width * np.arange(1, VERTICAL, dtype=np.uint64)
+        for batch in _slices(batches):
+            held: dict[tuple[int, int], tuple[list, list, list]] = {}
             with np.errstate(over="ignore"):
                 for u, to in zip(shingle_sets(batch.column(0)), batch.column(1).to_pylist(), strict=True):
                     if not len(u):
                         continue
                     c = _class_id(u)
-                    cut = np.searchsorted(u, width * np.arange(1, VERTICAL, dtype=np.uint64))
-                    for f, part in enumerate(np.split(u, cut)):
-                        if len(part):
-                            block += to
-                            frag += [f] * len(to)
-                            cid += [c] * len(to)
-                            segs += [part.tobytes()] * len(to)
-            yield pa.RecordBatch.from_arrays([pa.array(block, pa.int32()), pa.array(frag, pa.int32()), pa.array(cid, pa.int64()),
-                                              pa.array(segs, pa.binary())], ["block", "frag", "cid", "seg"])
+                    for f, part in enumerate(np.split(u, np.searchsorted(u, cuts))):
+                        for block in to if len(part) else ():
+                            cids, sizes, segs = held.setdefault((block, f), ([], [], []))
+                            cids.append(c)
+                            sizes.append(len(part))
+                            segs.append(part)
+            pack = lambda x, t: np.array(x, dtype=t).tobytes()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k[0] for k in held], pa.int32()), pa.array([k[1] for k in held], pa.int32()),
+                 pa.array([pack(v[0], np.int64) for v in held.values()], pa.binary()), pa.array([pack(v[1], np.int64) for v in held.values()], pa.binary()),
+                 pa.array([np.concatenate(v[2]).tobytes() for v in held.values()], pa.binary())], ["block", "frag", "cid", "size", "seg"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     at = wanted.filter("doc_id IS NOT NULL").select("doc_id", "blocks")
@@ -244,14 +256,17 @@ def _overlaps(docs: DataFrame, pairs: DataFrame, reps: DataFrame) -> DataFrame:
     if nameless.limit(1).count():  # classes of rows without an id are found by their digest
         digest = texts.filter("doc_id IS NULL").select("text").distinct().mapInArrow(_with_class, "cid long, text string")
         found = found.union(digest.join(nameless, "cid").select("text", "blocks"))
-    left = found.mapInArrow(segments, "block int, frag int, cid long, seg binary")
+    left = found.mapInArrow(segments, "block int, frag int, cid binary, size binary, seg binary")
     right = dealt.select("block", F.explode(F.array(*[F.lit(f) for f in range(VERTICAL)])).alias("frag"), "a", "b")
 
     def count_common(seg: pd.DataFrame, todo: pd.DataFrame) -> pd.DataFrame:
-        parts = {c: np.frombuffer(s, dtype=np.uint64) for c, s in zip(seg["cid"], seg["seg"], strict=True)}
+        parts: dict[int, np.ndarray] = {}
+        for cid, size, values in zip(seg["cid"], seg["size"], seg["seg"], strict=True):
+            own = np.split(np.frombuffer(values, dtype=np.uint64), np.cumsum(np.frombuffer(size, dtype=np.int64))[:-1])
+            parts.update(zip(np.frombuffer(cid, dtype=np.int64).tolist(), own, strict=True))
         none = np.zeros(0, np.uint64)
         out = np.zeros(len(todo), dtype=np.int64)
-        for i, (a, b) in enumerate(zip(todo["a"].to_numpy(), todo["b"].to_numpy(), strict=True)):
+        for i, (a, b) in enumerate(zip(todo["a"].tolist(), todo["b"].tolist(), strict=True)):
             x, y = parts.get(a, none), parts.get(b, none)
             if len(x) and len(y):
                 at = np.searchsorted(x, y)
