@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspark.llm import chat, decontaminate, ngram_join, packing, quality, secrets, topk, toxicity
+from tallyspark.llm import chat, decontaminate, licenses, ngram_join, packing, pii, quality, secrets, topk, toxicity
 from tallyspark.llm.common import read, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,6 +128,18 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_matches(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+@query("op7_pii_scan")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every text."""
+    return pii.scan(read(spark, sf_dir, "documents"))
+
+
+@query("op8_license_scan")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paragraphs of all documents that declare a licence."""
+    return licenses.scan(read(spark, sf_dir, "documents"))
+
+
 @query("op9_quality_classifier")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected grade and tail probabilities of every document."""

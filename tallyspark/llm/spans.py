@@ -16,6 +16,11 @@ from pyspark.sql import functions as F
 _BLOCK = 256
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often it is used, also inside lambdas."""
+    return F.transform(F.array(value), use)[0]
+
+
 def match_spans(text: Column, pattern: str, kind: str, rank: int, keep: Callable[[Column, Column], Column] | None = None,
                 group: int | None = None) -> Column:
     """Array of struct(start, rank, end, kind, match, value) of the matches for which ``keep(match, value)`` holds.
@@ -36,15 +41,14 @@ def match_spans(text: Column, pattern: str, kind: str, rank: int, keep: Callable
         return F.struct(F.coalesce(end, start).cast("bigint").alias("at"),
                         F.when(x["match"].isNull(), acc["found"]).otherwise(F.concat(acc["found"], F.array(span))).alias("found"))
 
-    def block(acc: Column, i: Column) -> Column:
-        inner = F.aggregate(F.slice(rows, i * _BLOCK + 1, _BLOCK),
-                            F.struct(acc["at"].alias("at"), F.array().cast(fields).alias("found")), add)
-        return F.transform(F.array(inner), lambda r: F.struct(
-            r["at"].alias("at"), F.concat(acc["found"], F.filter(r["found"], lambda s: keep(s["match"], s["value"])) if keep else r["found"]).alias("found")))[0]
+    def block(rows: Column, acc: Column, i: Column) -> Column:
+        inner = F.aggregate(F.slice(rows, i * _BLOCK + 1, _BLOCK), F.struct(acc["at"].alias("at"), F.array().cast(fields).alias("found")), add)
+        return let(inner, lambda r: F.struct(
+            r["at"].alias("at"), F.concat(acc["found"], F.filter(r["found"], lambda s: keep(s["match"], s["value"])) if keep else r["found"]).alias("found")))
 
     zero = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(fields).alias("found"))
-    blocks = F.sequence(F.lit(0), F.floor((F.size(gaps) - 1) / _BLOCK).cast("int"))
-    return F.when(text.rlike(pattern), F.aggregate(blocks, zero, block)["found"]).otherwise(F.array().cast(fields))
+    found = let(rows, lambda r: F.aggregate(F.sequence(F.lit(0), F.floor((F.size(r) - 1) / _BLOCK).cast("int")), zero, lambda acc, i: block(r, acc, i))["found"])
+    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(fields))
 
 
 def spans_text(spans: Column) -> Column:
