@@ -23,7 +23,7 @@ are never shuffled, and a long one is worked through in blocks of words.
 
 Defined results: null or empty texts and items match nothing; repeated rows
 are reported each; of equal similarities the first window counts; items of
-fewer than five words are one shingle of all their words; a null item_id or
+fewer than five words can't be told from ordinary text and match nothing; a null item_id or
 doc_id is reported as null.
 """
 
@@ -120,7 +120,7 @@ class Items:
         self.common = np.sort(np.array([g for g, c in words_in.items() if c >= max(2, _COMMON_SHARE * n)], dtype=np.uint64))
         by_class: dict[int, list[int]] = {}
         for i, w in enumerate(self.words):
-            if len(w):
+            if len(w) >= SHINGLE:
                 by_class.setdefault(int(math.log(len(w), CLASS_RATIO) + 1e-9), []).append(i)
         self.classes = [self._tables(members) for members in by_class.values()]
         self.longest = max((c["size"] for c in self.classes), default=0)
