@@ -20,7 +20,8 @@ from tallyspark.functions.exprs import (AGING_LABELS, aging_key, guarded_div, no
 from tallyspark.operators.calendar import in_quarter, valid_weeks
 from tallyspark.operators.targets import target_by_kind
 
-# Effect labels of the IS bridge, in their report order.
+# Short labels and display order of the IS projects that have
+# one (any other project follows under its own name), and the effect labels.
 IS_PROJECTS = [("OUTBOUND", "OB"), ("INBOUND", "IB")]
 IS_EFFECTS = [("ef_prod", "Productividad"), ("ef_hc", "Headcount"), ("ef_maturity", "Maturity")]
 
@@ -28,10 +29,11 @@ IS_EFFECTS = [("ef_prod", "Productividad"), ("ef_hc", "Headcount"), ("ef_maturit
 def _headcount_cells(funnel: DataFrame, keys: list[str]) -> DataFrame:
     """Distinct active reps per cell without a DISTINCT aggregate: group by
     (cell, rep) first, then count flags. Both stages combine map-side, so a
-    hot cell never lands whole in one task."""
+    hot cell never lands whole in one task. A NULL rep id is no rep; its days
+    and stores stay in the sums."""
     hc1 = F.col("hc") == 1
     rep = (funnel.groupBy(*keys, "hunter_email")
-           .agg(F.max(F.when(hc1, F.lit(1)).otherwise(F.lit(0))).alias("active"),
+           .agg(F.max(F.when(hc1 & F.col("hunter_email").isNotNull(), F.lit(1)).otherwise(F.lit(0))).alias("active"),
                 F.sum("dias_trabajados").alias("dias"),
                 F.sum(F.when(hc1, F.col("dias_trabajados")).otherwise(F.lit(0))).alias("dias_active"),
                 F.sum("stores_totales").alias("stores")))
@@ -42,6 +44,14 @@ def _headcount_cells(funnel: DataFrame, keys: list[str]) -> DataFrame:
 
 
 # ------------------------------------------------------------------ IS bridge
+def _in_weeks(df: DataFrame, weeks: DataFrame, mode: str, exclude: DataFrame | None) -> DataFrame:
+    """Funnel rows of the valid weeks. In QTD mode without exclusions these
+    are all rows, so nothing is joined."""
+    if mode == "QTD" and exclude is None:
+        return df
+    return df.join(weeks.select("q", "week").distinct(), ["q", "week"], "left_semi")
+
+
 def bridge_is_target_check(target: DataFrame, funnel: DataFrame, mode: str = "QTD",
                            quarter: str | None = None) -> DataFrame:
     """STORES target by project x week over the valid weeks (the bridge's
@@ -53,12 +63,12 @@ def bridge_is_target_check(target: DataFrame, funnel: DataFrame, mode: str = "QT
 
 
 def bridge_is_cells(funnel: DataFrame, target: DataFrame, mode: str = "QTD", quarter: str | None = None,
-                    project_col: str = "proyecto_agrupado") -> DataFrame:
+                    project_col: str = "proyecto_agrupado", exclude: DataFrame | None = None) -> DataFrame:
     """Real and target cells (project x aging x country x week) merged by a
     FULL OUTER join: target-only and real-only cells are both kept, and an
     unmapped (NULL) aging never matches."""
-    weeks = valid_weeks(funnel, mode, quarter)
-    f = in_quarter(funnel, quarter).withColumnRenamed("week_date", "week").join(weeks, ["q", "week"], "left_semi")
+    weeks = valid_weeks(funnel, mode, quarter, exclude=exclude)
+    f = _in_weeks(in_quarter(funnel, quarter).withColumnRenamed("week_date", "week"), weeks, mode, exclude)
     f = f.select("q", F.col(project_col).alias("proyecto"), aging_key("aging_category_final").alias("aging_norm"),
                  "country", "week", "hunter_email", "hc", "dias_trabajados", "stores_totales")
     real = _headcount_cells(f, ["q", "proyecto", "aging_norm", "country", "week"]).drop("dias_active")
@@ -99,64 +109,66 @@ def bridge_is_project(cells: DataFrame) -> DataFrame:
         guarded_div("dias_tg", "hc_tg").alias("asist_tg"))
 
 
-def bridge_is(funnel: DataFrame, target: DataFrame, mode: str = "QTD", quarter: str | None = None,
-              project_col: str = "proyecto_agrupado") -> DataFrame:
-    """Per (q, project): real, target, gap and the three effects.
+def bridge_is_effects(funnel: DataFrame, target: DataFrame, mode: str = "QTD", quarter: str | None = None,
+                      project_col: str = "proyecto_agrupado", exclude: DataFrame | None = None) -> DataFrame:
+    """Per (q, project), unrounded: real, target, gap and the three effects.
 
-    ``ef_hc`` closes the bridge by construction (it is the gap minus the
-    other two effects), so its parts are reported separately as well:
-    ``hc_pure`` (headcount), ``attendance`` and ``residual``.
+    Productivity and maturity are measured over the real days; headcount is
+    what is left of the gap, so the bridge closes. Its parts ``hc_pure`` and
+    ``attendance`` are given besides.
     """
-    p = bridge_is_project(bridge_is_cells(funnel, target, mode, quarter, project_col))
+    p = bridge_is_project(bridge_is_cells(funnel, target, mode, quarter, project_col, exclude))
     hr, ht = F.col("hc_real"), F.col("hc_tg")
     ar, at = F.col("asist_real"), F.col("asist_tg")
     pr, pt, pm = F.col("prod_real"), F.col("prod_tg"), F.col("prod_tg_mix_real")
-    desvio = F.col("stores_real") - F.col("stores_tg")
-    ef_prod = hr * ar * (pr - pm)
-    ef_mat = hr * ar * (pm - pt)
-    hc_pure = (hr - ht) * at * pt
-    attendance = hr * (ar - at) * pt
-    ef_hc = hc_pure + attendance + (desvio - (hc_pure + attendance) - ef_mat - ef_prod)
-    residuo = desvio - ef_hc - ef_mat - ef_prod
+    out = p.select("q", "proyecto", F.col("stores_real").cast("double").alias("stores_real"), "stores_tg",
+                   (F.col("stores_real") - F.col("stores_tg")).alias("desvio"),
+                   (hr * ar * (pr - pm)).alias("ef_prod"), (hr * ar * (pm - pt)).alias("ef_maturity"),
+                   ((hr - ht) * at * pt).alias("hc_pure"), (hr * (ar - at) * pt).alias("attendance"))
+    return out.withColumn("ef_hc", F.col("desvio") - F.col("ef_prod") - F.col("ef_maturity"))
+
+
+def bridge_is(funnel: DataFrame, target: DataFrame, mode: str = "QTD", quarter: str | None = None,
+              project_col: str = "proyecto_agrupado", exclude: DataFrame | None = None) -> DataFrame:
+    """``bridge_is_effects`` as displayed: every number rounded to a whole
+    store. ``residual`` is the part of the headcount effect that neither
+    headcount nor attendance explains."""
+    e = bridge_is_effects(funnel, target, mode, quarter, project_col, exclude)
+    names = ("stores_real", "stores_tg", "desvio", "ef_hc", "ef_maturity", "ef_prod", "hc_pure", "attendance")
+    return e.select("q", "proyecto", *[round_half_away(c, 0).alias(c) for c in names],
+                    round_half_away(F.col("ef_hc") - F.col("hc_pure") - F.col("attendance"), 0).alias("residual"))
+
+
+def bridge_is_report(effects: DataFrame) -> DataFrame:
+    """Long form of the effects of every project in the data:
+    (q, seq, label, proyecto, delta), from ``bridge_is_effects``."""
+    from pyspark.sql import Window as W
+    known = F.lit(len(IS_PROJECTS))
+    short = F.col("proyecto")
+    for i, (proj, label) in reversed(list(enumerate(IS_PROJECTS))):
+        known = F.when(F.col("proyecto") == proj, F.lit(i)).otherwise(known)
+        short = F.when(F.col("proyecto") == proj, F.lit(label)).otherwise(short)
+    n = len(IS_EFFECTS)
+    # One row per project of a quarter.
+    place = F.dense_rank().over(W.partitionBy("q").orderBy("known", "proyecto")) - 1
+    p = effects.withColumn("known", known).withColumn("short", short).withColumn("place", place)
+    return p.select("q", "proyecto", "place", "short", F.explode(F.array(*[
+        F.struct(F.lit(i).alias("i"), F.lit(name).alias("name"), F.col(c).alias("delta")) for i, (c, name) in enumerate(IS_EFFECTS, start=1)])).alias("e")
+    ).select("q", (F.col("place") * n + F.col("e.i")).cast("int").alias("seq"),
+             F.concat("short", F.lit(" – "), "e.name").alias("label"), "proyecto", round_half_away("e.delta", 1).alias("delta"))
+
+
+def bridge_is_totals(effects: DataFrame) -> DataFrame:
+    """Quarter totals of the IS bridge from ``bridge_is_effects``: target,
+    real, gap, gap %, sum of effects and the closure check, rounded last."""
+    t = effects.groupBy("q").agg(
+        F.sum("stores_tg").alias("tg"), F.sum("stores_real").alias("real"),
+        F.sum(F.col("ef_prod") + F.col("ef_hc") + F.col("ef_maturity")).alias("effects"))
+    gap = F.col("real") - F.col("tg")
     r0 = lambda x: round_half_away(x, 0)
-    return p.select(
-        "q", "proyecto", r0(F.col("stores_real")).alias("stores_real"), r0(F.col("stores_tg")).alias("stores_tg"),
-        r0(desvio).alias("desvio"), r0(ef_hc).alias("ef_hc"), r0(ef_mat).alias("ef_maturity"),
-        r0(ef_prod).alias("ef_prod"), r0(residuo).alias("residuo_cierre"),
-        r0(hc_pure).alias("hc_pure"), r0(attendance).alias("attendance"),
-        r0(desvio - ef_prod - ef_mat - hc_pure - attendance).alias("residual"))
-
-
-def bridge_is_report(bridge: DataFrame) -> DataFrame:
-    """Long form of the six ordered IS effects: (q, seq, label, delta)."""
-    rows = []
-    seq = 1
-    for proj, short in IS_PROJECTS:
-        for col, name in IS_EFFECTS:
-            rows.append(F.struct(F.lit(seq).alias("seq"), F.lit(f"{short} – {name}").alias("label"),
-                                 F.lit(proj).alias("proyecto"), F.lit(col).alias("effect")))
-            seq += 1
-    spec = bridge.sparkSession.range(1).select(F.explode(F.array(*rows)).alias("s")).select("s.*")
-    long = bridge.select("q", "proyecto", F.explode(F.array(*[
-        F.struct(F.lit(c).alias("effect"), F.col(c).alias("delta")) for c, _ in IS_EFFECTS])).alias("e"))
-    long = long.select("q", "proyecto", "e.effect", "e.delta")
-    # spec is 6 rows (fixed); it is the only broadcast side.
-    return (long.join(F.broadcast(spec), ["proyecto", "effect"])
-            .select("q", "seq", "label", "proyecto", "delta"))
-
-
-def bridge_is_totals(bridge: DataFrame) -> DataFrame:
-    """Quarter totals of the IS bridge: target, real, gap, gap %, sum of
-    effects and the closure check."""
-    t = bridge.groupBy("q").agg(
-        F.sum("stores_tg").alias("target_total"), F.sum("stores_real").alias("real_total"),
-        F.sum(F.col("ef_prod") + F.col("ef_hc") + F.col("ef_maturity")).alias("effects_total"))
-    return t.select("q", "target_total", "real_total",
-                    (F.col("real_total") - F.col("target_total")).alias("desvio_total"),
-                    round_half_away(safe_div(F.col("real_total") - F.col("target_total"),
-                                             F.col("target_total")) * 100, 1).alias("desvio_pct"),
-                    "effects_total",
-                    (F.col("effects_total") - (F.col("real_total") - F.col("target_total"))).alias("cierre_check"))
+    return t.select("q", r0(F.col("tg")).alias("target_total"), r0(F.col("real")).alias("real_total"), r0(gap).alias("desvio_total"),
+                    round_half_away(safe_div(gap, F.col("tg")) * 100, 1).alias("desvio_pct"), r0(F.col("effects")).alias("effects_total"),
+                    r0(F.col("effects") - gap).alias("cierre_check"))
 
 
 # ------------------------------------------------------------------ HT bridge
@@ -169,125 +181,156 @@ def _aging_cat_of_key(key):
     return expr
 
 
-def bridge_ht_target_base(target: DataFrame, funnel: DataFrame, mode: str = "QTD",
-                          quarter: str | None = None) -> DataFrame:
-    """Target universe for valid (week, country): one wide row per cell
-    (targets aggregated by kind first, so duplicates cannot multiply),
-    mapped aging only, with implied days per person ``dias_pp_tg``."""
-    wv = valid_weeks(funnel, mode, quarter, by=("country",))
+def _ht_target_wide(target: DataFrame, funnel: DataFrame, mode: str, quarter: str | None, exclude: DataFrame | None) -> DataFrame:
+    """Targets of valid (week, country), one row per cell (aggregated by kind, so duplicates can't multiply)."""
+    wv = valid_weeks(funnel, mode, quarter, by=("country",), exclude=exclude)
     t = in_quarter(target, quarter).join(wv, ["q", "week", "country"], "left_semi")
     kind, val = F.col("tipo_target"), F.col("target")
-    wide = (t.groupBy("q", "week", "country", norm_key("aging").alias("aging_norm"))
+    return (t.groupBy("q", "week", "country", norm_key("aging").alias("aging_norm"))
             .agg(F.avg(F.when(kind == "HC", val)).alias("tg_hc"),
                  F.avg(F.when(kind == "PRODUCTIVIDAD", val)).alias("tg_prod"),
                  F.sum(F.when(kind == "STORES", val)).alias("tg_stores")))
-    wide = wide.withColumn("aging_cat", _aging_cat_of_key(F.col("aging_norm")))
+
+
+def _ht_universe(wide: DataFrame) -> DataFrame:
+    """Mapped aging with a headcount target, and implied days per person."""
     hp = F.col("tg_hc") * F.col("tg_prod")
-    return (wide.where(F.col("tg_hc").isNotNull() & F.col("aging_cat").isNotNull())
+    return (wide.withColumn("aging_cat", _aging_cat_of_key(F.col("aging_norm")))
+            .where(F.col("tg_hc").isNotNull() & F.col("aging_cat").isNotNull())
             .withColumn("dias_pp_tg", F.when(hp > 0, F.col("tg_stores") / F.nullif(hp, F.lit(0.0)))))
 
 
-def bridge_ht_real(funnel: DataFrame, mode: str = "QTD", quarter: str | None = None) -> DataFrame:
+def bridge_ht_target_base(target: DataFrame, funnel: DataFrame, mode: str = "QTD",
+                          quarter: str | None = None, exclude: DataFrame | None = None) -> DataFrame:
+    """Target universe of the HT bridge: one wide row per cell with implied days per person ``dias_pp_tg``."""
+    return _ht_universe(_ht_target_wide(target, funnel, mode, quarter, exclude))
+
+
+def bridge_ht_real(funnel: DataFrame, mode: str = "QTD", quarter: str | None = None,
+                   exclude: DataFrame | None = None) -> DataFrame:
     """Real per (q, week, aging, country), every HC value included."""
-    weeks = valid_weeks(funnel, mode, quarter).select("q", F.col("week").alias("week_date"))
-    f = in_quarter(funnel, quarter).join(weeks, ["q", "week_date"], "left_semi")
-    cells = _headcount_cells(f, ["q", "week_date", "aging_category_final", "country"])
+    weeks = valid_weeks(funnel, mode, quarter, exclude=exclude)
+    f = _in_weeks(in_quarter(funnel, quarter).withColumnRenamed("week_date", "week"), weeks, mode, exclude)
+    cells = _headcount_cells(f, ["q", "week", "aging_category_final", "country"])
     return cells.select(
-        "q", F.col("week_date").alias("week"), "aging_category_final", "country", "hc_real", "dias_real",
+        "q", "week", "aging_category_final", "country", "hc_real", "dias_real",
         "stores_real", safe_div("stores_real", "dias_real").alias("prod_real"),
         safe_div("dias_active", "hc_real").alias("dias_pp_real"))
 
 
-def bridge_ht_cells(funnel: DataFrame, target: DataFrame, mode: str = "QTD",
-                    quarter: str | None = None) -> DataFrame:
-    """Target universe LEFT JOIN real; missing real productivity or days per
-    person fall back to the target's (no penalty without data)."""
-    tb = bridge_ht_target_base(target, funnel, mode, quarter).alias("t")
-    r = bridge_ht_real(funnel, mode, quarter).alias("r")
+def bridge_ht_all_cells(funnel: DataFrame, target: DataFrame, mode: str = "QTD", quarter: str | None = None,
+                        exclude: DataFrame | None = None) -> DataFrame:
+    """Target universe FULL OUTER JOIN real, ``has_target`` telling the two
+    apart; in target cells missing real productivity or days per person fall
+    back to the target's (no penalty without data)."""
+    tb = bridge_ht_target_base(target, funnel, mode, quarter, exclude).withColumn("has_target", F.lit(True)).alias("t")
+    r = bridge_ht_real(funnel, mode, quarter, exclude).alias("r")
     cond = [F.col("t.q") == F.col("r.q"), F.col("t.week") == F.col("r.week"),
             F.col("t.country") == F.col("r.country"), F.col("t.aging_cat") == F.col("r.aging_category_final")]
-    return tb.join(r, cond, "left").select(
-        "t.q", "t.week", "t.country", "t.aging_norm", "t.aging_cat", "t.tg_hc", "t.tg_prod", "t.tg_stores",
-        "t.dias_pp_tg",
+    both = lambda c: F.coalesce(f"t.{c}", f"r.{c}").alias(c)
+    return tb.join(r, cond, "full_outer").select(
+        both("q"), both("week"), both("country"), "t.aging_norm", F.coalesce("t.aging_cat", "r.aging_category_final").alias("aging_cat"),
+        "t.tg_hc", "t.tg_prod", "t.tg_stores", "t.dias_pp_tg",
         F.coalesce("r.hc_real", F.lit(0)).cast("bigint").alias("hc_real"),
         F.coalesce("r.dias_real", F.lit(0)).cast("bigint").alias("dias_real"),
         F.coalesce("r.stores_real", F.lit(0)).cast("bigint").alias("stores_real"),
         F.coalesce("r.prod_real", "t.tg_prod").alias("prod_real"),
-        F.coalesce("r.dias_pp_real", "t.dias_pp_tg").alias("dias_pp_real"))
+        F.coalesce("r.dias_pp_real", "t.dias_pp_tg").alias("dias_pp_real"),
+        F.coalesce("t.has_target", F.lit(False)).alias("has_target"))
 
 
-def bridge_ht_worlds(cells: DataFrame, zero_hc: str = "maturity") -> DataFrame:
-    """The five worlds per quarter, in two aggregation levels:
-    (q, week, country) partial sums, then q.
+def bridge_ht_cells(funnel: DataFrame, target: DataFrame, mode: str = "QTD",
+                    quarter: str | None = None, exclude: DataFrame | None = None) -> DataFrame:
+    """The cells of the target universe with their real values."""
+    return bridge_ht_all_cells(funnel, target, mode, quarter, exclude).where("has_target").drop("has_target")
 
-    S0 all target; S1 real productivity; S2m real aging mix at target
-    volume; S2 real headcount; S3 real stores. Cells without implied target
-    days are left out of S0..S2. ``zero_hc``: where a week-country has no
-    active rep, "maturity" (the SQL rule) drops it from S2m; "headcount"
-    keeps the target mix there, so the loss shows up as headcount.
-    """
+
+def _ht_worlds_raw(cells: DataFrame, zero_hc: str) -> DataFrame:
+    """The worlds per quarter, unrounded, from target cells or all cells."""
     from pyspark.sql import Window as W
-    ok = F.col("dias_pp_tg").isNotNull()
+    own = F.col("has_target") if "has_target" in cells.columns else F.lit(True)
+    ok = own & F.col("dias_pp_tg").isNotNull()
     s0 = F.col("tg_hc") * F.col("dias_pp_tg") * F.col("tg_prod")
     s1 = F.col("tg_hc") * F.col("dias_pp_tg") * F.col("prod_real")
     s2 = F.col("hc_real") * F.col("dias_pp_tg") * F.col("prod_real")
-    # Week-country totals via a window over at most three aging cells.
+    # Week-country totals via a window over a handful of aging cells.
     wcw = W.partitionBy("q", "week", "country")
     c = (cells.withColumn("tg_hc_total", F.sum(F.when(ok, F.col("tg_hc"))).over(wcw))
-         .withColumn("hc_real_total", F.sum("hc_real").over(wcw)))
+         .withColumn("hc_real_total", F.sum(F.when(own, F.col("hc_real"))).over(wcw)))
     s2m = (F.col("tg_hc_total") * (F.col("hc_real") / F.nullif(F.col("hc_real_total"), F.lit(0)))
            * F.col("dias_pp_tg") * F.col("prod_real"))
     if zero_hc == "headcount":
         s2m = F.when(F.col("hc_real_total") == 0, s1).otherwise(s2m)
     elif zero_hc != "maturity":
         raise ValueError("zero_hc must be 'maturity' or 'headcount'")
-    wc = c.groupBy("q", "week", "country").agg(
+    return c.groupBy("q").agg(
         F.sum(F.when(ok, s0)).alias("s0"), F.sum(F.when(ok, s1)).alias("s1"),
         F.sum(F.when(ok & F.col("tg_hc_total").isNotNull(), s2m)).alias("s2m"),
-        F.sum(F.when(ok, s2)).alias("s2"), F.sum("stores_real").alias("s3"))
-    q = wc.groupBy("q").agg(F.sum("s0").alias("s0_raw"), F.sum("s1").alias("s1_raw"),
-                            F.sum("s2m").alias("s2m_raw"), F.sum("s2").alias("s2_raw"),
-                            F.sum("s3").alias("s3_raw"))
-    r1 = lambda c: round_half_away(F.col(c), 1)
-    return q.select("q", r1("s0_raw").alias("s0"), r1("s1_raw").alias("s1"), r1("s2m_raw").alias("s2m"),
-                    r1("s2_raw").alias("s2"), r1("s3_raw").alias("s3"))
+        F.sum(F.when(ok, s2)).alias("s2"), F.sum(F.when(own, F.col("stores_real"))).cast("double").alias("s3"),
+        F.coalesce(F.sum(F.when(~own, F.col("stores_real"))), F.lit(0)).cast("double").alias("no_target"))
+
+
+def bridge_ht_worlds(cells: DataFrame, zero_hc: str = "maturity") -> DataFrame:
+    """The five worlds per quarter.
+
+    S0 all target; S1 real productivity; S2m real aging mix at target
+    volume; S2 real headcount; S3 real stores. Cells without implied target
+    days are left out of S0..S2. ``zero_hc``: where a week-country has no
+    active rep, "maturity" (the SQL rule) drops it from S2m; "headcount"
+    keeps the target mix there, so the loss shows up as headcount.
+    """
+    return _ht_worlds_raw(cells, zero_hc).select("q", *[round_half_away(c, 1).alias(c) for c in ("s0", "s1", "s2m", "s2", "s3")])
 
 
 def bridge_ht_target_official(target: DataFrame, funnel: DataFrame, mode: str = "QTD",
-                              quarter: str | None = None) -> DataFrame:
+                              quarter: str | None = None, exclude: DataFrame | None = None) -> DataFrame:
     """Official STORES target over valid (week, country), per quarter."""
-    wv = valid_weeks(funnel, mode, quarter, by=("country",))
-    t = in_quarter(target, quarter).where(F.col("tipo_target") == "STORES")
-    return (t.join(wv, ["q", "week", "country"], "left_semi").groupBy("q")
-            .agg(round_half_away(F.sum("target"), 1).alias("target_oficial")))
+    wide = _ht_target_wide(target, funnel, mode, quarter, exclude)
+    return (wide.groupBy("q").agg(round_half_away(F.sum("tg_stores"), 1).alias("target_oficial"))
+            .where(F.col("target_oficial").isNotNull()))
 
 
 def bridge_ht(funnel: DataFrame, target: DataFrame, mode: str = "QTD", quarter: str | None = None,
-              zero_hc: str = "maturity") -> DataFrame:
+              zero_hc: str = "maturity", exclude: DataFrame | None = None) -> DataFrame:
     """HT bridge per quarter: effects as differences of consecutive worlds,
-    gap against the official target."""
-    w = bridge_ht_worlds(bridge_ht_cells(funnel, target, mode, quarter), zero_hc)
-    tg = bridge_ht_target_official(target, funnel, mode, quarter)
+    rounded last, and ``ef_sin_target``, the real stores of cells without a
+    target, so that the reconstructed target and all effects add up to every
+    real store (``actual_total``). ``actual`` is the real total of the target
+    universe (S3); gaps are against the official target."""
+    w = _ht_worlds_raw(bridge_ht_all_cells(funnel, target, mode, quarter, exclude), zero_hc)
+    tg = _ht_target_wide(target, funnel, mode, quarter, exclude).groupBy("q").agg(F.sum("tg_stores").alias("tg"))
     r1 = lambda x: round_half_away(x, 1)
-    s0, s1, s2m, s2, s3, t = (F.col(c) for c in ("s0", "s1", "s2m", "s2", "s3", "target_oficial"))
+    s0, s1, s2m, s2, s3, no, t = (F.col(c) for c in ("s0", "s1", "s2m", "s2", "s3", "no_target", "tg"))
     return w.join(tg, "q", "left").select(
-        "q", "target_oficial", s0.alias("target_reconstruido"), r1(s1 - s0).alias("ef_prod"),
+        "q", r1(t).alias("target_oficial"), r1(s0).alias("target_reconstruido"), r1(s1 - s0).alias("ef_prod"),
         r1(s2m - s1).alias("ef_madurez"), r1(s2 - s2m).alias("ef_hc"), r1(s3 - s2).alias("ef_ausencias"),
-        s3.alias("actual"), r1(s3 - t).alias("desvio_vs_tg_oficial"),
-        r1(safe_div(s3 - t, t) * 100).alias("desvio_pct"))
+        r1(no).alias("ef_sin_target"), r1(s3).alias("actual"), r1(s3 + no).alias("actual_total"),
+        r1(s3 - t).alias("desvio_vs_tg_oficial"), r1(safe_div(s3 - t, t) * 100).alias("desvio_pct"))
+
+
+def shapley_ht_cells(funnel: DataFrame, target: DataFrame, mode: str = "QTD", quarter: str | None = None,
+                     exclude: DataFrame | None = None) -> DataFrame:
+    """HT cells for the Shapley bridge: real and target of every
+    (q, country, week, aging), unmapped agings on both sides included."""
+    wide = _ht_target_wide(target, funnel, mode, quarter, exclude)
+    t = wide.select("q", "country", "week", F.coalesce(_aging_cat_of_key(F.col("aging_norm")), F.col("aging_norm")).alias("aging"),
+                    F.lit(0).cast("bigint").alias("dias_real"), F.lit(0).cast("bigint").alias("stores_real"),
+                    F.coalesce("tg_stores", F.lit(0.0)).alias("stores_tg"), F.coalesce("tg_prod", F.lit(0.0)).alias("prod_tg"))
+    r = bridge_ht_real(funnel, mode, quarter, exclude).select(
+        "q", "country", "week", F.col("aging_category_final").alias("aging"), "dias_real", "stores_real",
+        F.lit(0.0).alias("stores_tg"), F.lit(0.0).alias("prod_tg"))
+    return t.unionByName(r).groupBy("q", "country", "week", "aging").agg(
+        F.sum("dias_real").alias("dias_real"), F.sum("stores_real").alias("stores_real"), F.sum("stores_tg").alias("stores_tg"), F.sum("prod_tg").alias("prod_tg"))
 
 
 def unmatched_real(funnel: DataFrame, target: DataFrame, mode: str = "QTD",
                    quarter: str | None = None) -> DataFrame:
-    """Real stores in cells that have no target cell (they never reach the
-    HT worlds): per quarter, unmatched vs total real stores."""
-    r = bridge_ht_real(funnel, mode, quarter)
-    tb = bridge_ht_target_base(target, funnel, mode, quarter).select(
-        "q", "week", "country", F.col("aging_cat").alias("aging_category_final"))
-    miss = r.join(tb, ["q", "week", "country", "aging_category_final"], "left_anti")
-    tot = r.groupBy("q").agg(F.sum("stores_real").alias("total_real_stores"))
-    um = miss.groupBy("q").agg(F.sum("stores_real").alias("unmatched_stores"),
-                               F.count(F.lit(1)).alias("unmatched_cells"))
-    return tot.join(um, "q", "left").select(
-        "q", "total_real_stores", F.coalesce("unmatched_stores", F.lit(0)).cast("bigint").alias("unmatched_stores"),
-        F.coalesce("unmatched_cells", F.lit(0)).cast("bigint").alias("unmatched_cells"))
+    """Real stores in cells that have no target cell: per quarter, unmatched
+    vs total real stores, from one pass over all cells."""
+    c = bridge_ht_all_cells(funnel, target, mode, quarter)
+    real = (F.col("hc_real") > 0) | (F.col("stores_real") != 0) | (F.col("dias_real") != 0)
+    miss = ~F.col("has_target")
+    return c.where(miss | real).groupBy("q").agg(
+        F.sum("stores_real").alias("total_real_stores"),
+        F.coalesce(F.sum(F.when(miss, F.col("stores_real"))), F.lit(0)).cast("bigint").alias("unmatched_stores"),
+        F.count(F.when(miss, F.lit(1))).cast("bigint").alias("unmatched_cells"))

@@ -34,13 +34,17 @@ def last_week(funnel: DataFrame, quarter: str | None = None, week_col: str = "we
 
 
 def valid_weeks(funnel: DataFrame, mode: str = "QTD", quarter: str | None = None,
-                week_col: str = "week_date", by: tuple[str, ...] = ()) -> DataFrame:
+                week_col: str = "week_date", by: tuple[str, ...] = (),
+                exclude: DataFrame | None = None) -> DataFrame:
     """(q, week[, by...]) the comparison may use.
 
     QTD: every week with actuals; LW: only the last week of the quarter.
-    ``by`` narrows validity to a finer grain (HT uses week x country).
+    ``by`` narrows validity to a finer grain (HT uses week x country);
+    ``exclude`` (week) takes weeks out before the last one is chosen.
     """
     f = in_quarter(funnel, quarter)
+    if exclude is not None:
+        f = f.join(exclude.select(F.col("week").alias(week_col)).distinct(), week_col, "left_anti")
     weeks = f.select("q", F.col(week_col).alias("week"), *by).distinct()
     if mode == "QTD":
         return weeks
@@ -55,9 +59,7 @@ def align_weeks(target: DataFrame, funnel: DataFrame, mode: str = "QTD", quarter
                 funnel_week: str = "week_date", by: tuple[str, ...] = ()) -> DataFrame:
     """Target rows restricted to the weeks with actuals (semi join), minus
     user-excluded weeks, which are dropped from both sides (anti join)."""
-    weeks = valid_weeks(funnel, mode, quarter, funnel_week, by)
-    if exclude is not None:
-        weeks = weeks.join(exclude.select("week").distinct(), "week", "left_anti")
+    weeks = valid_weeks(funnel, mode, quarter, funnel_week, by, exclude)
     t = in_quarter(target, quarter)
     cond = [t["q"] == weeks["q"], t[target_week] == weeks["week"]] + [t[b] == weeks[b] for b in by]
     return t.join(weeks, cond, "left_semi")

@@ -59,7 +59,7 @@ def dd_block(calc: DataFrame, keys: list[str], stores_name: str = "stores",
         F.sum("dias").alias("dias"), F.sum("stores").alias("stores"),
         F.sum("stores_tg_hunter").alias("stg"),
         F.sum(F.col("dias") * F.coalesce("prod_target", F.lit(0.0))).alias("dpt"))
-    g = per_rep.groupBy(*keys).agg(F.count(F.lit(1)).alias("hunters"), F.sum("dias").alias("dias"),
+    g = per_rep.groupBy(*keys).agg(F.count("hunter_email").alias("hunters"), F.sum("dias").alias("dias"),
                                    F.sum("stores").alias("stores"), F.sum("stg").alias("stg"),
                                    F.sum("dpt").alias("dpt"))
     cols = [*keys, "hunters", "dias", F.col("stores").alias(stores_name)]

@@ -112,14 +112,15 @@ def elc_target_weekly(target: DataFrame, team: str, channel_group: str, kind: st
 def headcount_weekly(funnel: DataFrame, quarter: str | None = None, project: str | None = None,
                      project_col: str = "proyecto") -> DataFrame:
     """Per week: distinct active reps (HC = 1), active seniors, % old, and
-    productivity = SUM(stores) / SUM(days) over every HC value.
+    productivity = SUM(stores) / SUM(days) over every HC value. A NULL rep
+    id is no rep, but its stores and days count.
 
     Distinct reps are counted in two stages (rep, then week) instead of two
     COUNT(DISTINCT ...) (which would expand every row twice)."""
     f = in_quarter(funnel, quarter)
     if project is not None:
         f = f.where(F.col(project_col) == project)
-    hc1 = F.col("hc") == 1
+    hc1 = (F.col("hc") == 1) & F.col("hunter_email").isNotNull()
     rep = (f.groupBy("q", F.col("week_date").alias("week"), "hunter_email")
            .agg(F.max(F.when(hc1, F.lit(1)).otherwise(F.lit(0))).alias("active"),
                 F.max(F.when(hc1 & (F.col("aging_category_final") == SENIOR), F.lit(1)).otherwise(F.lit(0))).alias("senior"),

@@ -12,9 +12,14 @@ The Shapley value of each driver averages its marginal contribution over
 the 3! orders (weights 1/3, 1/6, 1/6, 1/3), so the three effects add up
 exactly to v(real) - v(target): no residual. If a side has no days in an
 aging its productivity falls back to the other side's; with no days at all
-the shares do. Stores recorded with zero days (or target stores with a zero
-productivity target) cannot be expressed as days x productivity and are
-reported as ``unallocated_*``, never folded into a driver.
+the shares do. Stores made on zero days (or target stores with a zero
+productivity target) are no product of days and productivity; they are a
+term of the productivity driver,
+
+    v(S) = C_x * sum_a m_y[a] * p_z[a] + zero_z
+
+so the coalitions run from the whole target to every real store and the
+effects leave no residual. The ``zero_*`` columns show that term.
 
 Only sums over agings are needed, so everything is two aggregations over
 the cells (group, then output grain); no pairs of rows are formed.
@@ -53,28 +58,21 @@ def shapley_bridge(cells: DataFrame, group: tuple[str, ...] = ("q", "proyecto",
         F.first("cr").alias("cr"), F.first("ct").alias("ct"),
         F.sum(F.col("m_t") * F.col("p_t")).alias("a_tt"), F.sum(F.col("m_t") * F.col("p_r")).alias("a_tr"),
         F.sum(F.col("m_r") * F.col("p_t")).alias("a_rt"), F.sum(F.col("m_r") * F.col("p_r")).alias("a_rr"),
-        F.sum("sr").alias("real_total"), F.sum("st").alias("target_total"))
+        F.sum("sr").alias("real_total"), F.sum("st").alias("target_total"),
+        F.sum(F.when(F.col("dr") > 0, F.lit(0.0)).otherwise(F.col("sr"))).alias("z_r"),
+        F.sum(F.when(F.col("dt") > 0, F.lit(0.0)).otherwise(F.col("st"))).alias("z_t"))
     cr, ct = F.col("cr"), F.col("ct")
     v0, vP, vM, vPM = ct * F.col("a_tt"), ct * F.col("a_tr"), ct * F.col("a_rt"), ct * F.col("a_rr")
     vC, vPC, vMC, vA = cr * F.col("a_tt"), cr * F.col("a_tr"), cr * F.col("a_rt"), cr * F.col("a_rr")
-    phi_p = THIRD * (vP - v0) + SIXTH * (vPC - vC) + SIXTH * (vPM - vM) + THIRD * (vA - vMC)
+    # The zero-day term moves with productivity alone, so it enters each of that driver's steps whole.
+    phi_p = THIRD * (vP - v0) + SIXTH * (vPC - vC) + SIXTH * (vPM - vM) + THIRD * (vA - vMC) + F.col("z_r") - F.col("z_t")
     phi_c = THIRD * (vC - v0) + SIXTH * (vPC - vP) + SIXTH * (vMC - vM) + THIRD * (vA - vPM)
     phi_m = THIRD * (vM - v0) + SIXTH * (vPM - vP) + SIXTH * (vMC - vC) + THIRD * (vA - vPC)
-    per = a.select(*group, "real_total", "target_total", v0.alias("v0"), vA.alias("va"),
+    per = a.select(*group, "real_total", "target_total", "z_r", "z_t",
                    phi_p.alias("phi_p"), phi_c.alias("phi_c"), phi_m.alias("phi_m"))
-    s = per.groupBy(*out).agg(
-        F.sum("target_total").alias("target_total"), F.sum("v0").alias("target_base"),
-        F.sum("phi_p").alias("ef_productivity"), F.sum("phi_c").alias("ef_capacity"),
-        F.sum("phi_m").alias("ef_maturity"), F.sum("va").alias("actual_base"),
-        F.sum("real_total").alias("real_total"))
-    r = lambda x: round_half_away(x, 6)
+    s = per.groupBy(*out).agg(*[F.sum(c).alias(c) for c in ("target_total", "z_t", "phi_p", "phi_c", "phi_m", "z_r", "real_total")])
+    r = lambda x, name: round_half_away(x, 6).alias(name)
     return s.select(
-        *out, r(F.col("target_total")).alias("target_total"),
-        r(F.col("target_total") - F.col("target_base")).alias("unallocated_target"),
-        r(F.col("target_base")).alias("target_base"), r(F.col("ef_productivity")).alias("ef_productivity"),
-        r(F.col("ef_capacity")).alias("ef_capacity"), r(F.col("ef_maturity")).alias("ef_maturity"),
-        r(F.col("actual_base")).alias("actual_base"),
-        r(F.col("real_total") - F.col("actual_base")).alias("unallocated_real"),
-        r(F.col("real_total")).alias("real_total"),
-        r(F.col("target_base") + F.col("ef_productivity") + F.col("ef_capacity") + F.col("ef_maturity")
-          - F.col("actual_base")).alias("closure"))
+        *out, r(F.col("target_total"), "target_total"), r(F.col("z_t"), "zero_day_target"), r(F.col("phi_p"), "ef_productivity"),
+        r(F.col("phi_c"), "ef_capacity"), r(F.col("phi_m"), "ef_maturity"), r(F.col("z_r"), "zero_day_real"), r(F.col("real_total"), "real_total"),
+        r(F.col("target_total") + F.col("phi_p") + F.col("phi_c") + F.col("phi_m") - F.col("real_total"), "closure"))

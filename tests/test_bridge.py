@@ -49,17 +49,51 @@ def test_full_outer_join_keeps_every_cell(spark):
 
 def test_is_bridge_closes_exactly(spark):
     f, t = _data(spark)
-    p = B.bridge_is_project(B.bridge_is_cells(f, t)).collect()
-    for r in p:
-        desvio = r["stores_real"] - r["stores_tg"]
-        ef_prod = r["hc_real"] * r["asist_real"] * (r["prod_real"] - r["prod_tg_mix_real"])
-        ef_mat = r["hc_real"] * r["asist_real"] * (r["prod_tg_mix_real"] - r["prod_tg"])
-        ef_hc = desvio - ef_prod - ef_mat
-        assert abs(ef_prod + ef_mat + ef_hc - desvio) < 1e-9
-    b = B.bridge_is(f, t).collect()
-    assert all(r["residuo_cierre"] == 0.0 for r in b)
-    rep = B.bridge_is_report(B.bridge_is(f, t)).orderBy("seq").collect()
+    e = B.bridge_is_effects(f, t)
+    assert all(r["cierre_check"] == 0.0 for r in B.bridge_is_totals(e).collect())
+    rep = B.bridge_is_report(e).orderBy("seq").collect()
     assert [r["label"] for r in rep][:3] == ["OB – Productividad", "OB – Headcount", "OB – Maturity"]
+    total = B.bridge_is_totals(e).first()
+    assert abs(sum(r["delta"] for r in rep) - total["desvio_total"]) <= 1
+
+
+def test_is_bridge_keeps_a_third_project(spark):
+    f, t = _data(spark)
+    f = f.union(f.where("proyecto_agrupado = 'INBOUND'").withColumn("proyecto_agrupado", F.lit("FIELD")))
+    e = B.bridge_is_effects(f, t)
+    rep = B.bridge_is_report(e).orderBy("seq").collect()
+    assert [r["seq"] for r in rep] == list(range(1, 10)) and rep[6]["label"] == "FIELD – Productividad"
+    real = f.groupBy("q").agg(F.sum("stores_totales").cast("double").alias("actual")).select(F.lit("IS").alias("bridge"), "q", "actual")
+    assert all(r["ok"] for r in WF.bridge_closure(WF.is_bridge_long(e), actual=real).collect())
+
+
+def test_null_rep_is_no_rep_but_its_stores_count(spark):
+    from tallyspark.operators import deepdive as DD
+    from tallyspark.operators import kpi as K
+    rows = [("Q2", D(2026, 4, 6), "CO", "INBOUND", "Junior", e, 1, 5, 3) for e in ("a@x", None)]
+    f = spark.createDataFrame(rows, FUNNEL)
+    t = spark.createDataFrame([("Q2", D(2026, 4, 6), "CO", "INBOUND", "02 - Junior", "HC", 1.0)], TARGET)
+    cell = B.bridge_is_cells(f, t).first()
+    assert (cell["hc_real"], cell["stores_real"], cell["dias_real"]) == (1, 6, 10)
+    cell = B.bridge_ht_real(f.drop("proyecto_agrupado")).first()
+    assert (cell["hc_real"], cell["stores_real"]) == (1, 6)
+    week = K.headcount_weekly(f.withColumn("proyecto", F.col("proyecto_agrupado"))).first()
+    assert (week["headcount"], week["stores_real"], week["dias_real"]) == (1, 6, 10)
+    calc = spark.createDataFrame([("Q2", e, 5, 3, 2.0, 0.5) for e in ("a@x", None)],
+                                 "q string, hunter_email string, dias long, stores long, stores_tg_hunter double, prod_target double")
+    block = DD.dd_block(calc, ["q"]).first()
+    assert (block["hunters"], block["stores"]) == (1, 6)
+
+
+def test_excluded_weeks_leave_both_sides(spark):
+    f, t = _data(spark)
+    out = spark.createDataFrame([(D(2026, 4, 13),)], "week date")
+    one, two = f.where("week_date < '2026-04-13'"), t.where("week < '2026-04-13'")
+    assert B.bridge_is(f, t, exclude=out).exceptAll(B.bridge_is(one, two)).count() == 0
+    h, g = f.drop("proyecto_agrupado"), t.where("proyecto = 'INBOUND'").drop("proyecto")
+    for mode in ("QTD", "LW"):
+        a, b = B.bridge_ht(h, g, mode, exclude=out), B.bridge_ht(one.drop("proyecto_agrupado"), two.where("proyecto = 'INBOUND'").drop("proyecto"), mode)
+        assert a.collect() == b.collect()
 
 
 def test_ht_worlds_and_official_target(spark):
@@ -75,6 +109,9 @@ def test_ht_worlds_and_official_target(spark):
     assert um["total_real_stores"] - um["unmatched_stores"] == s3
     br = B.bridge_ht(ht_f, ht_t).first()
     assert br["actual"] == w["s3"] and br["target_reconstruido"] == w["s0"]
+    # with the stores of cells without a target the bridge reaches every real store
+    assert br["actual_total"] == float(um["total_real_stores"]) and br["ef_sin_target"] == float(um["unmatched_stores"])
+    assert all(r["ok"] for r in WF.bridge_closure(WF.ht_bridge_long(B.bridge_ht(ht_f, ht_t))).collect())
 
 
 def test_waterfall_golden_and_closure(spark):
@@ -103,9 +140,12 @@ def test_shapley_efficiency_and_symmetry(spark):
     for r in S.shapley_bridge(cells).collect():
         assert abs(r["closure"]) < 1e-6
         # each output is rounded to 6 decimals, so sums of five of them agree to ~1e-5
-        assert abs(r["target_base"] + r["ef_productivity"] + r["ef_capacity"] + r["ef_maturity"]
-                   - r["actual_base"]) < 1e-5
-        assert abs(r["actual_base"] + r["unallocated_real"] - r["real_total"]) < 1e-5
+        assert abs(r["target_total"] + r["ef_productivity"] + r["ef_capacity"] + r["ef_maturity"] - r["real_total"]) < 1e-5
+    real = cells.groupBy("q").agg(F.sum("stores_real")).first()[1]
+    assert abs(sum(r["real_total"] for r in S.shapley_bridge(cells).collect()) - real) < 1e-6
+    ht_f, ht_t = f.drop("proyecto_agrupado"), t.where("proyecto = 'INBOUND'").drop("proyecto")
+    ht = S.shapley_bridge(B.shapley_ht_cells(ht_f, ht_t), ("q", "country", "week"), ("q",)).first()
+    assert ht["real_total"] == float(ht_f.agg(F.sum("stores_totales")).first()[0]) and ht["closure"] == 0.0
     # only productivity differs: the whole gap is productivity
     rows = [("Q2", "P", "CO", D(2026, 4, 6), 10, 30, 10.0, 1.0),
             ("Q2", "P", "CO", D(2026, 4, 6), 20, 60, 40.0, 2.0)]
@@ -113,7 +153,7 @@ def test_shapley_efficiency_and_symmetry(spark):
                                     "stores_real long, stores_tg double, prod_tg double")
     r = S.shapley_bridge(c).first()
     # same days and mix on both sides: target 50, real 90, all of it productivity
-    assert r["target_base"] == 50.0 and r["actual_base"] == 90.0
+    assert r["target_total"] == 50.0 and r["real_total"] == 90.0
     assert abs(r["ef_productivity"] - 40.0) < 1e-9
     assert abs(r["ef_capacity"]) < 1e-9 and abs(r["ef_maturity"]) < 1e-9
 
