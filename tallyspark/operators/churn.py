@@ -21,12 +21,14 @@ ANOMALY_PP = 40.0
 
 
 def churn_targets_long(target: DataFrame, country: str = "TOTAL") -> DataFrame:
-    """Wide churn targets -> (week, canal, age, target_pct); only the
-    requested country rows (the targets are stated for TOTAL)."""
+    """Wide churn targets -> (week, canal, age, target_pct), one row each (a
+    repeated target row counts as one, their mean); only the requested
+    country rows (the targets are stated for TOTAL)."""
     t = target.where(F.col("country") == country)
     stacked = F.expr("stack(3, 'M1', `TARGET_%CHURN_M1`, 'M2', `TARGET_%CHURN_M2`, "
                      "'M3', `TARGET_%CHURN_M3`) AS (age, target_pct)")
-    return t.select(F.col("week").cast("date").alias("week"), F.col("channel_am").alias("canal"), stacked)
+    long = t.select(F.col("week").cast("date").alias("week"), F.col("channel_am").alias("canal"), stacked)
+    return long.groupBy("week", "canal", "age").agg(F.avg("target_pct").alias("target_pct"))
 
 
 def early_churn(detail: DataFrame, target: DataFrame, axis: DataFrame, as_of: str,
@@ -39,7 +41,7 @@ def early_churn(detail: DataFrame, target: DataFrame, axis: DataFrame, as_of: st
     ``mapped_only``. The churn % is rounded to one decimal before the delta,
     as the business query does; ``churn_ratio`` keeps the exact ratio.
     """
-    weeks = F.broadcast(closed_weeks(axis, as_of, tz).select("q", "week"))
+    weeks = closed_weeks(axis, as_of, tz).select("q", "week")
     s = (detail.where(F.col("country") != exclude_country)
          .join(weeks, "week")
          .select("q", "week", "age", churn_channel("channel_am").alias("canal"), "churn", "total_store"))

@@ -14,7 +14,7 @@ report's own size, independent of the facts).
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window as W
@@ -75,6 +75,8 @@ FUNNEL_LINES_28 = [
     ("% First_Log_in rate (Closed cohort) - 28D", "pct_login_28d", "log_28"),
     ("% First_order rate (Closed cohort)", "pct_first_order", "order_28"),
 ]
+# Lines of a rep section that have no source yet; they follow the stores target.
+REP_SECTION_MISSING = {"inside_sales_inbound": ["Target Inbound Verified Leads"]}
 SELF_ONBOARDING_MISSING = ["Total Self Onboarding Store_Created", "Target Self Onboarding Store_Created",
                            "VL Leads", "VL Leads Target"]
 BRAND_EXPANSION_MISSING = ["Target Brand Expansion Store_Created", "% First_Log_in rate (Closed cohort)",
@@ -127,7 +129,8 @@ def report_spec() -> list[Line]:
         for label, field, num in FUNNEL_LINES_28:
             rows.append(Line(sid, seq, label, field, "percent", "funnel_ratio_qtd", num, "store_created"))
             seq += 1
-        out.extend(rows)
+        rows[2:2] = [Line(sid, 3, label, render_as="missing_source") for label in REP_SECTION_MISSING.get(sid, [])]
+        out.extend(replace(ln, seq=i) for i, ln in enumerate(rows, start=1))
     so = "self_onboarding"
     out.append(Line(so, 1, "Total New Available Stores Self Onboarding", "new_available", "integer", "additive"))
     out.append(Line(so, 2, "Target Total New Available Stores Self Onboarding", "target_new_available", "integer",

@@ -9,38 +9,29 @@ from tallyspark.plans.oracle_tables import rha, with_tables
 from tallyspark.plans.registry import query
 from tallyspark.sources import model as TD
 
+# Stated from the rules: a list of channels, one aggregation over both grains, targets as a long list.
 _CHURN_CTES = {
-    "axis": f"""SELECT DISTINCT q, week FROM elc_target
+    "open_weeks": f"""SELECT DISTINCT q, week FROM elc_target
                WHERE week < CAST(date_trunc('week', TIMESTAMP '{AS_OF}' - INTERVAL 5 HOUR) AS DATE)""",
-    "silver": """
-SELECT a.q, s.week, s.age,
-  CASE WHEN UPPER(s.channel_am) = 'HUNTING' THEN 'HUNTING' WHEN UPPER(s.channel_am) = 'INSIDE SALES' THEN 'IS'
-       WHEN UPPER(s.channel_am) = 'BRAND EXPANSION' THEN 'BE' WHEN UPPER(s.channel_am) = 'SELF-ONBOARDING' THEN 'SOB'
-       ELSE NULL END AS canal,
-  s.churn, s.total_store
-FROM churn_detail s JOIN axis a ON s.week = a.week
-WHERE s.country != 'BR'""",
-    "all_data": f"""
-SELECT q, week, age, canal, CAST(SUM(churn) AS BIGINT) AS churn_s, CAST(SUM(total_store) AS BIGINT) AS total_s,
-       {rha('SUM(churn) / NULLIF(SUM(total_store), 0) * 100', 1)} AS churn_pct100,
-       SUM(churn) / NULLIF(SUM(total_store), 0) AS ratio
-FROM silver WHERE canal IS NOT NULL GROUP BY q, week, age, canal
-UNION ALL
-SELECT q, week, age, 'TOTAL', CAST(SUM(churn) AS BIGINT), CAST(SUM(total_store) AS BIGINT),
-       {rha('SUM(churn) / NULLIF(SUM(total_store), 0) * 100', 1)}, SUM(churn) / NULLIF(SUM(total_store), 0)
-FROM silver GROUP BY q, week, age""",
-    "tg": """
-SELECT CAST(week AS DATE) AS week, channel_am AS canal, "TARGET_%CHURN_M1" AS tg_m1,
-       "TARGET_%CHURN_M2" AS tg_m2, "TARGET_%CHURN_M3" AS tg_m3
-FROM churn_target WHERE country = 'TOTAL'""",
+    "channels": """SELECT * FROM (VALUES ('HUNTING', 'HUNTING', 1), ('INSIDE SALES', 'IS', 2), ('SELF-ONBOARDING', 'SOB', 3),
+               ('BRAND EXPANSION', 'BE', 4), (NULL, 'TOTAL', 5)) c(team, canal, canal_rank)""",
+    "lost": """
+SELECT w.q, d.week, d.age, CASE WHEN GROUPING(c.canal) = 1 THEN 'TOTAL' ELSE c.canal END AS canal,
+       CAST(SUM(d.churn) AS BIGINT) AS churn_stores, CAST(SUM(d.total_store) AS BIGINT) AS total_stores,
+       SUM(d.churn) / NULLIF(SUM(d.total_store), 0) AS churn_ratio
+FROM churn_detail d JOIN open_weeks w USING (week) LEFT JOIN channels c ON c.team = UPPER(d.channel_am)
+WHERE d.country <> 'BR'
+GROUP BY GROUPING SETS ((w.q, d.week, d.age, c.canal), (w.q, d.week, d.age))
+HAVING GROUPING(c.canal) = 1 OR c.canal IS NOT NULL""",
+    "goals": """
+SELECT week, canal, age, AVG(goal) AS target_pct
+FROM (SELECT CAST(week AS DATE) AS week, channel_am AS canal, unnest(['M1', 'M2', 'M3']) AS age,
+             unnest(["TARGET_%CHURN_M1", "TARGET_%CHURN_M2", "TARGET_%CHURN_M3"]) AS goal
+      FROM churn_target WHERE country = 'TOTAL') GROUP BY ALL""",
     "early": f"""
-SELECT a.q, a.week, a.age, a.canal, a.churn_s AS churn_stores, a.total_s AS total_stores,
-  a.churn_pct100 / 100 AS churn_pct,
-  CASE a.age WHEN 'M1' THEN t.tg_m1 WHEN 'M2' THEN t.tg_m2 WHEN 'M3' THEN t.tg_m3 END AS target_pct,
-  {rha("(a.churn_pct100 / 100 - CASE a.age WHEN 'M1' THEN t.tg_m1 WHEN 'M2' THEN t.tg_m2 WHEN 'M3' THEN t.tg_m3 END) * 100", 1)} AS delta_pp,
-  a.ratio AS churn_ratio,
-  CASE a.canal WHEN 'HUNTING' THEN 1 WHEN 'IS' THEN 2 WHEN 'SOB' THEN 3 WHEN 'BE' THEN 4 WHEN 'TOTAL' THEN 5 END AS canal_rank
-FROM all_data a LEFT JOIN tg t ON a.week = t.week AND a.canal = t.canal""",
+SELECT q, week, age, canal, churn_stores, total_stores, churn_pct, target_pct, {rha('(churn_pct - target_pct) * 100', 1)} AS delta_pp, churn_ratio, canal_rank
+FROM (SELECT *, {rha('churn_ratio * 100', 1)} / 100 AS churn_pct FROM lost)
+LEFT JOIN goals USING (week, canal, age) LEFT JOIN channels USING (canal)""",
 }
 
 

@@ -75,6 +75,9 @@ def test_full_spec_shape():
     for ln in spec:
         by.setdefault(ln.section_id, []).append(ln)
     assert len(by["main_metrics_top"]) == 6 and len(by["main_metrics_bottom"]) == 3
+    assert len(by["inside_sales_outbound"]) == 20 and len(by["inside_sales_inbound"]) == 21 and len(spec) == 113
+    assert by["inside_sales_inbound"][2].label == "Target Inbound Verified Leads" and by["inside_sales_inbound"][2].render_as == "missing_source"
+    assert all([ln.seq for ln in lines] == list(range(1, len(lines) + 1)) for lines in by.values())
     assert len(by["hunting"]) == 20 and len(by["self_onboarding"]) == 7 and len(by["brand_expansion"]) == 6
     assert all(len(by[f"early_churn_m{i}"]) == 10 for i in (1, 2, 3))
     labels = {(ln.section_id, ln.label) for ln in spec}
