@@ -39,33 +39,15 @@ def _sections(spark, d):
 
 
 # One report run = every section computed once, unpivoted into the long
-# table; all report pieces (axis, QTD, GAP, cards, ...) are read from it, as
-# the business report is assembled from one run of its section queries.
-# The run is stored per input version and per version of this package's
-# code (a code change never serves an old run); a lost executor re-reads
-# files instead of recomputing the sections.
-import os as _os  # noqa: E402
-
+# table; all report pieces (axis, QTD, GAP, cards, ...) are computed from
+# it, as the business report is assembled from one run of its section
+# queries. The long table is kept for the application that made it, never
+# the answers; a lost executor re-reads files instead of recomputing it.
 from tallyspark.sources import model as _model  # noqa: E402
 
 
-def _pkg_hash() -> str:
-    import hashlib
-    root = _os.path.dirname(_os.path.dirname(_os.path.abspath(__file__)))
-    h = hashlib.sha1()
-    for dirpath, _, files in sorted(_os.walk(root)):
-        for f in sorted(files):
-            if f.endswith(".py"):
-                with open(_os.path.join(dirpath, f), "rb") as fh:
-                    h.update(fh.read())
-    return h.hexdigest()[:12]
-
-
-_CODE = _pkg_hash()
-
-
 def _long(spark, d):
-    return _model.derived(spark, d, "report_long", lambda: R.values_long(_sections(spark, d), SPEC), _CODE,
+    return _model.derived(spark, d, "report_long", lambda: R.values_long(_sections(spark, d), SPEC),
                           ("q", "section_id", "label", "week"))
 
 
@@ -74,9 +56,7 @@ def _axis(spark, d):
 
 
 def _rows(spark, d):
-    return _model.derived(spark, d, "report_rows",
-                          lambda: R.report_rows(_long(spark, d), _axis(spark, d), R.spec_frame(spark, SPEC), SPEC),
-                          _CODE, ("q", "section_id", "seq"))
+    return R.report_rows(_long(spark, d), _axis(spark, d), R.spec_frame(spark, SPEC), SPEC)
 
 
 # ---------------------------------------------------------------- SQL side

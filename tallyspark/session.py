@@ -1,17 +1,19 @@
-"""Session helpers: configuration defaults and a lineage cut that survives
-executor loss.
+"""Session helpers: configuration defaults and the shared folder for
+intermediate tables.
 
-Defaults are only applied where the cluster has not set a value, so a
-cluster's own ``spark-defaults.conf`` always wins.
+Nothing a cluster has configured is overridden: SQL defaults are set only
+where the session has no value, and memory or UI settings are given for
+local runs alone.
 """
 
 from __future__ import annotations
 
 import os
+import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
-# Defaults sized for local tests; a cluster keeps its own settings.
+# Set only where the session has no value of its own.
 _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -20,47 +22,41 @@ _DEFAULTS = {
 }
 
 
-def get_session(master: str | None = None, shuffle_partitions: int = 8,
+def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app: str = "tallyspark") -> SparkSession:
+    """The active session, or a new one. ``master`` and ``shuffle_partitions``
+    are for local runs; on a cluster leave both to its configuration."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    builder = (builder.config("spark.ui.enabled", "false")
-               .config("spark.driver.memory", os.environ.get("TALLYSPARK_DRIVER_MEMORY", "16g"))
-               .config("spark.ui.showConsoleProgress", "false")
-               .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
-    for k, v in _DEFAULTS.items():
-        builder = builder.config(k, v)
+    if master and master.startswith("local"):
+        builder = (builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+                   .config("spark.driver.memory", os.environ.get("TALLYSPARK_DRIVER_MEMORY", "8g")))
     spark = builder.getOrCreate()
+    given = spark.sparkContext.getConf()
+    for k, v in _DEFAULTS.items():
+        if not given.contains(k):
+            spark.conf.set(k, v)
+    if not given.contains("spark.sql.shuffle.partitions") and (shuffle_partitions or master):
+        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Return the shared checkpoint folder the cluster names in
-    ``spark.checkpoint.dir``; set one only when it is unset (tests)."""
-    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if current:
-        spark.sparkContext.setCheckpointDir(current)
-        return current
-    path = fallback or os.environ.get("TALLYSPARK_CHECKPOINT_DIR") or "/tmp/tallyspark-checkpoints"
-    spark.sparkContext.setCheckpointDir(path)
-    return path
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialize ``df`` as a Parquet table in the shared checkpoint folder
-    and return a DataFrame reading it back.
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    This cuts the lineage the way a reliable checkpoint does (a lost
-    executor re-reads files; nothing is recomputed), but runs the plan once:
-    ``Dataset.checkpoint`` without a cache computes it twice (one job for
-    the action, one to write the checkpoint). Never a local checkpoint,
-    which would not survive the loss of an executor.
+    Where it is unset, TALLYSPARK_CHECKPOINT_DIR names one; a single-process
+    local run gets a temporary folder of its own. On a cluster without either
+    this is an error: a machine-local folder would lose other executors' files.
     """
-    import uuid
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tallyspark-cut/{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    sc = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir() or os.environ.get("TALLYSPARK_CHECKPOINT_DIR")
+    if not path:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir (or TALLYSPARK_CHECKPOINT_DIR) to a folder that all executors share")
+        path = tempfile.mkdtemp(prefix="tallyspark-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(path)
+    return path

@@ -2,20 +2,25 @@
 
 The business queries run over GOLD/SILVER warehouse tables. Here those
 tables are derived from the raw test tables by ``testdata``; this module
-writes each derived table once, as Parquet, in the shared folder named by
-``spark.checkpoint.dir`` and serves later reads from there, like a
-warehouse table. The folder key includes the input files' sizes and
-modification times, so a changed input never serves a stale table.
-Rows are sorted by quarter/week inside each file, so a quarter filter
-skips row groups through Parquet statistics.
+writes each derived table once per Spark application, as Parquet, in the
+shared folder named by ``spark.checkpoint.dir`` and serves later reads of
+that application from there, like a warehouse table. Tables with a quarter
+are partitioned by it, so a quarter filter or a join on few quarters reads
+only their folders, and sorted by week inside each file.
+
+Nothing is served across applications, so neither code nor input of an
+earlier run can answer a query. Within one, a table is built again when its
+input changes: the size, number of files (folders below included) and
+modification time of every raw table are compared, one call each, without
+listing files on the driver.
 
 Set ``TALLYSPARK_MATERIALIZE=0`` to compute every table lazily instead.
 """
 
 from __future__ import annotations
 
-import hashlib
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,17 +28,6 @@ from tallyspark.session import ensure_checkpoint_dir
 from tallyspark.sources import testdata
 from tallyspark.sources.tables import RAW_TABLES
 
-def _code_hash(*modules) -> str:
-    h = hashlib.sha1()
-    for m in modules:
-        with open(m.__file__, "rb") as fh:
-            h.update(fh.read())
-    return h.hexdigest()[:12]
-
-
-# The stored tables are keyed by the adapter's own source: changing a rule
-# can never serve a table built by the old one.
-ADAPTER_VERSION = _code_hash(testdata)
 # Sort keys of each model table (quarter first where the table has one).
 SORT_KEYS = {
     "is_funnel": ["q", "week_date"], "ht_funnel": ["q", "week_date"],
@@ -43,68 +37,57 @@ SORT_KEYS = {
     "store_detail": ["store_id"], "store_history": ["external_store_id"],
 }
 
+# (application, input folder, table) -> (input version, folder of the stored table)
+_STORED: dict[tuple[str, str, str], tuple[tuple, str]] = {}
 
-def _fs_and_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
-
-def _input_key(spark: SparkSession, sf_dir: str) -> str:
-    h = hashlib.sha1(f"{ADAPTER_VERSION}|{sf_dir}".encode())
+def input_version(spark: SparkSession, sf_dir: str) -> tuple:
+    """Size, file count, folder count and modification time of every raw table."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
     for t in RAW_TABLES:
-        fs, p = _fs_and_path(spark, f"{sf_dir.rstrip('/')}/{t}.parquet")
+        p = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{t}.parquet")
+        fs = p.getFileSystem(conf)
         if fs.exists(p):
-            for st in fs.listStatus(p):
-                h.update(f"{st.getPath().getName()}|{st.getLen()}|{st.getModificationTime()}".encode())
-    return h.hexdigest()[:16]
+            s = fs.getContentSummary(p)
+            out.append((t, s.getLength(), s.getFileCount(), s.getDirectoryCount(), fs.getFileStatus(p).getModificationTime()))
+    return tuple(out)
 
 
-_KEYS: dict[tuple[int, str], str] = {}
+def _store(spark: SparkSession, sf_dir: str, name: str, build, sort_keys: list[str]) -> DataFrame:
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    version = input_version(spark, sf_dir)
+    if key not in _STORED or _STORED[key][0] != version:
+        df = build()
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tallyspark-model/{name}-{uuid.uuid4().hex}"
+        if sort_keys and sort_keys[0] == "q":
+            # Balanced by size, so neither a large quarter nor many small ones decide the files.
+            df.hint("rebalance", "q").sortWithinPartitions(*sort_keys).write.partitionBy("q").parquet(path)
+        else:
+            df.sortWithinPartitions(*sort_keys).write.parquet(path)
+        _STORED[key] = (version, path)
+        _SCHEMAS[path] = df.schema
+    path = _STORED[key][1]
+    schema = _SCHEMAS[path]
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
-def table_path(spark: SparkSession, sf_dir: str, name: str) -> str:
-    ck = (id(spark), sf_dir)
-    if ck not in _KEYS:
-        _KEYS[ck] = _input_key(spark, sf_dir)
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/tallyspark-model/{_KEYS[ck]}/{name}"
+_SCHEMAS: dict = {}
 
 
 def materialized(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     build = getattr(testdata, name)
     if os.environ.get("TALLYSPARK_MATERIALIZE", "1") == "0":
         return build(spark, sf_dir)
-    return _stored(spark, table_path(spark, sf_dir, name), lambda: build(spark, sf_dir), SORT_KEYS[name])
+    return _store(spark, sf_dir, name, lambda: build(spark, sf_dir), SORT_KEYS[name])
 
 
-def derived(spark: SparkSession, sf_dir: str, name: str, build, version: str,
-            sort_keys: tuple[str, ...] = ()) -> DataFrame:
-    """A dataset derived from the model tables (e.g. one report run),
-    stored once per input *and* code version and then read back."""
+def derived(spark: SparkSession, sf_dir: str, name: str, build, sort_keys: tuple[str, ...] = ()) -> DataFrame:
+    """An intermediate table that several queries of one application share."""
     if os.environ.get("TALLYSPARK_MATERIALIZE", "1") == "0":
         return build()
-    return _stored(spark, f"{table_path(spark, sf_dir, name)}-{version}", build, list(sort_keys))
-
-
-def _stored(spark: SparkSession, path: str, build, sort_keys) -> DataFrame:
-    fs, p = _fs_and_path(spark, f"{path}/_SUCCESS")
-    if not fs.exists(p):
-        # Write to a private folder, then publish it with one rename: two
-        # sessions building the same table never see a half-written copy,
-        # and the loser of a race simply reads the winner's table.
-        import uuid
-        tmp = f"{path}.tmp-{uuid.uuid4().hex}"
-        df = build()
-        (df.sortWithinPartitions(*sort_keys) if sort_keys else df).write.parquet(tmp)
-        _, tmp_p = _fs_and_path(spark, tmp)
-        _, dst = _fs_and_path(spark, path)
-        if fs.exists(dst) and not fs.exists(p):
-            fs.delete(dst, True)          # leftover of an interrupted write
-        # rename() into an existing folder would nest; only publish if absent
-        if fs.exists(dst) or not fs.rename(tmp_p, dst):
-            fs.delete(tmp_p, True)
-    return spark.read.parquet(path)
+    return _store(spark, sf_dir, name, build, list(sort_keys))
 
 
 def _reader(name: str):

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -13,9 +12,5 @@ os.environ.setdefault("TALLYSPARK_DRIVER_MEMORY", "4g")
 def spark():
     from tallyspark.session import get_session
     s = get_session("local[4]", shuffle_partitions=4, app="tallyspark-tests")
-    # Tests run without a cluster: give them their own checkpoint folder
-    # only when the session has none.
-    if not s.sparkContext.getCheckpointDir():
-        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tallyspark-ck-"))
     yield s
     s.stop()
