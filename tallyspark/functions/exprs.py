@@ -73,14 +73,14 @@ def round_half_away(x, n: int) -> Column:
     same terms added in a different order differ in the last bits, which
     flips values sitting exactly on a tie (frequent with small rational
     inputs). So the value is first snapped to 9 decimals, then rounded with
-    plain arithmetic. Values too large to carry ``n`` fraction digits in a
-    double are returned unchanged (this also keeps ``floor`` inside the
-    long range). ``+ 0.0`` turns a negative zero into zero.
+    plain arithmetic in doubles, one rule for every size (a remainder takes
+    the fraction off, so no integer type limits the range). ``+ 0.0`` turns
+    a negative zero into zero.
     """
-    x = F.round(_c(x), 9)
+    x = F.round(_c(x).cast("double"), 9)
     scale = float(10**n)
-    body = F.signum(x) * F.floor(F.abs(x) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
-    return F.when(F.abs(x) * F.lit(scale) < F.lit(9.0e15), body).otherwise(x) + F.lit(0.0)
+    up = F.abs(x) * F.lit(scale) + F.lit(0.5)
+    return F.signum(x) * (up - up % F.lit(1.0)) / F.lit(scale) + F.lit(0.0)
 
 
 def week_start(ts) -> Column:

@@ -16,6 +16,9 @@ def test_round_half_away(spark):
     # a sum that lands one ulp below a tie still rounds away from zero
     assert _one(spark, round_half_away(F.lit(0.1 + 0.2 + 0.15), 1)) == 0.5
     assert _one(spark, round_half_away(F.lit(None).cast("double"), 2)) is None
+    # one rule for every size, also beyond the range of a long
+    assert _one(spark, round_half_away(F.lit(9.0e9 + 0.25), 1)) == 9.0e9 + 0.3
+    assert _one(spark, round_half_away(F.lit(1.0e22), 6)) == 1.0e22 and _one(spark, round_half_away(F.lit(-3.0e17), 3)) == -3.0e17
 
 
 def test_division_guards(spark):
