@@ -198,4 +198,5 @@ def deep_dive_json(kpis: DataFrame, blocks: dict[str, DataFrame], weeks: DataFra
     for name, b in blocks.items():
         out = out.join(_arr(b, name, [c for c in b.columns if c != "q"]), "q", "left")
     payload = F.struct(F.col("week"), F.lit(generated).alias("generated"), "kpis", *blocks.keys())
-    return out.select("q", F.to_json(payload).alias("json"))
+    # Fields without a value are written as null.
+    return out.select("q", F.to_json(payload, {"ignoreNullFields": "false"}).alias("json"))

@@ -323,13 +323,23 @@ def _fmt(value, fmt):
             .otherwise(F.format_number(v2, 2)))
 
 
-def display_cells(on_axis: DataFrame, spark_spec: DataFrame) -> DataFrame:
-    """Formatted weekly cells: integer #,##0; number #,##0.00; percent 0.00%;
-    NULL -> em dash (never 0); lines without source show their state."""
+def display_cells(on_axis: DataFrame, spark_spec: DataFrame, rows: DataFrame | None = None) -> DataFrame:
+    """Formatted cells, one per line and week (``cell`` is the ISO week) and,
+    with ``rows`` (``report_rows``), the QTD and GAP cells: integer #,##0;
+    number #,##0.00; percent 0.00%; a positive GAP with its sign; NULL -> em
+    dash (never 0); lines without source show their state."""
     spec = F.broadcast(spark_spec.select("section_id", "label", "format"))
     j = on_axis.join(spec, ["section_id", "label"])
-    text = F.when(F.col("state") != "value", F.col("state")).otherwise(_fmt(F.col("value"), F.col("format")))
-    return j.select("q", "section_id", "seq", "label", "week", text.alias("display"))
+
+    def shown(value):
+        return F.when(F.col("state") != "value", F.col("state")).otherwise(_fmt(value, F.col("format")))
+    key = ["q", "section_id", "seq", "label"]
+    out = j.select(*key, F.date_format("week", "yyyy-MM-dd").alias("cell"), shown(F.col("value")).alias("display"))
+    if rows is None:
+        return out
+    signed = F.concat(F.when((F.col("state") == "value") & (F.col("gap") > 0), F.lit("+")).otherwise(F.lit("")), shown(F.col("gap")))
+    return (out.unionByName(rows.select(*key, F.lit("QTD").alias("cell"), shown(F.col("qtd")).alias("display")))
+            .unionByName(rows.select(*key, F.lit("GAP").alias("cell"), signed.alias("display"))))
 
 
 # ----------------------------------------------------- summaries and insight

@@ -218,9 +218,23 @@ def row_class(spark, d):
     return round_doubles(R.row_class(_rows(spark, d)))
 
 
-@query("display_cells")
+def _shown(value: str) -> str:
+    return f"""CASE WHEN state <> 'value' THEN state WHEN {value} IS NULL THEN '—'
+      WHEN format = 'integer' THEN format('{{:,}}', CAST({rha(value, 0)} AS BIGINT))
+      WHEN format = 'percent' THEN format('{{:,.2f}}%', {rha(f'{value} * 100', 2)}) ELSE format('{{:,.2f}}', {rha(value, 2)}) END"""
+
+
+@query("display_cells", _sql(f"""
+SELECT q, section_id, seq, label, strftime(week, '%Y-%m-%d') AS cell, {_shown('value')} AS display
+FROM (SELECT x.q, s.section_id, s.seq, s.label, x.week, s.format, l.value,
+             CASE s.render_as WHEN 'missing_source' THEN 'N/A' WHEN 'pending_definition' THEN 'Pending definition' ELSE 'value' END AS state
+      FROM axis_all x CROSS JOIN spec s
+      LEFT JOIN long l ON l.q = x.q AND l.section_id = s.section_id AND l.label = s.label AND l.week = x.week)
+UNION ALL SELECT q, section_id, seq, label, 'QTD', {_shown('qtd')} FROM rows
+UNION ALL SELECT q, section_id, seq, label, 'GAP', CASE WHEN state = 'value' AND gap > 0 THEN '+' ELSE '' END || {_shown('gap')} FROM rows"""))
 def display_cells(spark, d):
-    return R.display_cells(R.section_on_axis(_long(spark, d), _axis(spark, d), SPEC), R.spec_frame(spark, SPEC))
+    """Weekly, QTD and GAP cells of every line."""
+    return R.display_cells(R.section_on_axis(_long(spark, d), _axis(spark, d), SPEC), R.spec_frame(spark, SPEC), _rows(spark, d))
 
 
 @query("coverage", _sql("""

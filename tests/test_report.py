@@ -49,9 +49,12 @@ def test_axis_keeps_future_weeks_null_and_text_states(spark):
     assert flow[W[3]] is None and flow[W[0]] == 10.0   # NULL, never 0
     states = {r["state"] for r in on.where("label = 'Pending'").collect()}
     assert states == {"Pending definition"}
-    cells = {(r["label"], r["week"]): r["display"] for r in R.display_cells(on, R.spec_frame(spark, spec)).collect()}
-    assert cells[("Stock", W[1])] == "154,424" and cells[("Rate", W[0])] == "50.00%"
-    assert cells[("Flow", W[3])] == "—"
+    cells = {(r["label"], r["cell"]): r["display"] for r in R.display_cells(on, R.spec_frame(spark, spec)).collect()}
+    assert cells[("Stock", W[1].isoformat())] == "154,424" and cells[("Rate", W[0].isoformat())] == "50.00%"
+    assert cells[("Flow", W[3].isoformat())] == "—"
+    rows = R.report_rows(long, axis, R.spec_frame(spark, spec), spec)
+    cells = {(r["label"], r["cell"]): r["display"] for r in R.display_cells(on, R.spec_frame(spark, spec), rows).collect()}
+    assert ("Stock", "QTD") in cells and cells[("Pending", "GAP")] == "Pending definition"
 
 
 def test_report_rows_class_and_trend(spark):
