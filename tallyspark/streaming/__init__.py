@@ -1 +1,3 @@
-from tallyspark.streaming.refresh import start_refresh, weekly_cells  # noqa: F401
+from tallyspark.streaming.refresh import read_cells, start_refresh, weekly_cells
+
+__all__ = ["read_cells", "start_refresh", "weekly_cells"]
