@@ -375,8 +375,8 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     Of repeated rows with that id one stays; rows without an id all stay."""
     found = store(ngram_join(docs), "op4-components")
     kept = found.filter("doc_id = component_id").select("doc_id")
-    ids = kept.distinct().select(F.col("doc_id").alias("_kept"))
-    rows = docs.join(ids, F.col("doc_id").cast("long") == F.col("_kept"), "left_semi")
+    ids = kept.distinct().select(F.col("doc_id").alias("_kept_doc_id"))
+    rows = docs.join(ids, F.col("doc_id").cast("long") == F.col("_kept_doc_id"), "left_semi")
     if kept.groupBy("doc_id").count().filter("count > 1").limit(1).count():
         rows = rows.dropDuplicates(["doc_id"])
     return rows.union(docs.filter("doc_id IS NULL"))

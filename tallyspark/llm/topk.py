@@ -20,7 +20,8 @@ Defined results: vectors that are null or hold a null or non-finite
 component take no part, neither do rows without a vec_id; of repeated queries
 with one vec_id and vector one is answered, and candidates with the query's
 vec_id are left out; ties go to the smaller vec_id; vectors meet only those of
-their own length; repeated candidate rows each take a place.
+their own length; repeated candidate rows each take a place; a score beyond
+the range of a long is its limit.
 """
 
 from __future__ import annotations
@@ -43,8 +44,11 @@ ROWS = 2_048
 QUERY_STEP = 512
 #: Segments of the resolutions, coarse to fine.
 SEGMENTS = (1, 4, 16)
-#: Larger integer components are multiplied as Python integers.
-_SAFE = 1 << 26
+#: Vectors whose products may sum to more are multiplied as Python integers.
+_SAFE = 1 << 62
+
+
+_LIMIT = (1 << 63) - 1
 
 
 def _segments(x: np.ndarray, parts: int) -> list[np.ndarray]:
@@ -79,7 +83,7 @@ class Block:
         f = x.astype(np.float64)
         norm = (f * f).sum(axis=1)
         summaries = [summary(f, s) for s in SEGMENTS]
-        safe = max(np.abs(x).max(initial=0), np.abs(self.v).max(initial=0)) < _SAFE
+        safe = int(np.abs(x).max(initial=0)) * int(np.abs(self.v).max(initial=0)) * x.shape[1] < _SAFE
         for lo in range(0, len(self.ids), QUERY_STEP):
             hi = min(lo + QUERY_STEP, len(self.ids))
             floor = np.array([-b[-1][0] if len(b) == self.k else -np.inf for b in self.best[lo:hi]], dtype=np.float64)
@@ -97,7 +101,7 @@ class Block:
                         at, score = at[score >= cut], score[score >= cut]
                     score = score.tolist()
                 else:
-                    score = [sum(int(a) * int(b) for a, b in zip(row, q, strict=True)) for row in x[at]]
+                    score = [max(-_LIMIT, min(_LIMIT, sum(int(a) * int(b) for a, b in zip(row, q, strict=True)))) for row in x[at]]
                 self.best[lo + i] = sorted(self.best[lo + i] + [(-s, v) for s, v in zip(score, ids[at].tolist(), strict=True)])[:self.k]
 
 
