@@ -13,7 +13,8 @@ list, for every value of a block, the item windows within one bit of it. By
 the pigeonhole principle every pair within RADIUS = 4 * (1 + 1) - 1 = 7 bits
 agrees so in one block, so none is missed. What is found is verified
 exactly: the document window of the item's full size at the implied place
-(and up to SHIFT words beside it) must have a weighted Jaccard similarity of
+(and up to SHIFT words beside it; cut at the end of the text, where the last
+whole window is tried too) must have a weighted Jaccard similarity of
 0.75 or more with the item over distinct five-word shingles, weighted by
 log(1 + items / items with the shingle).
 
@@ -189,6 +190,16 @@ def _grid(first: np.ndarray, size: int, step: int) -> np.ndarray:
     return np.repeat(first[:-1], count) + step * (np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count))
 
 
+def _starts(begin: int, end: int, n: int, place: int) -> list[int]:
+    """Starts to verify around ``place`` in the text ``begin``..``end``. Windows are cut at the end of the
+    text; where they may be, the last whole window (or whole text) is tried too."""
+    low = max(begin, place - SHIFT)
+    starts = set(range(low, max(low, min(place + SHIFT, end - 1)) + 1))
+    if place + SHIFT > end - n:
+        starts.add(max(begin, end - n))
+    return sorted(starts)
+
+
 def matches(items: Items, column: pa.Array) -> list[tuple[int, int, float, int]]:
     """(row, item, similarity, first word) of the best window for each row and item that match."""
     best: dict[tuple[int, int], tuple[float, int]] = {}
@@ -209,7 +220,7 @@ def matches(items: Items, column: pa.Array) -> list[tuple[int, int, float, int]]
                     tried.add((t, i, p))
         for t, i, p in sorted(tried):
             n, begin, end = len(items.words[i]), int(first[t]), int(first[t + 1])
-            for s in range(max(begin, p - SHIFT), max(begin, min(p + SHIFT, end - n)) + 1):
+            for s in _starts(begin, end, n, p):
                 v = _similarity(items, i, w[s:min(s + n, end)])
                 if v >= SIMILARITY and (v, begin - s) > best.get((row + t, i), (0.0, 0)):
                     best[row + t, i] = (v, begin - s)

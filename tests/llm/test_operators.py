@@ -6,6 +6,7 @@ import sys
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -229,6 +230,23 @@ def test_hamming_blocks_find_every_pair_within_the_radius():
     assert got == want and flips
 
 
+def test_decontamination_of_passages_cut_at_the_end_of_a_text():
+    rng = np.random.default_rng(11)
+    word = lambda: "".join(rng.choice(list("abcdefgh"), 6))
+    items = [(i, " ".join(word() for _ in range(40))) for i in range(30)]
+    docs = []
+    for i, t in items:
+        w = t.split()
+        for cut in (3, 4, 5):
+            before = [word() for _ in range(100)]
+            docs += [(i, " ".join(before + w[:-cut])), (i, " ".join(before + w[:25] + w[25 + cut:]))]
+        docs.append((i, " ".join(w[:36])))
+    built = decontaminate.Items(items)
+    found = {r for r, i, *_ in decontaminate.matches(built, pa.array([t for _, t in docs])) if built.ids[i] == docs[r][0]}
+    want = {r for r, (i, t) in enumerate(docs) if (r, i) in X.item_matches([(r, t)], items)}
+    assert {r for r in range(len(docs)) if r % 7 in (0, 2, 4, 6)} <= want <= found
+
+
 # ------------------------------------------------------------------------ op10
 def test_packing_equals_the_tokenizer_and_fills_without_gaps(spark, docs):
     import public_tokenizers
