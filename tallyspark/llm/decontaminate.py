@@ -2,10 +2,9 @@
 
 Words are lower-cased runs of letters, digits and other non-ASCII bytes.
 Items are grouped into size classes. In a class whose shortest item has
-``m`` words, windows hold ``m / 2`` words: an item has the fingerprints of
-all its windows, a document those of every ``m / 4``-th one, so any passage
-as long as an item of the class contains at least two whole document windows,
-each aligned with a window of the item. A fingerprint is the 64-bit
+``m`` words, windows hold ``m / 2`` words, and items and documents have the
+fingerprints of all their windows, one starting at every word: an edited
+passage is found by any stretch of half an item that its edits leave alike. A fingerprint is the 64-bit
 weighted SimHash of the window's words (rare words count more).
 
 Fingerprints are compared through four 16-bit blocks: the tables of a class
@@ -95,9 +94,9 @@ def _running(w: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return out
 
 
-def _fingerprints(running: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
-    """SimHash of the windows of ``size`` words that start at ``at``."""
-    sums = running[:, at + size] - running[:, at]
+def _fingerprints(running: np.ndarray, size: int) -> np.ndarray:
+    """SimHash of every window of ``size`` words, by its first word."""
+    sums = running[:, size:] - running[:, :running.shape[1] - size]
     ones = np.ascontiguousarray(sums[:16].T).view("<u2")
     return np.packbits(ones > (sums[16] >> np.uint64(1)).astype(np.uint16)[:, None], axis=1).view("<u8").ravel()
 
@@ -139,7 +138,7 @@ class Items:
         for i in members:
             w = self.words[i]
             at = np.arange(len(w) - size + 1)
-            prints.append(_fingerprints(_running(w, self.weight(w)), at, size))
+            prints.append(_fingerprints(_running(w, self.weight(w)), size))
             item.append(np.full(len(at), i))
             offset.append(at)
         prints = np.concatenate(prints)
@@ -150,7 +149,7 @@ class Items:
             key = (value[:, None] ^ near[None, :]).ravel()
             order = np.argsort(key, kind="stable")
             blocks.append((np.searchsorted(key[order], np.arange(65537)), order // len(near)))
-        return {"size": size, "step": max(1, shortest // 4), "prints": prints, "blocks": blocks,
+        return {"size": size, "prints": prints, "blocks": blocks,
                 "item": np.concatenate(item), "offset": np.concatenate(offset)}
 
 
@@ -183,13 +182,6 @@ def _similarity(items: Items, i: int, w: np.ndarray) -> float:
     return float(common / (items.weights[i].sum() + (len(theirs) - both.sum()) * items.top_weight))
 
 
-def _grid(first: np.ndarray, size: int, step: int) -> np.ndarray:
-    """Window starts: every ``step``-th word of each text where a window still fits."""
-    n = np.diff(first)
-    count = np.where(n >= size, (n - size) // step + 1, 0)
-    return np.repeat(first[:-1], count) + step * (np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count))
-
-
 def _starts(begin: int, end: int, n: int, place: int) -> list[int]:
     """Starts to verify around ``place`` in the text ``begin``..``end``. Windows are cut at the end of the
     text; where they may be, the last whole window (or whole text) is tried too."""
@@ -205,16 +197,16 @@ def matches(items: Items, column: pa.Array) -> list[tuple[int, int, float, int]]
     best: dict[tuple[int, int], tuple[float, int]] = {}
     for row, w, first in _words(column):
         tried: set[tuple[int, int, int]] = set()
-        grids = [_grid(first, c["size"], c["step"]) for c in items.classes]
+        left = np.repeat(first[1:], np.diff(first)) - np.arange(len(w))  # words to the end of the text
         for lo in range(0, len(w), STEP_WORDS):
             part = w[lo:lo + STEP_WORDS + items.longest]
             running = _running(part, items.weight(part))
-            for c, grid in zip(items.classes, grids, strict=True):
-                a, z = np.searchsorted(grid, [lo, lo + STEP_WORDS])
-                if a == z:
+            for c in items.classes:
+                at = np.flatnonzero(left[lo:lo + STEP_WORDS] >= c["size"])
+                if not len(at):
                     continue
-                window, other = _near(_fingerprints(running, grid[a:z] - lo, c["size"]), c)
-                place = grid[a + window]
+                window, other = _near(_fingerprints(running[:, :at[-1] + c["size"] + 1], c["size"])[at], c)
+                place = lo + at[window]
                 text = np.searchsorted(first, place, side="right") - 1
                 for t, p, i in zip(text.tolist(), (place - c["offset"][other]).tolist(), c["item"][other].tolist(), strict=True):
                     tried.add((t, i, p))

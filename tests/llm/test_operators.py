@@ -247,6 +247,20 @@ def test_decontamination_of_passages_cut_at_the_end_of_a_text():
     assert {r for r in range(len(docs)) if r % 7 in (0, 2, 4, 6)} <= want <= found
 
 
+def test_decontamination_finds_passages_edited_where_windows_overlap():
+    rng = np.random.default_rng(12)
+    word = lambda: "".join(rng.choice(list("abcdefgh"), 6))
+    items = [(i, " ".join(word() for _ in range(40))) for i in range(120)]
+    docs = []
+    for i, t in items:
+        w = t.split()
+        w[14 + i % 10] = "edited"
+        docs.append((i, " ".join([word() for _ in range(6)] + w + [word() for _ in range(30)])))
+    built = decontaminate.Items(items)
+    found = {(docs[r][0], built.ids[i]) for r, i, *_ in decontaminate.matches(built, pa.array([t for _, t in docs]))}
+    assert found == X.item_matches(docs, items) and len(found) == len(items)
+
+
 # ------------------------------------------------------------------------ op10
 def test_packing_equals_the_tokenizer_and_fills_without_gaps(spark, docs):
     import public_tokenizers
