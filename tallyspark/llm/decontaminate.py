@@ -1,7 +1,7 @@
 """Benchmark decontamination: SimHash windows, multi-index Hamming blocks, exact check.
 
 Words are lower-cased runs of letters, digits and other non-ASCII bytes.
-Items are grouped into size classes. In a class whose shortest item has
+Items are grouped into size classes. In a class whose items have at least
 ``m`` words, windows hold ``m / 2`` words, and items and documents have the
 fingerprints of all their windows, one starting at every word: an edited
 passage is found by any stretch of half an item that its edits leave alike. A fingerprint is the 64-bit
@@ -15,10 +15,12 @@ exactly: the document window of the item's full size at the implied place
 (and up to SHIFT words beside it; cut at the end of the text, where the last
 whole window is tried too) must have a weighted Jaccard similarity of
 0.75 or more with the item over distinct five-word shingles, weighted by
-log(1 + items / items with the shingle).
+log(1 + items / items with the shingle), counted over the whole benchmark for
+the item's and the window's shingles alike (one that no item holds weighs log(1 + items)).
 
 Items go to the tasks in blocks of at most ITEM_BLOCK items and
-ITEM_BLOCK_WORDS words; a larger benchmark takes several passes. Documents
+ITEM_BLOCK_WORDS words; a larger benchmark takes several passes. Each has the
+whole benchmark's counts, so the blocks change no result. Documents
 are never shuffled, and a long one is worked through in blocks of words.
 
 Defined results: null or empty texts and items match nothing; repeated rows
@@ -101,27 +103,76 @@ def _fingerprints(running: np.ndarray, size: int) -> np.ndarray:
     return np.packbits(ones > (sums[16] >> np.uint64(1)).astype(np.uint16)[:, None], axis=1).view("<u8").ravel()
 
 
+def _item_words(texts: pa.Array) -> list[np.ndarray]:
+    return [w[first[i]:first[i + 1]] for _, w, first in _words(texts) for i in range(len(first) - 1)]
+
+
+def _size_class(n: int) -> int:
+    return int(math.log(n, CLASS_RATIO) + 1e-9)
+
+
+def _window(size_class: int) -> int:
+    """Half the fewest words of a class, whichever of its items a block has."""
+    shortest = max(SHINGLE, math.ceil(CLASS_RATIO ** size_class - 1e-6))
+    return min(shortest // 2, MAX_WINDOW)
+
+
+class Counts:
+    """Over the whole benchmark: its items, how many hold each shingle that two or more hold, and its common words."""
+
+    def __init__(self, n: int, shingles: dict[int, int], common: list[int]):
+        self.n = max(1, n)
+        self.shingles = np.array(sorted(shingles), dtype=np.uint64)
+        self.holders = np.array([shingles[g] for g in sorted(shingles)], dtype=np.int64)
+        self.common = np.sort(np.array(common, dtype=np.uint64))
+
+    def weights(self, g: np.ndarray) -> np.ndarray:
+        """log(1 + items / items with the shingle); a shingle that no item holds weighs like one that a single item holds."""
+        holders = np.ones(len(g), dtype=np.int64)
+        if len(self.shingles):
+            at = np.minimum(np.searchsorted(self.shingles, g), len(self.shingles) - 1)
+            holders = np.where(self.shingles[at] == g, self.holders[at], 1)
+        return np.log(1 + self.n / holders)
+
+
+def _least_common(n: int) -> float:
+    return max(2, _COMMON_SHARE * n)
+
+
+def count(rows: DataFrame) -> Counts:
+    """The counts over all items, in one aggregate; what reaches the driver is one row per shared shingle and common word."""
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for w in _item_words(batch.column(0)):
+                both = np.concatenate([_shingles(w), np.unique(w)])
+                kind = np.arange(len(both)) >= len(both) - len(np.unique(w))
+                yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(both.view(np.int64))], ["word", "hash"])
+
+    n = rows.count()
+    held = rows.select("text").mapInArrow(hashes, "word boolean, hash long").groupBy("word", "hash").count()
+    found = held.filter(F.col("count") >= F.when(F.col("word"), F.lit(float(_least_common(n)))).otherwise(F.lit(2.0))).collect()
+    code = lambda r: r["hash"] % (1 << 64)
+    return Counts(n, {code(r): r["count"] for r in found if not r["word"]}, [code(r) for r in found if r["word"]])
+
+
 class Items:
-    """The benchmark items of a block, as the tasks use them."""
+    """The benchmark items of a block, as the tasks use them; ``counts`` are those of the whole benchmark, by default these items."""
 
-    def __init__(self, rows: list[tuple[int | None, str]]):
+    def __init__(self, rows: list[tuple[int | None, str]], counts: Counts | None = None):
         rows = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1]))
-        self.ids, self.words = [], []
-        for (_, w, first) in _words(pa.array([t for _, t in rows], pa.string())):
-            for i in range(len(first) - 1):
-                self.words.append(w[first[i]:first[i + 1]])
+        self.words = _item_words(pa.array([t for _, t in rows], pa.string()))
         self.ids = [i for i, _ in rows]
         self.sets = [_shingles(w) for w in self.words]
-        seen = Counter(g for s in self.sets for g in s.tolist())
-        n = max(1, len(rows))
-        self.top_weight = math.log(1 + n)
-        self.weights = [np.array([math.log(1 + n / seen[g]) for g in s.tolist()]) for s in self.sets]
-        words_in = Counter(g for w in self.words for g in set(w.tolist()))
-        self.common = np.sort(np.array([g for g, c in words_in.items() if c >= max(2, _COMMON_SHARE * n)], dtype=np.uint64))
+        if counts is None:
+            seen = Counter(g for s in self.sets for g in s.tolist())
+            words_in = Counter(g for w in self.words for g in set(w.tolist()))
+            counts = Counts(len(rows), {g: c for g, c in seen.items() if c > 1}, [g for g, c in words_in.items() if c >= _least_common(len(rows))])
+        self.counts, self.common = counts, counts.common
+        self.weights = [counts.weights(s) for s in self.sets]
         by_class: dict[int, list[int]] = {}
         for i, w in enumerate(self.words):
             if len(w) >= SHINGLE:
-                by_class.setdefault(int(math.log(len(w), CLASS_RATIO) + 1e-9), []).append(i)
+                by_class.setdefault(_size_class(len(w)), []).append(i)
         self.classes = [self._tables(members) for members in by_class.values()]
         self.longest = max((c["size"] for c in self.classes), default=0)
 
@@ -132,8 +183,7 @@ class Items:
         return np.where(self.common[at] == w, 1, _RARE_WEIGHT).astype(np.uint64)
 
     def _tables(self, members: list[int]) -> dict:
-        shortest = min(len(self.words[i]) for i in members)
-        size = min(max(1, shortest // 2), MAX_WINDOW)
+        size = _window(_size_class(len(self.words[members[0]])))
         prints, item, offset = [], [], []
         for i in members:
             w = self.words[i]
@@ -179,7 +229,8 @@ def _similarity(items: Items, i: int, w: np.ndarray) -> float:
     common = items.weights[i][both].sum()
     if not common:
         return 0.0
-    return float(common / (items.weights[i].sum() + (len(theirs) - both.sum()) * items.top_weight))
+    others = theirs[~np.isin(theirs, mine, assume_unique=True)]
+    return float(common / (items.weights[i].sum() + items.counts.weights(others).sum()))
 
 
 def _starts(begin: int, end: int, n: int, place: int) -> list[int]:
@@ -225,9 +276,10 @@ def item_blocks(benchmark: DataFrame) -> Iterator[Items]:
                             F.lower(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text"))
     n, chars = rows.agg(F.count("*"), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
     blocks = max(1, -(-n // ITEM_BLOCK), -(-chars // (2 * ITEM_BLOCK_WORDS)))
+    counts = count(rows)
     for b in range(blocks):
         part = rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b) if blocks > 1 else rows
-        yield Items([(r["item_id"], r["text"]) for r in part.collect()])
+        yield Items([(r["item_id"], r["text"]) for r in part.collect()], counts)
 
 
 def _lowered(docs: DataFrame) -> DataFrame:

@@ -261,6 +261,23 @@ def test_decontamination_finds_passages_edited_where_windows_overlap():
     assert found == X.item_matches(docs, items) and len(found) == len(items)
 
 
+def test_decontamination_does_not_depend_on_the_item_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(13)
+    word = lambda: "".join(rng.choice(list("abcdefgh"), 6))
+    shared = [word() for _ in range(14)]
+    items = [(i, " ".join([word() for _ in range(26)] + (shared if i % 2 else [word() for _ in range(14)]))) for i in range(12)]
+    docs = []
+    for i, t in items:
+        for cut in range(12):
+            other = [word() for _ in range(12)] if i % 2 else shared[2:]
+            docs.append((12 * i + cut, " ".join([word() for _ in range(30)] + t.split()[:40 - cut] + other[12 - cut:] + [word() for _ in range(30)])))
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    found = lambda: {(r.doc_id, r.item_id): r.similarity for r in decontaminate.find_matches(d, b).collect()}
+    one = found()
+    monkeypatch.setattr(decontaminate, "ITEM_BLOCK", 3)
+    assert set(one) == X.item_matches(docs, items) and found() == pytest.approx(one)
+
+
 # ------------------------------------------------------------------------ op10
 def test_packing_equals_the_tokenizer_and_fills_without_gaps(spark, docs):
     import public_tokenizers
