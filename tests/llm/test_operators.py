@@ -416,6 +416,20 @@ def test_license_scan(spark, docs):
     assert licenses.scan(X.empty(X.odd_documents(spark)), model).count() == 0
 
 
+def test_license_scan_confirms_short_forms_and_wrapped_texts(spark, docs):
+    wrapped = ("A tool for\nmany things.\n \nCopyright (c) 2020 Some One\nAll rights reserved.\n\nRedistribution and use in source and binary\nforms, with or without "
+               "modification, are\npermitted provided that the following\nconditions are met:\n\nThe end of it.")
+    mit = "MIT License\n\nPermission is hereby granted, free of charge, to any\nperson obtaining a copy of this software and associated\ndocumentation files, to deal in the Software\nwithout restriction."
+    told = [(1, wrapped), (2, mit), (3, "The MIT License (MIT)"), (4, "All rights reserved."), (5, "All rights were discussed.\nNothing was reserved.")]
+    planted = {"All rights reserved.": "all-rights-reserved", "Licensed under the Apache License, Version 2.0.": "apache-2.0", "Released under the MIT License.": "mit",
+               "This work is licensed under the GNU General Public License, version 3.": "gpl-3.0", "Licensed under CC BY-NC 4.0.": "cc-by-nc"}
+    told += [(10 + i, f"Some words before.\n{s}\nAnd after.") for i, s in enumerate(planted)]
+    model = licenses.train(docs)
+    got = {(r.doc_id, r.paragraph, r.family) for r in licenses.scan(spark.createDataFrame(told, "doc_id long, text string"), model).collect() if r.confirmed}
+    want = {(1, 4, "all-rights-reserved"), (1, 6, "bsd"), (2, 0, "mit"), (2, 2, "mit"), (3, 0, "mit"), (4, 0, "all-rights-reserved")}
+    assert got == want | {(10 + i, 1, f) for i, f in enumerate(planted.values())}
+
+
 def test_pii_trees_are_read_back(spark):
     told = """GBTClassificationModel: uid = x, numTrees=2, numClasses=2, numFeatures=11
   Tree 0 (weight 1.0):
