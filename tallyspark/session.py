@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Set only where the session has no value of its own.
 _DEFAULTS = {
@@ -60,3 +61,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
     return path
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to a new folder of the shared checkpoint folder and read it
+    back: a lineage cut that outlives lost executors."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/tallyspark-stored/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
