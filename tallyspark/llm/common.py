@@ -8,10 +8,10 @@ in every worker.
 
 from __future__ import annotations
 
+import io
 import os
-import shutil
-import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,15 +38,27 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors, once per context, unless their search path or working folder has it."""
+    """Send this package to the executors, once per context. The archive lies in the shared checkpoint folder, so
+    executors that start late or again find it. A local run whose search path or working folder has the package needs none."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     known = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
     sc = spark.sparkContext
-    if any(os.path.realpath(p or ".") == os.path.realpath(root) for p in known) or not os.path.isdir(root) or sc.applicationId in _SHIPPED:
+    here = sc.master.startswith("local") and any(os.path.realpath(p or ".") == os.path.realpath(root) for p in known)
+    if here or not os.path.isdir(root) or sc.applicationId in _SHIPPED:
         return
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(os.path.join(root, "tallyspark")):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                file = os.path.join(folder, name)
+                z.write(file, os.path.relpath(file, root))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/tallyspark-{uuid.uuid4().hex}.zip"
+    place = sc._jvm.org.apache.hadoop.fs.Path(path)
+    out = place.getFileSystem(sc._jsc.hadoopConfiguration()).create(place)
+    out.write(bytearray(packed.getvalue()))
+    out.close()
+    sc.addPyFile(path)
     _SHIPPED.add(sc.applicationId)
-    with tempfile.TemporaryDirectory() as folder:
-        sc.addPyFile(shutil.make_archive(f"{folder}/tallyspark_package", "zip", root, "tallyspark"))
 
 
 _SHIPPED: set[str] = set()

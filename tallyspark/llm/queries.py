@@ -11,7 +11,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspark.llm import chat, decontaminate, licenses, ngram_join, packing, pii, quality, secrets, topk, toxicity
+from tallyspark.llm import (chat, decontaminate, infill, licenses, merkle, mixing, ngram_join, packing, pii, quality, secrets,
+                            topk, toxicity)
 from tallyspark.llm.common import read, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,9 +28,10 @@ def _shipped(fn):
     return run
 
 
-def query(name: str, sql: str | None = None):
+def query(name: str, sql: str | None = None, ships: bool = True):
+    """Register a query; ``ships``: its tasks run Python of this package."""
     def deco(fn):
-        QUERIES[name] = _shipped(fn)
+        QUERIES[name] = _shipped(fn) if ships else fn
         if sql is not None:
             ORACLE[name] = sql
         return fn
@@ -43,7 +45,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
 
 
-@query("op2_secret_scan")
+@query("op2_secret_scan", ships=False)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every text."""
     return secrets.scan(read(spark, sf_dir, "documents"))
@@ -128,13 +130,13 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_matches(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
-@query("op7_pii_scan")
+@query("op7_pii_scan", ships=False)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every text."""
     return pii.scan(read(spark, sf_dir, "documents"))
 
 
-@query("op8_license_scan")
+@query("op8_license_scan", ships=False)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Paragraphs of all documents that declare a licence."""
     return licenses.scan(read(spark, sf_dir, "documents"))
@@ -151,3 +153,96 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2048 tokens."""
     return packing.pack(read(spark, sf_dir, "documents"))
+
+
+# A row's digest, its CRC-32 (bit by bit), the trees level by level, and every leaf carried up beside its siblings.
+_TOLD = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR) END"
+_LEAF = "sha256(" + " || ".join(_TOLD.format(c) for c in ("doc_id", "source", "lang", "{n}", "text")) + ")"
+_CRC = """xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), [CAST(ord(x) AS BIGINT) FOR x IN string_split(CAST(doc_id AS VARCHAR), '')]),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+_LEVELS = """SELECT lang, l + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), (any_value(m) + 1) // 2
+  FROM {0} WHERE m > 1 GROUP BY lang, l, i // 2"""
+_FOLD = """SELECT f.rid, f.lang, f.l + 1, f.i // 2, (f.m + 1) // 2, f.told || coalesce(s.h, ''),
+         sha256(CASE WHEN s.h IS NULL THEN f.h WHEN f.i % 2 = 0 THEN f.h || s.h ELSE s.h || f.h END)
+  FROM {0} f LEFT JOIN {1} s ON s.lang IS NOT DISTINCT FROM f.lang AND s.l = f.l AND s.i = xor(f.i, 1) WHERE f.m > 1"""
+_OP11_SQL = f"""
+WITH RECURSIVE hashed AS (
+  SELECT doc_id, lang, {_LEAF.format(n="n_chars")} AS leaf,
+         CASE WHEN {_CRC} % 7 = 0 THEN {_LEAF.format(n="n_chars + 1")} END AS claimed FROM documents),
+placed AS (
+  SELECT *, row_number() OVER (ORDER BY lang NULLS FIRST, doc_id NULLS FIRST, leaf) AS rid,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY lang) AS m FROM hashed),
+nodes AS (SELECT lang, 0 AS l, i, leaf AS h, m FROM placed UNION ALL {_LEVELS.format("nodes")}),
+subroots AS (SELECT lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, count(*) OVER () AS m FROM nodes WHERE m = 1),
+tops AS (SELECT 'top' AS lang, 0 AS l, i, h, m FROM subroots UNION ALL {_LEVELS.format("tops")}),
+fold AS (SELECT rid, lang, 0 AS l, i, m, '' AS told, coalesce(claimed, leaf) AS h FROM placed UNION ALL {_FOLD.format("fold", "nodes")}),
+rise AS (
+  SELECT f.rid, 'top' AS lang, 0 AS l, s.i, s.m, f.told, f.h FROM fold f JOIN subroots s ON s.lang IS NOT DISTINCT FROM f.lang WHERE f.m = 1
+  UNION ALL {_FOLD.format("rise", "tops")})
+SELECT p.doc_id, p.leaf, s.h AS subroot, t.h AS root, sha256(r.told) AS proof_sha256, r.h AS folded_root, r.h = t.h AS verified
+FROM placed p JOIN rise r ON r.rid = p.rid AND r.m = 1 JOIN subroots s ON s.lang IS NOT DISTINCT FROM p.lang JOIN tops t ON t.m = 1
+"""
+
+
+@query("op11_merkle_manifest", _OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's proof against the root of all documents; some are tampered with."""
+    return merkle.prove(merkle.manifest(read(spark, sf_dir, "documents"), claimed=merkle.tampered_leaf()))
+
+
+_OP12_SQL = """
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+         sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+hashed AS (
+  SELECT *, len(u) AS n, [CAST('0x' || substr(h, 8 * k + 1, 8) AS BIGINT) FOR k IN [0, 1, 2, 3]] AS hs FROM cut),
+placed AS (
+  SELECT *, least(hs[1] % (n + 1), hs[2] % (n + 1)) AS a, greatest(hs[1] % (n + 1), hs[2] % (n + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR hs[3] % 100 >= 90 THEN 'plain'
+              WHEN hs[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM hashed),
+parts AS (
+  SELECT *, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:], '') AS s FROM placed)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(text) AS restored_sha256
+FROM parts
+"""
+
+
+@query("op12_fill_in_middle", _OP12_SQL, ships=False)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut for fill-in-middle training, and restored from that."""
+    return infill.digests(infill.transform(read(spark, sf_dir, "documents")))
+
+
+# The words taken follow from the targets and the order of a source's stream; the slots only spread them.
+_OP13_SQL = """
+WITH RECURSIVE sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         substr(sha256('mix:1:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 32) AS key FROM documents),
+sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, 2 * sum(size) AS most,
+         [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight FROM sized GROUP BY source),
+rounds AS (
+  SELECT 0 AS step, CAST(0 AS BIGINT) AS capped, CAST(1.5 AS DOUBLE) * sum(source_size) / sum(weight) AS level FROM sources
+  UNION ALL
+  SELECT step + 1, count(*) FILTER (weight * level >= most),
+         (CAST(1.5 AS DOUBLE) * sum(source_size) - coalesce(sum(most) FILTER (weight * level >= most), 0)) / sum(weight) FILTER (weight * level < most)
+  FROM rounds, sources GROUP BY step, capped
+  HAVING count(*) FILTER (weight * level >= most) <> capped AND count(*) FILTER (weight * level < most) > 0),
+aims AS (
+  SELECT source, source_size, least(weight * (SELECT max_by(level, step) FROM rounds), CAST(most AS DOUBLE)) AS target FROM sources),
+stream AS (
+  SELECT s.*, a.source_size, a.target, CAST(round(a.target) AS BIGINT) AS upto,
+         CAST(coalesce(sum(size) OVER (PARTITION BY s.source ORDER BY key, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before
+  FROM sized s JOIN aims a ON a.source IS NOT DISTINCT FROM s.source)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+       CAST(greatest(0, least(before + size, upto) - before) + greatest(0, least(before + source_size + size, upto) - before - source_size) AS BIGINT) AS taken
+FROM stream
+"""
+
+
+@query("op13_source_mix", _OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words that a mix of the sources by weight takes of every document."""
+    return mixing.taken(mixing.mix(read(spark, sf_dir, "documents")))
