@@ -406,7 +406,7 @@ def test_license_scan(spark, docs):
     odd = X.odd_documents(spark, extra=False)
     table = docs.select(*odd.columns).union(odd)
     told = {"apache-2.0": "Licensed under the Apache License, Version 2.0.", "mit": "Released under the MIT License.",
-            "gpl-3.0": "This work is licensed under the GNU General Public License, version 3.", "cc-by-nc": "Licensed under CC BY-NC 4.0."}
+            "gpl-3.0": "This work is licensed under the GNU General Public License, version 3.", "cc-by-nc": "Licensed under CC BY-NC 4.0.", "all-rights-reserved": "All rights reserved."}
     want = {(r.doc_id, i, f) for r in table.collect() for i, line in enumerate((r.text or "").split("\n")) for f, s in told.items() if s in line}
     model = licenses.train(table)
     got = licenses.scan(table, model).collect()
