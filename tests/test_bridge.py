@@ -79,9 +79,10 @@ def test_null_rep_is_no_rep_but_its_stores_count(spark):
     assert (cell["hc_real"], cell["stores_real"]) == (1, 6)
     week = K.headcount_weekly(f.withColumn("proyecto", F.col("proyecto_agrupado"))).first()
     assert (week["headcount"], week["stores_real"], week["dias_real"]) == (1, 6, 10)
-    calc = spark.createDataFrame([("Q2", e, 5, 3, 2.0, 0.5) for e in ("a@x", None)],
-                                 "q string, hunter_email string, dias long, stores long, stores_tg_hunter double, prod_target double")
-    block = DD.dd_block(calc, ["q"]).first()
+    calc = spark.createDataFrame([("Q2", "INBOUND", "CO", "Junior", "b", e, 5, 3, 2.0, 0.5) for e in ("a@x", None)],
+                                 "q string, proyecto string, country string, aging string, bucket string, hunter_email string, "
+                                 "dias long, stores long, stores_tg_hunter double, prod_target double")
+    block = DD.dd_grains(calc, "IS", ("total",)).first()
     assert (block["hunters"], block["stores"]) == (1, 6)
 
 
