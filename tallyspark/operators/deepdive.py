@@ -137,16 +137,21 @@ def _of(name: str, value):
 
 
 # ------------------------------------------------------------------------ IS
+def _kpis_is() -> tuple[list, list]:
+    """The aggregates behind the KPIs and the KPIs over them."""
+    parts = [F.max(_of("total", F.col("gap"))).alias("_t")] + [
+        F.max(_of("project", F.when(F.col("proyecto") == p, F.col("gap")))).alias(c) for p, c in (("INBOUND", "_i"), ("OUTBOUND", "_o"))]
+    t = round_half_away("_t", 0)
+    i, o = (F.coalesce(round_half_away(c, 0), F.lit(0.0)) for c in ("_i", "_o"))
+    return parts, [t.alias("total_gap"), i.alias("inbound_gap"), o.alias("outbound_gap"),
+                   round_half_away(safe_div(F.abs(i), F.abs(t)) * 100, 1).alias("inbound_share"),
+                   round_half_away(safe_div(F.abs(o), F.abs(t)) * 100, 1).alias("outbound_share")]
+
+
 def dd_is_kpis(grains: DataFrame) -> DataFrame:
     """Total / inbound / outbound gap and shares |part| / |total| x 100."""
-    g = grains.where(F.col("block").isin("total", "project")).groupBy("q").agg(
-        F.max(_of("total", F.col("gap"))).alias("_t"),
-        *[F.max(_of("project", F.when(F.col("proyecto") == p, F.col("gap")))).alias(c) for p, c in (("INBOUND", "_i"), ("OUTBOUND", "_o"))])
-    t, i, o = (round_half_away(F.col(c), 0) for c in ("_t", "_i", "_o"))
-    return g.select("q", t.alias("total_gap"), F.coalesce(i, F.lit(0.0)).alias("inbound_gap"),
-                    F.coalesce(o, F.lit(0.0)).alias("outbound_gap"),
-                    round_half_away(safe_div(F.abs(F.coalesce(i, F.lit(0.0))), F.abs(t)) * 100, 1).alias("inbound_share"),
-                    round_half_away(safe_div(F.abs(F.coalesce(o, F.lit(0.0))), F.abs(t)) * 100, 1).alias("outbound_share"))
+    parts, kpis = _kpis_is()
+    return grains.where(F.col("block").isin("total", "project")).groupBy("q").agg(*parts).select("q", *kpis)
 
 
 def country_pareto(country_block: DataFrame) -> DataFrame:
@@ -186,10 +191,15 @@ def highlights_is(grains: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------------ HT
+def _kpis_ht() -> tuple[list, list]:
+    names = {"impacto": "total_gap", "prod_real": "prod_real", "prod_target": "prod_target", "stores": "stores_real",
+             "stores_tg": "stores_tg", "hunters": "hunters", "dias": "dias"}
+    return [F.max(_of("total", F.struct(*names))).alias("_k")], [F.col(f"_k.{c}").alias(name) for c, name in names.items()]
+
+
 def dd_ht_kpis(grains: DataFrame) -> DataFrame:
-    return grains.where(F.col("block") == "total").select(
-        "q", F.col("impacto").alias("total_gap"), "prod_real", "prod_target", F.col("stores").alias("stores_real"),
-        "stores_tg", "hunters", "dias")
+    parts, kpis = _kpis_ht()
+    return grains.where(F.col("block") == "total").groupBy("q").agg(*parts).select("q", *kpis)
 
 
 def highlights_ht(grains: DataFrame) -> DataFrame:
@@ -223,19 +233,20 @@ def dd_reconciliation(grains: dict[str, DataFrame], tolerance: float = 0.01) ->
 
 
 # ---------------------------------------------------------------- JSON sink
-def deep_dive_json(kpis: DataFrame, grains: DataFrame, levels: str, generated: str) -> DataFrame:
+def deep_dive_json(grains: DataFrame, levels: str, generated: str) -> DataFrame:
     """One JSON payload per quarter: week, generated date, kpis and one
-    array per block, ordered by impact. A block holds one row per key
-    combination of a quarter's last week, so its array is bounded by the
-    dimensions (countries x agings x projects), not by the facts."""
+    array per block, ordered by impact, from one aggregation of the grains.
+    A block holds one row per key combination of a quarter's last week, so
+    its array is bounded by the dimensions (countries x agings x projects),
+    not by the facts."""
     blocks = {n: dd_block_columns(n, levels) for n in GRAINS[levels] if n != "total"}
-    g = grains.withColumn("bucket_rank", bucket_rank("bucket", levels)) if "buckets" in blocks else grains
+    parts, kpis = _kpis_is() if levels == "IS" else _kpis_ht()
+    g = grains.withColumn("bucket_rank", bucket_rank("bucket", levels))
     arrays = [F.array_sort(F.collect_list(_of(n, F.struct(*cols)))).alias(n) for n, cols in blocks.items()]
-    out = g.groupBy("q").agg(F.max(F.date_format("week_date", "yyyy-MM-dd")).alias("week"), *arrays)
-    k = kpis.select("q", F.struct(*[c for c in kpis.columns if c != "q"]).alias("kpis"))
-    payload = F.struct(F.col("week"), F.lit(generated).alias("generated"), "kpis", *blocks)
+    out = g.groupBy("q").agg(F.max(F.date_format("week_date", "yyyy-MM-dd")).alias("week"), *arrays, *parts)
+    payload = F.struct("week", F.lit(generated).alias("generated"), F.struct(*kpis).alias("kpis"), *blocks)
     # Fields without a value are written as null.
-    return out.join(k, "q", "left").select("q", F.to_json(payload, {"ignoreNullFields": "false"}).alias("json"))
+    return out.select("q", F.to_json(payload, {"ignoreNullFields": "false"}).alias("json"))
 
 
 def dd_block_columns(name: str, levels: str) -> list:

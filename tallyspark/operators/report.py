@@ -231,41 +231,54 @@ def section_on_axis(long: DataFrame, axis: DataFrame, spec: list[Line] | None =
 
 
 # ---------------------------------------------------------------- QTD & GAP
-def qtd(long: DataFrame, spark_spec: DataFrame) -> DataFrame:
-    """QTD per line by its rule, in one aggregation. Target lines only count
-    the weeks in which their paired actual line has a value."""
+def line_totals(long: DataFrame, spark_spec: DataFrame, grid: DataFrame | None = None) -> DataFrame:
+    """QTD of every line by its rule, and beside it the QTD of the actual line
+    it is compared with, in one pass and one shuffle.
+
+    A target line and its actual line share a pair. Partitioned by (quarter,
+    section, pair), a window over the pair's week marks the weeks in which the
+    actual has a value (target lines count only these), one aggregation
+    gives every line's QTD, and a window over the pair hands the actual's QTD
+    to its target lines. ``grid`` (q, section_id, label) asks for its lines
+    only, also those without rows: their QTD is NULL and they have no weeks."""
     spec = F.broadcast(spark_spec.select("section_id", "label", "qtd_rule", "gap_against"))
-    lv = long.join(spec, ["section_id", "label"])
-    actual_weeks = (long.where(F.col("value").isNotNull())
-                    .select("q", "section_id", F.col("label").alias("gap_against"), "week").distinct())
-    tgt = lv.where(F.col("gap_against").isNotNull()).join(
-        actual_weeks, ["q", "section_id", "gap_against", "week"], "left_semi")
-    lv = lv.where(F.col("gap_against").isNull()).unionByName(tgt)
-    has = F.col("value").isNotNull()
-    g = lv.groupBy("q", "section_id", "label", "qtd_rule").agg(
+    rows = long.select("q", "section_id", "label", "week", "value", "num", "den", F.lit(True).alias("given"))
+    if grid is not None:
+        rows = rows.unionByName(grid.select("q", "section_id", "label", F.lit(False).alias("given")), allowMissingColumns=True)
+    is_actual, has = F.col("gap_against").isNull(), F.col("value").isNotNull()
+    lv = rows.join(spec, ["section_id", "label"]).withColumn("pair", F.coalesce("gap_against", "label"))
+    lv = lv.repartition("q", "section_id", "pair")
+    marked = F.max(F.when(is_actual & has, 1)).over(W.partitionBy("q", "section_id", "pair", "week"))
+    lv = lv.withColumn("marked", marked).where(~F.col("given") | is_actual | F.col("marked").isNotNull())
+    g = lv.groupBy("q", "section_id", "pair", "label", "qtd_rule", "gap_against").agg(
         F.sum("value").alias("sum_v"), F.avg("value").alias("avg_v"),
         F.max_by("value", F.when(has, F.col("week"))).alias("last_v"),
         F.sum("num").alias("sum_num"), F.sum("den").alias("sum_den"),
-        F.count("value").alias("weeks_with_value"))
+        F.count("value").alias("weeks_with_value"), F.min("given").alias("given"))
     rule = F.col("qtd_rule")
     value = (F.when(rule == "additive", F.col("sum_v")).when(rule == "avg", F.col("avg_v"))
              .when(rule == "last_value", F.col("last_v"))
              .when(rule.isin("weighted_ratio", "weighted_productivity", "funnel_ratio_qtd"),
                    safe_div("sum_num", "sum_den")))
-    return g.select("q", "section_id", "label", "qtd_rule", value.alias("qtd"), "weeks_with_value")
+    actual = F.max(F.when(is_actual, F.col("qtd"))).over(W.partitionBy("q", "section_id", "pair"))
+    g = g.withColumn("qtd", value).withColumn("qtd_actual", F.when(~is_actual, actual))
+    if grid is not None:
+        g = g.where(~F.col("given"))
+    return g.select("q", "section_id", "label", "qtd_rule", "gap_against", "qtd", "weeks_with_value", "qtd_actual",
+                    (F.col("qtd_actual") - F.col("qtd")).alias("gap"))
+
 
+def qtd(long: DataFrame, spark_spec: DataFrame) -> DataFrame:
+    """QTD per line by its rule. Target lines only count the weeks in which
+    their paired actual line has a value."""
+    return line_totals(long, spark_spec).select("q", "section_id", "label", "qtd_rule", "qtd", "weeks_with_value")
 
-def gap(qtd_df: DataFrame, spark_spec: DataFrame) -> DataFrame:
+
+def gap(long: DataFrame, spark_spec: DataFrame) -> DataFrame:
     """GAP = QTD actual - QTD target, on the target line; NULL without a
     target."""
-    spec = F.broadcast(spark_spec.where(F.col("gap_against").isNotNull())
-                       .select("section_id", "label", "gap_against"))
-    t = qtd_df.join(spec, ["section_id", "label"]).select(
-        "q", "section_id", "label", "gap_against", F.col("qtd").alias("qtd_target"))
-    a = qtd_df.select("q", "section_id", F.col("label").alias("gap_against"), F.col("qtd").alias("qtd_actual"))
-    j = t.join(a, ["q", "section_id", "gap_against"], "left")
-    return j.select("q", "section_id", "label", "gap_against", "qtd_actual", "qtd_target",
-                    (F.col("qtd_actual") - F.col("qtd_target")).alias("gap"))
+    return line_totals(long, spark_spec).where(F.col("gap_against").isNotNull()).select(
+        "q", "section_id", "label", "gap_against", "qtd_actual", F.col("qtd").alias("qtd_target"), "gap")
 
 
 def report_rows(long: DataFrame, axis: DataFrame, spark_spec: DataFrame,
@@ -275,25 +288,13 @@ def report_rows(long: DataFrame, axis: DataFrame, spark_spec: DataFrame,
     ``spec`` must be the lines ``spark_spec`` was built from."""
     # Every quarter gets every line: the spec (a fixed literal) is exploded
     # onto the distinct quarters, a generator rather than a join.
-    lines = F.array(*[F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, SPEC_SCHEMA.fields)])
-                      for r in spark_spec_rows(spec)])
-    base = axis.select("q").distinct().select("q", F.explode(lines).alias("s")).select("q", "s.*")
-    qd = qtd(long, spark_spec)
-    gp = gap(qd, spark_spec).select("q", "section_id", "label", "gap")
+    grid = axis.select("q").distinct().select("q", F.explode(_spec_literal(spec or report_spec())).alias("s")).select("q", "s.*")
     state = F.coalesce(*[F.when(F.col("render_as") == k, F.lit(v)) for k, v in STATE_LABELS.items()],
                        F.lit("value"))
-    return (base.join(qd.select("q", "section_id", "label", "qtd", "weeks_with_value"),
-                      ["q", "section_id", "label"], "left")
-            .join(gp, ["q", "section_id", "label"], "left")
-            .select("q", "section_id", "seq", "label", "format", "qtd_rule", "gap_against", "invert_gap",
-                    "is_churn_total", state.alias("state"), "qtd", "gap",
-                    F.coalesce("weeks_with_value", F.lit(0)).cast("bigint").alias("weeks_with_value")))
-
-
-def spark_spec_rows(spec: list[Line] | None = None) -> list[tuple]:
-    spec = spec or report_spec()
-    return [(s.section_id, s.seq, s.label, s.fmt, s.qtd_rule, s.gap_against, s.render_as, s.invert_gap,
-             s.is_churn_total) for s in spec]
+    rest = F.broadcast(spark_spec.select("section_id", "label", "seq", "format", "render_as", "invert_gap", "is_churn_total"))
+    return line_totals(long, spark_spec, grid).join(rest, ["section_id", "label"]).select(
+        "q", "section_id", "seq", "label", "format", "qtd_rule", "gap_against", "invert_gap",
+        "is_churn_total", state.alias("state"), "qtd", "gap", F.col("weeks_with_value").cast("bigint").alias("weeks_with_value"))
 
 
 REP_SECTION_IDS = {s for s, _, _ in REP_SECTIONS}
@@ -338,8 +339,9 @@ def display_cells(on_axis: DataFrame, spark_spec: DataFrame, rows: DataFrame | N
     if rows is None:
         return out
     signed = F.concat(F.when((F.col("state") == "value") & (F.col("gap") > 0), F.lit("+")).otherwise(F.lit("")), shown(F.col("gap")))
-    return (out.unionByName(rows.select(*key, F.lit("QTD").alias("cell"), shown(F.col("qtd")).alias("display")))
-            .unionByName(rows.select(*key, F.lit("GAP").alias("cell"), signed.alias("display"))))
+    both = F.inline(F.array(F.struct(F.lit("QTD").alias("cell"), shown(F.col("qtd")).alias("display")),
+                            F.struct(F.lit("GAP").alias("cell"), signed.alias("display"))))
+    return out.unionByName(rows.select(*key, both))
 
 
 # ----------------------------------------------------- summaries and insight
@@ -363,16 +365,16 @@ CHANNEL_SECTIONS = ["hunting", "inside_sales_outbound", "inside_sales_inbound",
 
 def summary_cards(rows: DataFrame) -> DataFrame:
     """Main-metric QTD cards and, per channel section, its most negative
-    gap: (q, card, section_id, label, value)."""
-    main = rows.where(F.col("section_id") == "main_metrics_top")
-    cards = [main.where(F.col("label") == lab).select(
-        "q", F.lit(card).alias("card"), "section_id", "label", F.col("qtd").alias("value"))
-        for card, lab in CARD_LINES]
-    neg = rows.where(F.col("section_id").isin(*CHANNEL_SECTIONS) & (F.col("gap") < 0))
-    worst = neg.groupBy("q", "section_id").agg(F.min(F.struct("gap", "label")).alias("w")).select(
-        "q", F.lit("worst_gap").alias("card"), "section_id", F.col("w.label").alias("label"),
-        F.col("w.gap").alias("value"))
-    return reduce(lambda a, b: a.unionByName(b), cards + [worst])
+    gap: (q, card, section_id, label, value), from one aggregation of the rows."""
+    def card(name, when, value):
+        return F.min(F.when(when, F.struct(F.lit(name).alias("card"), F.col(value).alias("value"), "label"))).alias(name)
+    main = F.col("section_id") == "main_metrics_top"
+    cards = [card(name, main & (F.col("label") == label), "qtd") for name, label in CARD_LINES]
+    cards.append(card("worst_gap", F.col("section_id").isin(*CHANNEL_SECTIONS) & (F.col("gap") < 0), "gap"))
+    names = [*[n for n, _ in CARD_LINES], "worst_gap"]
+    g = rows.where(F.col("section_id").isin("main_metrics_top", *CHANNEL_SECTIONS)).groupBy("q", "section_id").agg(*cards)
+    found = F.filter(F.array(*names), lambda x: x.isNotNull())
+    return g.select("q", "section_id", F.explode(found).alias("c")).select("q", "c.card", "section_id", "c.label", "c.value")
 
 
 def top_gaps(rows: DataFrame, k: int = 5) -> DataFrame:
@@ -428,16 +430,22 @@ def kpi_pull(rows: DataFrame) -> DataFrame:
             .withColumn("pull_rank", F.row_number().over(w)))
 
 
+def _plain(value: str):
+    """A number as JSON shall show it: six decimals, never an exponent."""
+    return round_half_away(value, 6).cast("decimal(38,6)")
+
+
 def report_json(on_axis: DataFrame, rows: DataFrame) -> DataFrame:
-    """One JSON object per report line: section, label, format, values by
-    ISO week (NULL kept, future weeks included) or the text state, QTD, GAP.
-    The map holds one entry per week of one quarter (bounded)."""
+    """One JSON object per report line: section, label, format, its state
+    where it has no source, else its weeks in order (future weeks included,
+    as null), QTD and GAP; numbers with six decimals, fields without
+    a value written as null. The list holds the weeks of one quarter (bounded)."""
     vals = on_axis.groupBy("q", "section_id", "label").agg(
-        F.map_from_entries(F.array_sort(F.collect_list(
-            F.struct(F.date_format("week", "yyyy-MM-dd").alias("k"), F.col("value").alias("v"))))).alias("values"))
-    j = rows.join(vals, ["q", "section_id", "label"], "left")
-    vbw = F.struct(F.when(F.col("state") != "value", F.col("state")).alias("state"),
-                   F.when(F.col("state") == "value", F.col("values")).alias("values"))
-    payload = F.struct(F.col("section_id").alias("section"), "label", "format", vbw.alias("values_by_week"),
-                       "qtd", "gap")
-    return j.select("q", "section_id", "seq", "label", F.to_json(payload).alias("json"))
+        F.array_sort(F.collect_list(F.struct(F.date_format("week", "yyyy-MM-dd").alias("week"),
+                                             _plain("value").alias("value")))).alias("weeks"))
+    j = rows.join(vals, ["q", "section_id", "label"])
+    payload = F.struct(F.col("section_id").alias("section"), "label", "format",
+                       F.when(F.col("state") != "value", F.col("state")).alias("state"),
+                       F.when(F.col("state") == "value", F.col("weeks")).alias("weeks"),
+                       _plain("qtd").alias("qtd"), _plain("gap").alias("gap"))
+    return j.select("q", "section_id", "seq", "label", F.to_json(payload, {"ignoreNullFields": "false"}).alias("json"))

@@ -220,9 +220,10 @@ def _deps(name: str) -> list[str]:
     return [t for t in dict.fromkeys(_NAME_RE.findall(CTES[name])) if t in CTES and t != name]
 
 
-def with_tables(body: str, extra: dict[str, str] | None = None) -> str:
+def with_tables(body: str, extra: dict[str, str] | None = None, once: bool = False) -> str:
     """Prefix ``body`` with the model-table CTEs it references (and the
-    extra named CTEs given, which may reference model tables)."""
+    extra named CTEs given, which may reference model tables). ``once``:
+    every CTE is evaluated a single time, however often it is named."""
     extra = extra or {}
     order: list[str] = []
 
@@ -237,7 +238,8 @@ def with_tables(body: str, extra: dict[str, str] | None = None) -> str:
     for n in dict.fromkeys(_NAME_RE.findall(text)):
         if n in CTES:
             visit(n)
-    parts = [f"{n} AS ({CTES[n]}\n)" for n in order] + [f"{k} AS ({v}\n)" for k, v in extra.items()]
+    how = "AS MATERIALIZED" if once else "AS"
+    parts = [f"{n} {how} ({CTES[n]}\n)" for n in order] + [f"{k} {how} ({v}\n)" for k, v in extra.items()]
     return ("WITH " + ",\n".join(parts) + "\n" + body) if parts else body
 
 

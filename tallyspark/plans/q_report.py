@@ -9,6 +9,7 @@ from tallyspark.operators import churn as CH
 from tallyspark.operators import kpi as K
 from tallyspark.operators import report as R
 from tallyspark.plans.common import AS_OF, TZ, round_doubles
+from tallyspark.plans.oracle_lines import report_lines
 from tallyspark.plans.oracle_tables import prefixed, rha, with_tables
 from tallyspark.plans.q_churn import _CHURN_CTES
 from tallyspark.plans.q_kpi import section_parts
@@ -117,22 +118,20 @@ FULL OUTER JOIN (SELECT q, week, SUM(target) AS target_new_available FROM elc_ta
                  GROUP BY q, week) t ON a.q = t.q AND a.week = t.week"""
         frames[sid] = sid
     ctes.update(_CHURN_CTES)
-    for age in R.CHURN_AGES:
-        frames[f"early_churn_{age.lower()}"] = "early"
-    parts = []
-    for ln in SPEC:
-        if ln.field is None:
+    for age in ("m1", "m2", "m3"):
+        frames[f"early_churn_{age}"] = "early"
+    parts, lines = [], report_lines()
+    for ln in lines:
+        if ln["value"] is None:
             continue
-        num = f"CAST({ln.num} AS DOUBLE)" if ln.num else "CAST(NULL AS DOUBLE)"
-        den = f"CAST({ln.den} AS DOUBLE)" if ln.den else "CAST(NULL AS DOUBLE)"
-        parts.append(f"SELECT q, {_lit(ln.section_id)} AS section_id, {_lit(ln.label)} AS label, week, "
-                     f"CAST({ln.field} AS DOUBLE) AS value, {num} AS num, {den} AS den "
-                     f"FROM {frames[ln.section_id]} WHERE {ln.row_filter or 'TRUE'}")
+        num, den = (f"CAST({ln[k] or 'NULL'} AS DOUBLE)" for k in ("num", "den"))
+        where = f"age = '{ln['section_id'][-2:].upper()}' AND canal = '{ln['channel']}'" if ln["channel"] else "TRUE"
+        parts.append(f"SELECT q, {_lit(ln['section_id'])} AS section_id, {_lit(ln['label'])} AS label, week, "
+                     f"CAST({ln['value']} AS DOUBLE) AS value, {num} AS num, {den} AS den FROM {frames[ln['section_id']]} WHERE {where}")
     ctes["long"] = "\nUNION ALL ".join(parts)
-    ctes["spec"] = ("SELECT * FROM (VALUES " + ", ".join(
-        "(" + ", ".join(_lit(v) for v in (s.section_id, s.seq, s.label, s.fmt, s.qtd_rule, s.gap_against,
-                                          s.render_as, s.invert_gap, s.is_churn_total)) + ")" for s in SPEC)
-        + ") v(section_id, seq, label, format, qtd_rule, gap_against, render_as, invert_gap, is_churn_total)")
+    cols = ("section_id", "seq", "label", "format", "qtd_rule", "gap_against", "render_as", "invert_gap", "is_churn_total")
+    ctes["spec"] = ("SELECT * FROM (VALUES " + ", ".join("(" + ", ".join(_lit(ln[c]) for c in cols) + ")" for ln in lines)
+                    + f") v({', '.join(cols)})")
     ctes["axis_all"] = "SELECT DISTINCT q, week FROM elc_target"
     ctes["lv"] = """
 SELECT l.*, s.qtd_rule, s.gap_against FROM long l JOIN spec s ON l.section_id = s.section_id AND l.label = s.label
@@ -166,7 +165,7 @@ _CTES = _report_ctes()
 
 
 def _sql(body: str) -> str:
-    return with_tables(body, extra=_CTES)
+    return with_tables(body, extra=_CTES, once=True)
 
 
 def _r6(cols):
@@ -192,8 +191,7 @@ def qtd(spark, d):
 
 @query("gap", _sql(f"SELECT q, section_id, label, gap_against, {_r6(['qtd_actual', 'qtd_target', 'gap'])} FROM gap"))
 def gap(spark, d):
-    spec = R.spec_frame(spark, SPEC)
-    return round_doubles(R.gap(R.qtd(_long(spark, d), spec), spec))
+    return round_doubles(R.gap(_long(spark, d), R.spec_frame(spark, SPEC)))
 
 
 @query("row_state", _sql(f"""
@@ -279,7 +277,7 @@ FROM (SELECT q, section_id, label, gap,
       FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY q, section_id ORDER BY seq) AS rn
             FROM rows WHERE gap IS NOT NULL) WHERE rn = 1)"""))
 def section_status(spark, d):
-    return R.section_status(_rows(spark, d))
+    return round_doubles(R.section_status(_rows(spark, d)))
 
 
 @query("kpi_trend", _sql(f"""
@@ -306,11 +304,22 @@ def kpi_pull(spark, d):
     return round_doubles(R.kpi_pull(_rows(spark, d))).withColumn("pull_rank", F.col("pull_rank").cast("bigint"))
 
 
-@query("report_json")
+def _dec(expr: str) -> str:
+    return f"CAST({rha(expr, 6)} AS DECIMAL(38, 6))"
+
+
+@query("report_json", _sql(f"""
+SELECT r.q, r.section_id, r.seq, r.label, CAST(to_json({{'section': r.section_id, 'label': r.label, 'format': r.format,
+       'state': CASE WHEN r.state <> 'value' THEN r.state END,
+       'weeks': CASE WHEN r.state = 'value' THEN w.weeks END, 'qtd': {_dec('r.qtd')}, 'gap': {_dec('r.gap')}}}) AS VARCHAR) AS json
+FROM rows r JOIN (
+  SELECT x.q, s.section_id, s.label, list({{'week': strftime(x.week, '%Y-%m-%d'), 'value': {_dec('l.value')}}} ORDER BY x.week) AS weeks
+  FROM axis_all x CROSS JOIN spec s
+  LEFT JOIN long l ON l.q = x.q AND l.section_id = s.section_id AND l.label = s.label AND l.week = x.week
+  GROUP BY ALL) w ON w.q = r.q AND w.section_id = r.section_id AND w.label = r.label"""))
 def report_json(spark, d):
     long = _long(spark, d)
-    return R.report_json(R.section_on_axis(long, _axis(spark, d), SPEC),
-                         R.report_rows(long, _axis(spark, d), R.spec_frame(spark, SPEC), SPEC))
+    return R.report_json(R.section_on_axis(long, _axis(spark, d), SPEC), _rows(spark, d))
 
 
 # ------------------------------------------------------- gap concentration

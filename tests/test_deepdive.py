@@ -55,7 +55,7 @@ def test_a_block_alone_equals_the_block_among_all(spark):
 
 def test_payload_lists_follow_the_impact(spark):
     g = D.dd_grains(base(spark), "IS")
-    payload = json.loads(D.deep_dive_json(D.dd_is_kpis(g), g, "IS", "2026-04-20").where("q = '2026-Q2'").first().json)
+    payload = json.loads(D.deep_dive_json(g, "IS", "2026-04-20").where("q = '2026-Q2'").first().json)
     assert payload["week"] == "2026-04-13"
     assert [x["impact_rank"] for x in payload["aging"]] == [1, 2, 3, 4, 5]
     assert [x["impacto"] for x in payload["aging"]] == sorted(x["impacto"] for x in payload["aging"])

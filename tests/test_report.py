@@ -35,7 +35,7 @@ def test_qtd_rules_and_gap(spark):
     assert q["Target Flow"] == 24.0        # target only over weeks with actual (not 48)
     assert q["Rate"] == 2.0 / 6.0          # ratio of sums, not mean of ratios (0.375)
     assert q["HC"] == 5.0
-    g = {r["label"]: r["gap"] for r in R.gap(R.qtd(long, sf), sf).collect()}
+    g = {r["label"]: r["gap"] for r in R.gap(long, sf).collect()}
     assert g == {"Target Flow": 6.0}
 
 
