@@ -19,9 +19,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window as W
 from pyspark.sql import functions as F
 
-from tallyspark.functions.exprs import SENIOR, norm_key, safe_div
+from tallyspark.functions.exprs import SENIOR, aging_key, norm_key, safe_div
 from tallyspark.operators.calendar import in_quarter
-from tallyspark.operators.targets import macro_target_weekly
 
 # Funnel types counted over CREATED, and the section columns they feed.
 FUNNEL_RATIOS = [
@@ -165,24 +164,61 @@ def funnel_ratios(elc: DataFrame, quarter: str | None = None) -> DataFrame:
 
 
 # ---------------------------------------------------------- channel sections
-def rep_channel_section(elc: DataFrame, elc_tg: DataFrame, funnel: DataFrame, target: DataFrame,
-                        team: str, channel_group: str, project: str | None = None,
+def rep_weekly(funnel: DataFrame, target: DataFrame, quarter: str | None = None, project: str | None = None,
+               by_project: bool = False, project_col: str = "proyecto") -> DataFrame:
+    """Everything a section takes from the reps, per week (and project):
+    headcounts, stores and days, target headcounts, and the target stores with
+    the days behind them. The funnel and the targets are read once each.
+
+    The funnel is first reduced to (week, project, cell, rep), so that rows
+    without a rep are few. Of a rep's rows in a week one is flagged, an active
+    and senior one before others, so that summed flags are distinct counts.
+    Flags, stores and days then go with their cell, where the targets meet
+    them, and cells are summed to weeks."""
+    proj = [project_col] if by_project else []
+    f, t = in_quarter(funnel, quarter), in_quarter(target, quarter)
+    if project is not None:
+        f, t = f.where(F.col(project_col) == project), t.where(F.col(project_col) == project)
+    active = F.col("hc") == 1
+    reps = f.groupBy("q", F.col("week_date").alias("week"), *proj, "country", "aging_category_final", "hunter_email").agg(
+        F.max(F.when(active, 1).otherwise(0)).alias("active"), F.sum(F.when(active, F.col("dias_trabajados"))).alias("days"),
+        F.sum("stores_totales").alias("stores"), F.sum("dias_trabajados").alias("dias"))
+    senior = F.col("aging_category_final").eqNullSafe(SENIOR)
+    first = F.row_number().over(W.partitionBy("q", "week", *proj, "hunter_email").orderBy(F.desc("active"), senior.desc())) == 1
+    one = F.when(F.col("hunter_email").isNotNull() & first, F.col("active")).otherwise(0)
+    reps = reps.withColumn("one", one).withColumn("one_senior", F.when(senior, F.col("one")).otherwise(0))
+    cells = reps.groupBy("q", "week", *proj, "country", aging_key("aging_category_final").alias("aging")).agg(
+        *[F.sum(c).alias(c) for c in ("one", "one_senior", "stores", "dias", "days")])
+    is_hc, is_rate = F.col("tipo_target") == "HC", F.col("tipo_target") == "PRODUCTIVIDAD"
+    zero = F.lit(0.0)
+    goals = t.groupBy("q", "week", *proj, "country", norm_key("aging").alias("aging")).agg(
+        F.max(is_rate).alias("rated"), F.avg(F.when(is_rate, F.col("target"))).alias("rate"),
+        F.sum(F.when(is_hc, F.col("target")).otherwise(zero)).alias("hc"),
+        F.sum(F.when(is_hc & (norm_key("aging") == SENIOR_TARGET_KEY), F.col("target")).otherwise(zero)).alias("hc_senior"))
+    m = merge_weekly([cells, goals], ("q", "week", *proj, "country", "aging"))
+    meets = F.col("rated") & F.col("days").isNotNull() & F.col("country").isNotNull() & F.col("aging").isNotNull()
+    return m.groupBy("q", "week", *proj).agg(
+        F.sum("one").alias("headcount"), F.sum("one_senior").alias("senior_headcount"),
+        F.sum("stores").alias("stores_real"), F.sum("dias").alias("dias_real"),
+        F.sum("hc").alias("target_headcount"), F.sum("hc_senior").alias("target_senior_headcount"),
+        F.sum(F.when(meets, F.col("rate") * F.col("days"))).alias("target_store_created"),
+        F.sum(F.when(meets, F.col("days"))).alias("dias_trabajados_reales_total"))
+
+
+def rep_channel_section(elc: DataFrame, elc_tg: DataFrame, reps: DataFrame, team: str, channel_group: str,
                         quarter: str | None = None) -> DataFrame:
     """A rep-based channel section (Hunting, IS Outbound, IS Inbound): 20
-    weekly KPIs plus the numerator/denominator parts the QTD rules need."""
-    parts = [
-        elc_channel_weekly(elc, team, channel_group, quarter),
-        elc_target_weekly(elc_tg, team, channel_group, "AVAILABLE", quarter),
-        headcount_weekly(funnel, quarter, project),
-        hc_target_weekly(target, quarter, project),
-        macro_target_weekly(funnel, target, quarter, project).drop("target_productivity"),
-    ]
-    m = merge_weekly(parts)
+    weekly KPIs plus the numerator/denominator parts the QTD rules need.
+    ``reps`` is ``rep_weekly`` of its reps."""
+    m = merge_weekly([elc_channel_weekly(elc, team, channel_group, quarter),
+                      elc_target_weekly(elc_tg, team, channel_group, "AVAILABLE", quarter), reps])
     created = F.col("store_created")
     return m.select(
         "q", "week", "new_available", "target_new_available", "store_created", "target_store_created",
-        "productivity", safe_div("target_store_created", "dias_trabajados_reales_total").alias("target_productivity"),
-        "headcount", "target_headcount", "pct_old", "pct_target_old",
+        safe_div("stores_real", "dias_real").alias("productivity"),
+        safe_div("target_store_created", "dias_trabajados_reales_total").alias("target_productivity"),
+        "headcount", "target_headcount", safe_div("senior_headcount", "headcount").alias("pct_old"),
+        safe_div("target_senior_headcount", "target_headcount").alias("pct_target_old"),
         *[safe_div(c, created).alias(p) for _, c, p in FUNNEL_RATIOS],
         *[c for _, c in AVG_DAYS],
         # parts behind the ratios
@@ -190,6 +226,23 @@ def rep_channel_section(elc: DataFrame, elc_tg: DataFrame, funnel: DataFrame, ta
         "target_senior_headcount", *[c for _, c, _ in FUNNEL_RATIOS])
 
 
+def in_week_order(section: DataFrame) -> DataFrame:
+    """A weekly section in the order of its weeks, each with its place in the
+    quarter (a window over the weeks of one quarter)."""
+    place = F.row_number().over(W.partitionBy("q").orderBy("week")).cast("bigint")
+    return section.withColumn("week_rank", place).orderBy("q", "week_rank")
+
+
+def by_channel(elc: DataFrame, elc_tg: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The weekly funnel and its targets reduced to one row per week, channel
+    and type: what all sections of a report read instead of the whole tables.
+    Counts are summed, AVG_ types averaged, as the sections would."""
+    metric = F.when(F.col("type").startswith("AVG_"), F.avg("metric")).otherwise(F.sum("metric"))
+    keys = ("q", "week", "team", "channel_group")
+    return (elc.groupBy(*keys, "type").agg(metric.alias("metric")),
+            elc_tg.groupBy(*keys, "tipo_target").agg(F.sum("target").alias("target")))
+
+
 def simple_channel_section(elc: DataFrame, elc_tg: DataFrame, team: str, channel_group: str,
                            with_created: bool, quarter: str | None = None) -> DataFrame:
     """Self-onboarding / brand expansion: new available vs target (+ created)."""

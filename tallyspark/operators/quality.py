@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.functions.exprs import safe_div
+from tallyspark.functions.ordering import positions
+from tallyspark.session import stored
 
 ENTITIES = ["razon_social", "brand_name", "adress"]
 COUNTS = ["total_store", "store_sin_fl", "store_sin_orders", "store_sin_handoff", "churn", "total_store_churn"]
@@ -45,10 +47,12 @@ def quality_gold(silver: DataFrame, keys: tuple[str, ...] = ("hunter_", "coordin
 
 def hunter_ranking(gold: DataFrame) -> DataFrame:
     """Reps ranked by stores without first login: absolute counts summed
-    over coordinators/channels, rates recomputed from the sums. Sorted with
-    a distributed range sort (no single-partition window)."""
+    over coordinators/channels, rates recomputed from the sums, ``rank`` from 1.
+    The reps are as many as the data holds, so the rank comes from range
+    partitions (``positions``), not from a window over all of them."""
     g = gold.groupBy("hunter_").agg(*[F.sum(c).cast("bigint").alias(c) for c in COUNTS])
-    return g.select("*", *_rates(g)).orderBy(F.col("store_sin_fl").desc(), F.col("hunter_"))
+    g = positions(stored(g.select("*", *_rates(g)), "hunter-ranking"), [], [F.desc("store_sin_fl"), F.col("hunter_").asc()], "rank")
+    return g.withColumn("rank", F.col("rank") + 1).orderBy("rank")
 
 
 def quality_by_dim(silver: DataFrame, dims: tuple[str, ...] = ("hunter_", "coordinador", "channel")) -> DataFrame:

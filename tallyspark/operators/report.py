@@ -206,13 +206,10 @@ def section_long(frame: DataFrame, lines: list[Line]) -> DataFrame:
 
 def values_long(sections: dict[str, DataFrame], spec: list[Line] | None = None) -> DataFrame:
     spec = spec or report_spec()
-    parts = []
-    for sid, frame in sections.items():
-        lines = [ln for ln in spec if ln.section_id == sid]
-        p = section_long(frame, lines)
-        if p is not None:
-            parts.append(p)
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    # Sections on one frame are unpivoted together, so the frame is computed once.
+    frames = {id(f): f for f in sections.values()}
+    parts = [section_long(f, [ln for ln in spec if ln.section_id in sections and sections[ln.section_id] is f]) for f in frames.values()]
+    return reduce(lambda a, b: a.unionByName(b), [p for p in parts if p is not None])
 
 
 def section_on_axis(long: DataFrame, axis: DataFrame, spec: list[Line] | None = None) -> DataFrame:

@@ -58,7 +58,7 @@ def quality_rates(spark, d):
 
 
 @query("hunter_ranking", with_tables(f"""
-SELECT *, {_RATES_SQL} FROM (
+SELECT *, {_RATES_SQL}, ROW_NUMBER() OVER (ORDER BY store_sin_fl DESC, hunter_ NULLS FIRST) AS rank FROM (
   SELECT hunter_, {', '.join(f'CAST(SUM({c}) AS BIGINT) AS {c}' for c in X.COUNTS)} FROM gold GROUP BY hunter_)""",
     extra={"gold": _GOLD}))
 def hunter_ranking(spark, d):

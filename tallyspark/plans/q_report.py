@@ -14,6 +14,7 @@ from tallyspark.plans.oracle_tables import prefixed, rha, with_tables
 from tallyspark.plans.q_churn import _CHURN_CTES
 from tallyspark.plans.q_kpi import section_parts
 from tallyspark.plans.registry import query
+from tallyspark.session import stored
 from tallyspark.sources import model as TD
 
 SPEC = R.report_spec()
@@ -21,18 +22,18 @@ SPEC = R.report_spec()
 
 # -------------------------------------------------------------- Spark side
 def _sections(spark, d):
-    elc, etg = TD.elc_funnel(spark, d), TD.elc_target(spark, d)
-    htf, htt = TD.ht_funnel(spark, d), TD.ht_target(spark, d)
-    isf, ist = TD.is_funnel(spark, d), TD.is_target(spark, d)
+    """The frames of all sections. What several of them read is reduced and stored first, so every table is read once."""
+    full_target = TD.elc_target(spark, d)
+    elc, etg = (stored(df, "report-part") for df in K.by_channel(TD.elc_funnel(spark, d), full_target))
+    inside = stored(K.rep_weekly(TD.is_funnel(spark, d), TD.is_target(spark, d), by_project=True), "report-part")
+    reps = {p: inside.where(F.col("proyecto") == p).drop("proyecto") for p in ("OUTBOUND", "INBOUND")}
     churn = CH.early_churn(TD.churn_detail(spark, d), TD.churn_target(spark, d), C.week_axis(etg), AS_OF, TZ)
     return {
         "main_metrics_top": K.main_metrics_top(elc),
         "main_metrics_bottom": K.main_metrics_bottom(elc),
-        "hunting": K.rep_channel_section(elc, etg, htf, htt, "HUNTING", "HUNTING"),
-        "inside_sales_outbound": K.rep_channel_section(elc, etg, isf, ist, "INSIDE SALES",
-                                                       "INSIDE SALES OUTBOUND", "OUTBOUND"),
-        "inside_sales_inbound": K.rep_channel_section(elc, etg, isf, ist, "INSIDE SALES",
-                                                      "INSIDE SALES INBOUND", "INBOUND"),
+        "hunting": K.rep_channel_section(elc, etg, K.rep_weekly(TD.ht_funnel(spark, d), TD.ht_target(spark, d)), "HUNTING", "HUNTING"),
+        "inside_sales_outbound": K.rep_channel_section(elc, etg, reps["OUTBOUND"], "INSIDE SALES", "INSIDE SALES OUTBOUND"),
+        "inside_sales_inbound": K.rep_channel_section(elc, etg, reps["INBOUND"], "INSIDE SALES", "INSIDE SALES INBOUND"),
         "self_onboarding": K.simple_channel_section(elc, etg, "SELF-ONBOARDING", "SELF-ONBOARDING", False),
         "brand_expansion": K.simple_channel_section(elc, etg, "BRAND EXPANSION", "BRAND EXPANSION", True),
         "early_churn_m1": churn, "early_churn_m2": churn, "early_churn_m3": churn,
