@@ -15,6 +15,7 @@ single-partition window.
 from __future__ import annotations
 
 from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import DataFrame, Window as W
 from pyspark.sql import functions as F
@@ -164,17 +165,18 @@ def funnel_ratios(elc: DataFrame, quarter: str | None = None) -> DataFrame:
 
 
 # ---------------------------------------------------------- channel sections
-def rep_weekly(funnel: DataFrame, target: DataFrame, quarter: str | None = None, project: str | None = None,
-               by_project: bool = False, project_col: str = "proyecto") -> DataFrame:
-    """Everything a section takes from the reps, per week (and project):
-    headcounts, stores and days, target headcounts, and the target stores with
-    the days behind them. The funnel and the targets are read once each.
+def rep_cells(funnel: DataFrame, target: DataFrame, quarter: str | None = None, project: str | None = None,
+              by_project: bool = False, project_col: str = "proyecto") -> DataFrame:
+    """The reps' figures and targets per week (and project), country and aging:
+    distinct reps (``one``, ``one_senior``), stores and days, target headcounts,
+    and the target stores with the days behind them. The funnel and the
+    targets are read once each.
 
     The funnel is first reduced to (week, project, cell, rep), so that rows
     without a rep are few. Of a rep's rows in a week one is flagged, an active
     and senior one before others, so that summed flags are distinct counts.
     Flags, stores and days then go with their cell, where the targets meet
-    them, and cells are summed to weeks."""
+    them."""
     proj = [project_col] if by_project else []
     f, t = in_quarter(funnel, quarter), in_quarter(target, quarter)
     if project is not None:
@@ -197,12 +199,18 @@ def rep_weekly(funnel: DataFrame, target: DataFrame, quarter: str | None = None,
         F.sum(F.when(is_hc & (norm_key("aging") == SENIOR_TARGET_KEY), F.col("target")).otherwise(zero)).alias("hc_senior"))
     m = merge_weekly([cells, goals], ("q", "week", *proj, "country", "aging"))
     meets = F.col("rated") & F.col("days").isNotNull() & F.col("country").isNotNull() & F.col("aging").isNotNull()
-    return m.groupBy("q", "week", *proj).agg(
+    return m.select("*", F.when(meets, F.col("rate") * F.col("days")).alias("target_stores"), F.when(meets, F.col("days")).alias("target_days"))
+
+
+def rep_weekly(funnel: DataFrame, target: DataFrame, quarter: str | None = None, project: str | None = None,
+               by_project: bool = False, project_col: str = "proyecto") -> DataFrame:
+    """Everything a section takes from the reps, per week (and project): the cells summed."""
+    proj = [project_col] if by_project else []
+    return rep_cells(funnel, target, quarter, project, by_project, project_col).groupBy("q", "week", *proj).agg(
         F.sum("one").alias("headcount"), F.sum("one_senior").alias("senior_headcount"),
         F.sum("stores").alias("stores_real"), F.sum("dias").alias("dias_real"),
         F.sum("hc").alias("target_headcount"), F.sum("hc_senior").alias("target_senior_headcount"),
-        F.sum(F.when(meets, F.col("rate") * F.col("days"))).alias("target_store_created"),
-        F.sum(F.when(meets, F.col("days"))).alias("dias_trabajados_reales_total"))
+        F.sum("target_stores").alias("target_store_created"), F.sum("target_days").alias("dias_trabajados_reales_total"))
 
 
 def rep_channel_section(elc: DataFrame, elc_tg: DataFrame, reps: DataFrame, team: str, channel_group: str,
@@ -273,3 +281,36 @@ def gap_concentration(elc: DataFrame, elc_tg: DataFrame, dims: tuple[str, ...] =
     return j.select("q", "channel_group", *dims, F.coalesce("actual", F.lit(0.0)).alias("actual"),
                     F.coalesce("target", F.lit(0.0)).alias("target"), gap.alias("gap"),
                     safe_div(gap, F.sum(gap).over(w)).alias("share"))
+
+
+def gap_cube(parts: DataFrame, dims: tuple[str, ...] = ("channel", "country", "aging")) -> DataFrame:
+    """Where a gap sits, over every combination of ``dims`` at once: actual,
+    target and gap of each cell of the CUBE, its share of the gaps of its
+    grouping, and its rank there (the most negative first, ties by the dims).
+
+    ``parts``: q, dims, actual, target. ``grain`` names the dims a row keeps
+    ("total": none); a NULL in one of them is a value, in another it is summed
+    away. The windows run over one grouping of one quarter, whose rows are
+    combinations of the dims."""
+    sets = [c for n in range(len(dims) + 1) for c in combinations(dims, n)]
+    g = parts.groupingSets([["q", *c] for c in sets], "q", *dims).agg(
+        F.coalesce(F.sum("actual").cast("double"), F.lit(0.0)).alias("actual"),
+        F.coalesce(F.sum("target").cast("double"), F.lit(0.0)).alias("target"), F.grouping_id().alias("gid"))
+    name = {sum(1 << (len(dims) - 1 - i) for i, d in enumerate(dims) if d not in c): "+".join(c) or "total" for c in sets}
+    g = g.withColumn("grain", F.coalesce(*[F.when(F.col("gid") == k, F.lit(v)) for k, v in name.items()]))
+    g = g.withColumn("gap", F.col("actual") - F.col("target"))
+    w = W.partitionBy("q", "grain")
+    order = w.orderBy("gap", *[F.col(d).asc_nulls_last() for d in dims])
+    return g.select("q", "grain", *dims, "actual", "target", "gap", safe_div("gap", F.sum("gap").over(w)).alias("share"),
+                    F.row_number().over(order).cast("bigint").alias("rank"))
+
+
+def rep_gap_parts(ht_funnel: DataFrame, ht_target: DataFrame, is_funnel: DataFrame, is_target: DataFrame,
+                  quarter: str | None = None) -> DataFrame:
+    """Real and target stores of the rep channels per (q, channel, country,
+    aging), from the rep funnels, which know the aging of a rep; cells in
+    which nobody worked have no part."""
+    cols = ["q", "channel", "country", "aging", F.col("stores").alias("actual"), F.col("target_stores").alias("target")]
+    hunting = rep_cells(ht_funnel, ht_target, quarter).withColumn("channel", F.lit("HUNTING"))
+    inside = rep_cells(is_funnel, is_target, quarter, by_project=True).withColumn("channel", F.concat(F.lit("INSIDE SALES "), "proyecto"))
+    return hunting.select(*cols).unionByName(inside.select(*cols)).where(F.col("actual").isNotNull())

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.functions.exprs import safe_div
+from tallyspark.functions.exprs import round_half_away, safe_div
 from tallyspark.functions.ordering import positions
 from tallyspark.session import stored
 
@@ -79,28 +79,73 @@ def _entity_long(silver: DataFrame) -> DataFrame:
         "hunter_", "store_id", "first_login", "e.entity_type", "e.entity")
 
 
-def worst_offender(silver: DataFrame) -> DataFrame:
-    """Per rep and entity type (legal name, brand, address): the entity with
-    most stores without login; ties -> more stores, then name ascending."""
-    long = _entity_long(silver)
-    per = long.groupBy("hunter_", "entity_type", "entity").agg(
+def _entity_counts(silver: DataFrame) -> DataFrame:
+    """Stores and stores without login per rep, entity type and entity."""
+    return _entity_long(silver).groupBy("hunter_", "entity_type", "entity").agg(
         F.count(F.lit(1)).alias("total_store_wo"),
         F.sum(F.when(F.col("first_login").isNull(), F.lit(1)).otherwise(F.lit(0))).cast("bigint")
         .alias("store_sin_login_wo"))
-    best = per.groupBy("hunter_", "entity_type").agg(F.min(F.struct(
-        (-F.col("store_sin_login_wo")).alias("neg_sin"), (-F.col("total_store_wo")).alias("neg_tot"),
-        F.col("entity"))).alias("b"))
+
+
+def _worst_key():
+    """Least first: most stores without login, then most stores, then the name."""
+    return F.struct((-F.col("store_sin_login_wo")).alias("neg_sin"), (-F.col("total_store_wo")).alias("neg_tot"), F.col("entity"))
+
+
+def worst_offender(silver: DataFrame) -> DataFrame:
+    """Per rep and entity type (legal name, brand, address): the entity with
+    most stores without login; ties -> more stores, then name ascending."""
+    best = _entity_counts(silver).groupBy("hunter_", "entity_type").agg(F.min(_worst_key()).alias("b"))
     return best.select("hunter_", "entity_type", F.col("b.entity").alias("entity"),
                        (-F.col("b.neg_tot")).alias("total_store_wo"),
                        (-F.col("b.neg_sin")).alias("store_sin_login_wo"))
 
 
 def offender_stores(silver: DataFrame, offenders: DataFrame) -> DataFrame:
-    """The stores behind each worst offender."""
-    long = _entity_long(silver).drop("first_login")
-    j = long.join(offenders.select("hunter_", "entity_type", "entity"), ["hunter_", "entity_type", "entity"])
-    return j.join(silver.select("store_id", "fecha_envio_de_credenciales", "first_login", "handoff",
-                                "orders_0_28"), "store_id")
+    """The stores behind each worst offender: every store carries its columns
+    through the unpivot, so SILVER meets the offenders in one join."""
+    kept = ["store_id", "fecha_envio_de_credenciales", "first_login", "handoff", "orders_0_28"]
+    stacked = F.explode(F.array(*[F.struct(F.lit(e).alias("entity_type"), F.col(e).alias("entity")) for e in ENTITIES])).alias("e")
+    long = silver.select("hunter_", *kept, stacked).select("hunter_", *kept, "e.entity_type", "e.entity")
+    return long.join(offenders.select("hunter_", "entity_type", "entity"), ["hunter_", "entity_type", "entity"], "left_semi")
+
+
+def gold_table(silver: DataFrame, as_of: str) -> DataFrame:
+    """The GOLD row of every rep: counts, the ready-made rate of stores without
+    login, the churn rate of the month before ``as_of`` (churnm1: over the
+    stores that first logged in then) and, per entity type, the worst offender
+    with its stores and its stores without login.
+
+    The offenders are minima of structs, all types in one aggregation, so
+    they arrive wide; a rep of any size is combined before the shuffle."""
+    month = F.trunc(F.lit(as_of).cast("date"), "month")
+    last = (F.col("first_login") >= F.add_months(month, -1)) & (F.col("first_login") < month)
+    g = _flags(silver).groupBy("hunter_").agg(
+        *[F.sum(c).cast("bigint").alias(c) for c in COUNTS],
+        F.sum(F.when(last, F.col("churn"))).alias("m1"), F.sum(F.when(last, F.col("total_store_churn"))).alias("m1_all"))
+    wide = _entity_counts(silver).groupBy("hunter_").agg(*[F.min(F.when(F.col("entity_type") == e, _worst_key())).alias(e) for e in ENTITIES])
+    j = g.join(wide.withColumnRenamed("hunter_", "_h"), F.col("hunter_").eqNullSafe(F.col("_h")))
+    offenders = [c for e in ENTITIES for c in (F.col(f"{e}.entity").alias(f"{e}_wo"), (-F.col(f"{e}.neg_tot")).alias(f"total_store_{e}_wo"),
+                                               (-F.col(f"{e}.neg_sin")).alias(f"store_sin_login_{e}_wo"))]
+    return j.select("hunter_", *COUNTS, round_half_away(safe_div("store_sin_fl", "total_store"), 6).alias("store_sin_login_rate"),
+                    round_half_away(safe_div("m1", "m1_all"), 6).alias("churnm1"), *offenders)
+
+
+def gold_check(stored_gold: DataFrame, derived_gold: DataFrame, key: str = "hunter_") -> DataFrame:
+    """Every value of a stored GOLD table against the derived one: (key, field,
+    stored, derived, ok) as text, equal NULLs agreeing. A rep that only one
+    side has is reported too, with the field of the key itself not ok."""
+    fields = [c for c in derived_gold.columns if c != key]
+    told = lambda df, c: (df[c].cast("decimal(18,6)") if dict(df.dtypes)[c] == "double" else df[c]).cast("string")
+
+    def side(df, name):
+        return df.select(F.col(key), F.struct(F.lit("yes").alias(key), *[told(df, c).alias(c) for c in fields]).alias(name))
+    s, d = side(stored_gold, "stored").withColumnRenamed(key, "_k"), side(derived_gold, "derived")
+    j = s.join(d, F.col("_k").eqNullSafe(F.col(key)), "full_outer")
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(f"stored.{c}").alias("stored"), F.col(f"derived.{c}").alias("derived"))
+                                for c in [key, *fields]])).alias("p")
+    out = j.select(F.coalesce(key, "_k").alias(key), pairs).select(key, "p.*")
+    return out.withColumn("ok", F.col("stored").eqNullSafe(F.col("derived")))
 
 
 def low_availability(silver: DataFrame, threshold: float = 0.2) -> DataFrame:

@@ -213,6 +213,12 @@ SELECT o_custkey AS external_store_id, CAST(o_orderdate AS DATE) AS day_date,
        o_totalprice AS order_value
 FROM orders"""
 
+CTES["store_snapshot"] = """
+SELECT l_suppkey AS store_id, CAST(l_shipdate AS DATE) AS day,
+       CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) + to_days(CAST(l_partkey % 30 AS INTEGER)) + to_minutes(CAST(l_orderkey % 1440 AS INTEGER)) AS loaded_at,
+       l_orderkey * 8 + l_linenumber AS load_id, CAST(l_quantity AS DOUBLE) AS stock, l_linestatus AS status
+FROM lineitem"""
+
 _NAME_RE = re.compile(r"\b([a-z_][a-z0-9_]*)\b")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from tallyspark.operators import quality as X
 from tallyspark.operators import stores as P
-from tallyspark.plans.common import round_doubles
+from tallyspark.plans.common import TZ, round_doubles
 from tallyspark.plans.oracle_tables import rha, with_tables
 from tallyspark.plans.registry import query
 from tallyspark.sources import model as TD
@@ -103,6 +103,58 @@ def offender_stores(spark, d):
     return X.offender_stores(s, X.worst_offender(s))
 
 
+# The stored GOLD table is what a refresh made before the last stores got their credentials.
+GOLD_AS_OF, STORED_BEFORE = "1993-07-18", "1993-03-01"
+
+
+def _gold_sql(silver: str) -> str:
+    """One row a rep from ``silver``; each offender by its own ordered pick."""
+    picks, joins = [], []
+    for i, e in enumerate(X.ENTITIES):
+        joins.append(f"""LEFT JOIN (
+  SELECT * FROM (SELECT hunter_, {e} AS entity, COUNT(*) AS n, COUNT(*) FILTER (WHERE first_login IS NULL) AS bad,
+                        ROW_NUMBER() OVER (PARTITION BY hunter_ ORDER BY COUNT(*) FILTER (WHERE first_login IS NULL) DESC, COUNT(*) DESC, {e}) AS rn
+                 FROM {silver} GROUP BY hunter_, {e}) WHERE rn = 1) w{i} ON w{i}.hunter_ IS NOT DISTINCT FROM g.hunter_""")
+        picks.append(f"w{i}.entity AS {e}_wo, w{i}.n AS total_store_{e}_wo, w{i}.bad AS store_sin_login_{e}_wo")
+    month = f"date_trunc('month', DATE '{GOLD_AS_OF}')"
+    m1 = f"first_login >= {month} - INTERVAL 1 MONTH AND first_login < {month}"
+    return f"""
+SELECT g.*, {', '.join(picks)} FROM (
+  SELECT hunter_, {_COUNTS_SQL},
+         {rha('COUNT(*) FILTER (WHERE first_login IS NULL) / NULLIF(COUNT(*), 0)', 6)} AS store_sin_login_rate,
+         {rha(f'COUNT(*) FILTER (WHERE {m1} AND orders_0_28 = 0) / NULLIF(COUNT(*) FILTER (WHERE {m1}), 0)', 6)} AS churnm1
+  FROM {silver} GROUP BY hunter_) g {' '.join(joins)}"""
+
+
+@query("quality_gold_wide", with_tables(_gold_sql("store_detail")))
+def quality_gold_wide(spark, d):
+    return X.gold_table(_silver(spark, d), GOLD_AS_OF)
+
+
+def _stored_gold(spark, d):
+    silver = _silver(spark, d)
+    return TD.derived(spark, d, "gold_stored", lambda: X.gold_table(
+        silver.where(silver["fecha_envio_de_credenciales"] < STORED_BEFORE), GOLD_AS_OF), ("hunter_",))
+
+
+_GOLD_FIELDS = [*X.COUNTS, "store_sin_login_rate", "churnm1",
+                *[c for e in X.ENTITIES for c in (f"{e}_wo", f"total_store_{e}_wo", f"store_sin_login_{e}_wo")]]
+
+
+def _told(side: str, c: str) -> str:
+    return f"CAST(CAST({side}.{c} AS DECIMAL(18, 6)) AS VARCHAR)" if c in ("store_sin_login_rate", "churnm1") else f"CAST({side}.{c} AS VARCHAR)"
+
+
+@query("gold_check", with_tables("SELECT hunter_, field, stored, derived, stored IS NOT DISTINCT FROM derived AS ok FROM (" + " UNION ALL ".join(
+    ["SELECT COALESCE(d.hunter_, s.hunter_) AS hunter_, 'hunter_' AS field, CASE WHEN s.total_store IS NOT NULL THEN 'yes' END AS stored, "
+     "CASE WHEN d.total_store IS NOT NULL THEN 'yes' END AS derived FROM s FULL OUTER JOIN d ON s.hunter_ = d.hunter_"]
+    + [f"SELECT COALESCE(d.hunter_, s.hunter_), '{c}', {_told('s', c)}, {_told('d', c)} FROM s FULL OUTER JOIN d ON s.hunter_ = d.hunter_" for c in _GOLD_FIELDS])
+    + ")", extra={"older": f"SELECT * FROM store_detail WHERE fecha_envio_de_credenciales < DATE '{STORED_BEFORE}'",
+                  "s": _gold_sql("older"), "d": _gold_sql("store_detail")}))
+def gold_check(spark, d):
+    return X.gold_check(_stored_gold(spark, d), X.gold_table(_silver(spark, d), GOLD_AS_OF))
+
+
 @query("low_availability", with_tables("""
 SELECT store_id, hunter_, coordinador, channel, av_0_28, av_last_week, av_last_2week, av_l4w,
        av_0_28 < 0.2 AS low_0_28, av_last_week < 0.2 AS low_last_week, av_last_2week < 0.2 AS low_last_2week,
@@ -150,6 +202,19 @@ def store_latest(spark, d):
     return P.store_latest(TD.store_history(spark, d))
 
 
+# The refreshes asked for: the first day of every quarter that the snapshots cover.
+REFRESHES = [f"{y}-{m:02d}-01" for y in range(1992, 2000) for m in (1, 4, 7, 10)]
+
+
+@query("snapshots_as_of", with_tables(f"""
+SELECT refresh_day, store_id, day, loaded_at, load_id, stock, status, CAST(refresh_day - day AS INTEGER) AS age_days FROM (
+  SELECT r.refresh_day, s.*, ROW_NUMBER() OVER (PARTITION BY r.refresh_day, s.store_id ORDER BY s.day DESC, s.loaded_at DESC, s.load_id DESC) AS rn
+  FROM store_snapshot s JOIN (SELECT CAST(unnest({REFRESHES}) AS DATE) AS refresh_day) r
+    ON s.loaded_at - INTERVAL 5 HOUR < r.refresh_day + INTERVAL 8 HOUR + INTERVAL 15 MINUTE) WHERE rn = 1"""))
+def snapshots_as_of(spark, d):
+    return P.snapshots_as_of(TD.store_snapshot(spark, d), REFRESHES, "store_id", "day", "loaded_at", "load_id", tz=TZ)
+
+
 @query("describe_columns")
 def describe_columns(spark, d):
     return P.describe_columns(read_table(spark, d, "lineitem"))

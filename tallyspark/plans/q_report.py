@@ -10,7 +10,7 @@ from tallyspark.operators import kpi as K
 from tallyspark.operators import report as R
 from tallyspark.plans.common import AS_OF, TZ, round_doubles
 from tallyspark.plans.oracle_lines import report_lines
-from tallyspark.plans.oracle_tables import prefixed, rha, with_tables
+from tallyspark.plans.oracle_tables import aging_norm_sql, prefixed, rha, with_tables
 from tallyspark.plans.q_churn import _CHURN_CTES
 from tallyspark.plans.q_kpi import section_parts
 from tallyspark.plans.registry import query
@@ -342,3 +342,31 @@ def gap_concentration(spark, d):
                          skip=("actual", "target", "gap"))
 
 
+
+
+def _parts_sql(channel: str, funnel: str, target: str, proj: str) -> str:
+    key = f", {proj}" if proj else ""
+    return f"""
+SELECT f.q, {channel} AS channel, f.country, f.aging, f.stores AS actual, f.days * t.rate AS target
+FROM (SELECT q, week_date AS week, country{key}, {aging_norm_sql('aging_category_final')} AS aging, SUM(stores_totales) AS stores,
+             SUM(dias_trabajados) FILTER (WHERE hc = 1) AS days FROM {funnel} GROUP BY ALL) f
+LEFT JOIN (SELECT q, week, country{key}, UPPER(TRIM(aging)) AS aging, AVG(target) AS rate FROM {target}
+           WHERE tipo_target = 'PRODUCTIVIDAD' GROUP BY ALL) t
+  ON f.q = t.q AND f.week = t.week AND f.country = t.country AND f.aging = t.aging{f" AND f.{proj} = t.{proj}" if proj else ""}"""
+
+
+@query("gap_concentration_cube", with_tables(f"""
+SELECT q, CASE GROUPING(channel, country, aging) WHEN 0 THEN 'channel+country+aging' WHEN 1 THEN 'channel+country' WHEN 2 THEN 'channel+aging'
+       WHEN 3 THEN 'channel' WHEN 4 THEN 'country+aging' WHEN 5 THEN 'country' WHEN 6 THEN 'aging' ELSE 'total' END AS grain,
+       channel, country, aging, CAST(COALESCE(SUM(actual), 0) AS DOUBLE) AS actual, COALESCE(SUM(target), 0) AS target,
+       COALESCE(SUM(actual), 0) - COALESCE(SUM(target), 0) AS gap,
+       {rha('(COALESCE(SUM(actual), 0) - COALESCE(SUM(target), 0)) / NULLIF(SUM(COALESCE(SUM(actual), 0) - COALESCE(SUM(target), 0)) OVER (PARTITION BY q, GROUPING(channel, country, aging)), 0)', 6)} AS share,
+       ROW_NUMBER() OVER (PARTITION BY q, GROUPING(channel, country, aging)
+         ORDER BY COALESCE(SUM(actual), 0) - COALESCE(SUM(target), 0), channel NULLS LAST, country NULLS LAST, aging NULLS LAST) AS rank
+FROM parts GROUP BY GROUPING SETS ((q, channel, country, aging), (q, channel, country), (q, channel, aging), (q, country, aging),
+                                   (q, channel), (q, country), (q, aging), (q))""", extra={
+    "parts": _parts_sql("'HUNTING'", "ht_funnel", "ht_target", "") + " UNION ALL "
+             + _parts_sql("'INSIDE SALES ' || f.proyecto", "is_funnel", "is_target", "proyecto")}))
+def gap_concentration_cube(spark, d):
+    parts = K.rep_gap_parts(TD.ht_funnel(spark, d), TD.ht_target(spark, d), TD.is_funnel(spark, d), TD.is_target(spark, d))
+    return round_doubles(K.gap_cube(parts), skip=("actual", "target", "gap"))

@@ -34,7 +34,7 @@ SORT_KEYS = {
     "is_target": ["q", "week"], "ht_target": ["q", "week"],
     "elc_funnel": ["q", "week"], "elc_target": ["q", "week"],
     "churn_detail": ["week"], "churn_target": ["week"],
-    "store_detail": ["store_id"], "store_history": ["external_store_id"],
+    "store_detail": ["store_id"], "store_history": ["external_store_id"], "store_snapshot": ["store_id"],
 }
 
 # (application, input folder, table) -> (input version, folder of the stored table)
@@ -108,4 +108,5 @@ churn_detail = _reader("churn_detail")
 churn_target = _reader("churn_target")
 store_detail = _reader("store_detail")
 store_history = _reader("store_history")
+store_snapshot = _reader("store_snapshot")
 MODEL_TABLES = list(SORT_KEYS)

@@ -310,3 +310,14 @@ def store_history(spark: SparkSession, d: str) -> DataFrame:
             .select(F.col("o_custkey").alias("external_store_id"), F.to_date("o_orderdate").alias("day_date"),
                     week_start("o_orderdate").alias("week_date"), F.col("o_orderkey").alias("order_id"),
                     F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("order_value")))
+
+
+def store_snapshot(spark: SparkSession, d: str) -> DataFrame:
+    """Snapshots of a store's stock with the time they were loaded: days to
+    weeks after the snapshot day (late) and several for one day (repeated)."""
+    later = F.make_dt_interval((F.col("l_partkey") % 30).cast("int"), F.lit(0), (F.col("l_orderkey") % 1440).cast("int"), F.lit(0))
+    return (read_table(spark, d, "lineitem")
+            .select(F.col("l_suppkey").alias("store_id"), F.to_date("l_shipdate").alias("day"),
+                    (F.to_date("l_shipdate").cast("timestamp") + later).alias("loaded_at"),
+                    (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("load_id"),
+                    F.col("l_quantity").cast("double").alias("stock"), F.col("l_linestatus").alias("status")))
