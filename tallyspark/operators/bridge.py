@@ -43,6 +43,25 @@ def _headcount_cells(funnel: DataFrame, keys: list[str]) -> DataFrame:
                                   F.sum("stores").alias("stores_real"))
 
 
+def is_real_cells(funnel: DataFrame, quarter: str | None = None, project_col: str = "proyecto_agrupado") -> DataFrame:
+    """The IS funnel reduced to (q, proyecto, aging_norm, country, week_date):
+    what every IS bridge and mode takes from it. The bridge operators accept
+    it in place of the funnel, so one reduced table can serve them all."""
+    f = in_quarter(funnel, quarter).select(
+        "q", F.col(project_col).alias("proyecto"), aging_key("aging_category_final").alias("aging_norm"),
+        "country", "week_date", "hunter_email", "hc", "dias_trabajados", "stores_totales")
+    return _headcount_cells(f, ["q", "proyecto", "aging_norm", "country", "week_date"])
+
+
+def ht_real_cells(funnel: DataFrame, quarter: str | None = None) -> DataFrame:
+    """The HT funnel reduced to (q, week_date, aging_category_final, country), as ``is_real_cells``."""
+    return _headcount_cells(in_quarter(funnel, quarter), ["q", "week_date", "aging_category_final", "country"])
+
+
+def _reduced(funnel: DataFrame, reduce, quarter: str | None, *more) -> DataFrame:
+    return in_quarter(funnel, quarter) if "hc_real" in funnel.columns else reduce(funnel, quarter, *more)
+
+
 # ------------------------------------------------------------------ IS bridge
 def _in_weeks(df: DataFrame, weeks: DataFrame, mode: str, exclude: DataFrame | None) -> DataFrame:
     """Funnel rows of the valid weeks. In QTD mode without exclusions these
@@ -67,11 +86,9 @@ def bridge_is_cells(funnel: DataFrame, target: DataFrame, mode: str = "QTD", qua
     """Real and target cells (project x aging x country x week) merged by a
     FULL OUTER join: target-only and real-only cells are both kept, and an
     unmapped (NULL) aging never matches."""
-    weeks = valid_weeks(funnel, mode, quarter, exclude=exclude)
-    f = _in_weeks(in_quarter(funnel, quarter).withColumnRenamed("week_date", "week"), weeks, mode, exclude)
-    f = f.select("q", F.col(project_col).alias("proyecto"), aging_key("aging_category_final").alias("aging_norm"),
-                 "country", "week", "hunter_email", "hc", "dias_trabajados", "stores_totales")
-    real = _headcount_cells(f, ["q", "proyecto", "aging_norm", "country", "week"]).drop("dias_active")
+    cells = _reduced(funnel, is_real_cells, quarter, project_col)
+    weeks = valid_weeks(cells, mode, exclude=exclude)
+    real = _in_weeks(cells.withColumnRenamed("week_date", "week"), weeks, mode, exclude).drop("dias_active")
     t = in_quarter(target, quarter).join(weeks, ["q", "week"], "left_semi")
     tg = target_by_kind(t, ["proyecto", "country", "week"])
     r, g = real.alias("r"), tg.alias("t")
@@ -111,13 +128,18 @@ def bridge_is_project(cells: DataFrame) -> DataFrame:
 
 def bridge_is_effects(funnel: DataFrame, target: DataFrame, mode: str = "QTD", quarter: str | None = None,
                       project_col: str = "proyecto_agrupado", exclude: DataFrame | None = None) -> DataFrame:
+    """``bridge_is_effects_of`` the cells of a funnel and its targets."""
+    return bridge_is_effects_of(bridge_is_cells(funnel, target, mode, quarter, project_col, exclude))
+
+
+def bridge_is_effects_of(cells: DataFrame) -> DataFrame:
     """Per (q, project), unrounded: real, target, gap and the three effects.
 
     Productivity and maturity are measured over the real days; headcount is
     what is left of the gap, so the bridge closes. Its parts ``hc_pure`` and
     ``attendance`` are given besides.
     """
-    p = bridge_is_project(bridge_is_cells(funnel, target, mode, quarter, project_col, exclude))
+    p = bridge_is_project(cells)
     hr, ht = F.col("hc_real"), F.col("hc_tg")
     ar, at = F.col("asist_real"), F.col("asist_tg")
     pr, pt, pm = F.col("prod_real"), F.col("prod_tg"), F.col("prod_tg_mix_real")
@@ -192,27 +214,27 @@ def _ht_target_wide(target: DataFrame, funnel: DataFrame, mode: str, quarter: st
                  F.sum(F.when(kind == "STORES", val)).alias("tg_stores")))
 
 
-def _ht_universe(wide: DataFrame) -> DataFrame:
-    """Mapped aging with a headcount target, and implied days per person."""
+def _ht_marked(wide: DataFrame) -> DataFrame:
+    """The aging category of every target cell, whether it belongs to the
+    target universe (mapped aging, a headcount target), and implied days per person."""
     hp = F.col("tg_hc") * F.col("tg_prod")
-    return (wide.withColumn("aging_cat", _aging_cat_of_key(F.col("aging_norm")))
-            .where(F.col("tg_hc").isNotNull() & F.col("aging_cat").isNotNull())
+    wide = wide.withColumn("aging_cat", _aging_cat_of_key(F.col("aging_norm")))
+    return (wide.withColumn("has_target", F.col("tg_hc").isNotNull() & F.col("aging_cat").isNotNull())
             .withColumn("dias_pp_tg", F.when(hp > 0, F.col("tg_stores") / F.nullif(hp, F.lit(0.0)))))
 
 
 def bridge_ht_target_base(target: DataFrame, funnel: DataFrame, mode: str = "QTD",
                           quarter: str | None = None, exclude: DataFrame | None = None) -> DataFrame:
     """Target universe of the HT bridge: one wide row per cell with implied days per person ``dias_pp_tg``."""
-    return _ht_universe(_ht_target_wide(target, funnel, mode, quarter, exclude))
+    return _ht_marked(_ht_target_wide(target, funnel, mode, quarter, exclude)).where("has_target").drop("has_target")
 
 
 def bridge_ht_real(funnel: DataFrame, mode: str = "QTD", quarter: str | None = None,
                    exclude: DataFrame | None = None) -> DataFrame:
     """Real per (q, week, aging, country), every HC value included."""
-    weeks = valid_weeks(funnel, mode, quarter, exclude=exclude)
-    f = _in_weeks(in_quarter(funnel, quarter).withColumnRenamed("week_date", "week"), weeks, mode, exclude)
-    cells = _headcount_cells(f, ["q", "week", "aging_category_final", "country"])
-    return cells.select(
+    cells = _reduced(funnel, ht_real_cells, quarter)
+    weeks = valid_weeks(cells, mode, exclude=exclude)
+    return _in_weeks(cells.withColumnRenamed("week_date", "week"), weeks, mode, exclude).select(
         "q", "week", "aging_category_final", "country", "hc_real", "dias_real",
         "stores_real", safe_div("stores_real", "dias_real").alias("prod_real"),
         safe_div("dias_active", "hc_real").alias("dias_pp_real"))
@@ -220,15 +242,17 @@ def bridge_ht_real(funnel: DataFrame, mode: str = "QTD", quarter: str | None = N
 
 def bridge_ht_all_cells(funnel: DataFrame, target: DataFrame, mode: str = "QTD", quarter: str | None = None,
                         exclude: DataFrame | None = None) -> DataFrame:
-    """Target universe FULL OUTER JOIN real, ``has_target`` telling the two
-    apart; in target cells missing real productivity or days per person fall
-    back to the target's (no penalty without data)."""
-    tb = bridge_ht_target_base(target, funnel, mode, quarter, exclude).withColumn("has_target", F.lit(True)).alias("t")
-    r = bridge_ht_real(funnel, mode, quarter, exclude).alias("r")
+    """Every target cell FULL OUTER JOIN real: ``has_target`` tells the target
+    universe, ``has_real`` the cells with a real side. In the universe missing
+    real productivity or days per person fall back to the target's (no
+    penalty without data); other target cells only bear official stores."""
+    cells = _reduced(funnel, ht_real_cells, quarter)
+    t = _ht_marked(_ht_target_wide(target, cells, mode, quarter, exclude)).alias("t")
+    r = bridge_ht_real(cells, mode, quarter, exclude).withColumn("has_real", F.lit(True)).alias("r")
     cond = [F.col("t.q") == F.col("r.q"), F.col("t.week") == F.col("r.week"),
             F.col("t.country") == F.col("r.country"), F.col("t.aging_cat") == F.col("r.aging_category_final")]
     both = lambda c: F.coalesce(f"t.{c}", f"r.{c}").alias(c)
-    return tb.join(r, cond, "full_outer").select(
+    return t.join(r, cond, "full_outer").select(
         both("q"), both("week"), both("country"), "t.aging_norm", F.coalesce("t.aging_cat", "r.aging_category_final").alias("aging_cat"),
         "t.tg_hc", "t.tg_prod", "t.tg_stores", "t.dias_pp_tg",
         F.coalesce("r.hc_real", F.lit(0)).cast("bigint").alias("hc_real"),
@@ -236,13 +260,13 @@ def bridge_ht_all_cells(funnel: DataFrame, target: DataFrame, mode: str = "QTD",
         F.coalesce("r.stores_real", F.lit(0)).cast("bigint").alias("stores_real"),
         F.coalesce("r.prod_real", "t.tg_prod").alias("prod_real"),
         F.coalesce("r.dias_pp_real", "t.dias_pp_tg").alias("dias_pp_real"),
-        F.coalesce("t.has_target", F.lit(False)).alias("has_target"))
+        F.coalesce("t.has_target", F.lit(False)).alias("has_target"), F.coalesce("r.has_real", F.lit(False)).alias("has_real"))
 
 
 def bridge_ht_cells(funnel: DataFrame, target: DataFrame, mode: str = "QTD",
                     quarter: str | None = None, exclude: DataFrame | None = None) -> DataFrame:
     """The cells of the target universe with their real values."""
-    return bridge_ht_all_cells(funnel, target, mode, quarter, exclude).where("has_target").drop("has_target")
+    return bridge_ht_all_cells(funnel, target, mode, quarter, exclude).where("has_target").drop("has_target", "has_real")
 
 
 def _ht_worlds_raw(cells: DataFrame, zero_hc: str) -> DataFrame:
@@ -264,7 +288,7 @@ def _ht_worlds_raw(cells: DataFrame, zero_hc: str) -> DataFrame:
     elif zero_hc != "maturity":
         raise ValueError("zero_hc must be 'maturity' or 'headcount'")
     return c.groupBy("q").agg(
-        F.sum(F.when(ok, s0)).alias("s0"), F.sum(F.when(ok, s1)).alias("s1"),
+        F.sum("tg_stores").alias("tg"), F.sum(F.when(ok, s0)).alias("s0"), F.sum(F.when(ok, s1)).alias("s1"),
         F.sum(F.when(ok & F.col("tg_hc_total").isNotNull(), s2m)).alias("s2m"),
         F.sum(F.when(ok, s2)).alias("s2"), F.sum(F.when(own, F.col("stores_real"))).cast("double").alias("s3"),
         F.coalesce(F.sum(F.when(~own, F.col("stores_real"))), F.lit(0)).cast("double").alias("no_target"))
@@ -297,11 +321,15 @@ def bridge_ht(funnel: DataFrame, target: DataFrame, mode: str = "QTD", quarter:
     target, so that the reconstructed target and all effects add up to every
     real store (``actual_total``). ``actual`` is the real total of the target
     universe (S3); gaps are against the official target."""
-    w = _ht_worlds_raw(bridge_ht_all_cells(funnel, target, mode, quarter, exclude), zero_hc)
-    tg = _ht_target_wide(target, funnel, mode, quarter, exclude).groupBy("q").agg(F.sum("tg_stores").alias("tg"))
+    return bridge_ht_of(bridge_ht_all_cells(funnel, target, mode, quarter, exclude), zero_hc)
+
+
+def bridge_ht_of(all_cells: DataFrame, zero_hc: str = "maturity") -> DataFrame:
+    """The HT bridge from ``bridge_ht_all_cells``."""
+    w = _ht_worlds_raw(all_cells, zero_hc)
     r1 = lambda x: round_half_away(x, 1)
     s0, s1, s2m, s2, s3, no, t = (F.col(c) for c in ("s0", "s1", "s2m", "s2", "s3", "no_target", "tg"))
-    return w.join(tg, "q", "left").select(
+    return w.select(
         "q", r1(t).alias("target_oficial"), r1(s0).alias("target_reconstruido"), r1(s1 - s0).alias("ef_prod"),
         r1(s2m - s1).alias("ef_madurez"), r1(s2 - s2m).alias("ef_hc"), r1(s3 - s2).alias("ef_ausencias"),
         r1(no).alias("ef_sin_target"), r1(s3).alias("actual"), r1(s3 + no).alias("actual_total"),
@@ -312,22 +340,21 @@ def shapley_ht_cells(funnel: DataFrame, target: DataFrame, mode: str = "QTD", qu
                      exclude: DataFrame | None = None) -> DataFrame:
     """HT cells for the Shapley bridge: real and target of every
     (q, country, week, aging), unmapped agings on both sides included."""
-    wide = _ht_target_wide(target, funnel, mode, quarter, exclude)
-    t = wide.select("q", "country", "week", F.coalesce(_aging_cat_of_key(F.col("aging_norm")), F.col("aging_norm")).alias("aging"),
-                    F.lit(0).cast("bigint").alias("dias_real"), F.lit(0).cast("bigint").alias("stores_real"),
-                    F.coalesce("tg_stores", F.lit(0.0)).alias("stores_tg"), F.coalesce("tg_prod", F.lit(0.0)).alias("prod_tg"))
-    r = bridge_ht_real(funnel, mode, quarter, exclude).select(
-        "q", "country", "week", F.col("aging_category_final").alias("aging"), "dias_real", "stores_real",
-        F.lit(0.0).alias("stores_tg"), F.lit(0.0).alias("prod_tg"))
-    return t.unionByName(r).groupBy("q", "country", "week", "aging").agg(
-        F.sum("dias_real").alias("dias_real"), F.sum("stores_real").alias("stores_real"), F.sum("stores_tg").alias("stores_tg"), F.sum("prod_tg").alias("prod_tg"))
+    return shapley_ht_cells_of(bridge_ht_all_cells(funnel, target, mode, quarter, exclude))
+
+
+def shapley_ht_cells_of(all_cells: DataFrame) -> DataFrame:
+    """The Shapley cells from ``bridge_ht_all_cells``: its target and real sides under one aging."""
+    return all_cells.groupBy("q", "country", "week", F.coalesce("aging_cat", "aging_norm").alias("aging")).agg(
+        F.sum("dias_real").alias("dias_real"), F.sum("stores_real").alias("stores_real"),
+        F.coalesce(F.sum("tg_stores"), F.lit(0.0)).alias("stores_tg"), F.coalesce(F.sum("tg_prod"), F.lit(0.0)).alias("prod_tg"))
 
 
 def unmatched_real(funnel: DataFrame, target: DataFrame, mode: str = "QTD",
                    quarter: str | None = None) -> DataFrame:
     """Real stores in cells that have no target cell: per quarter, unmatched
     vs total real stores, from one pass over all cells."""
-    c = bridge_ht_all_cells(funnel, target, mode, quarter)
+    c = bridge_ht_all_cells(funnel, target, mode, quarter).where(F.col("has_target") | F.col("has_real"))
     real = (F.col("hc_real") > 0) | (F.col("stores_real") != 0) | (F.col("dias_real") != 0)
     miss = ~F.col("has_target")
     return c.where(miss | real).groupBy("q").agg(

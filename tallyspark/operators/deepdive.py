@@ -24,6 +24,8 @@ from tallyspark.functions.exprs import (IS_BUCKETS, aging_key, bucket_rank, guar
                                         perf_bucket, round_half_away, safe_div)
 from tallyspark.operators.calendar import in_quarter, last_week
 
+#: No funnel has a week before.
+FIRST_DAY = "1900-01-01"
 TOP_BUCKET, ZERO_BUCKET = IS_BUCKETS[-1], IS_BUCKETS[0]
 
 
@@ -32,8 +34,10 @@ def dd_base(funnel: DataFrame, target: DataFrame, levels: str = "IS", quarter: s
     """Rep-level base at each quarter's last week (kept as ``week_date``): days,
     stores and the rep's cell productivity target (NULL when the cell has none)."""
     f = in_quarter(funnel, quarter)
-    lw = last_week(f).withColumnRenamed("last_week", "week_date")
-    f = f.join(lw, ["q", "week_date"], "left_semi")
+    # One row per quarter, so it is broadcast; a range predicate on it lets the
+    # optimizer prune the folders of all other weeks at run time.
+    lw = last_week(f.where(F.col("week_date") >= F.lit(FIRST_DAY).cast("date"))).withColumnRenamed("last_week", "week_date")
+    f = f.join(F.broadcast(lw), ["q", "week_date"], "left_semi")
     proj = [F.col(project_col).alias("proyecto")] if levels == "IS" else []
     f = f.select("q", "week_date", *proj, F.col("aging_category_final").alias("aging"), "country",
                  "hunter_email", "dias_trabajados", "stores_totales",

@@ -5,8 +5,9 @@ tables are derived from the raw test tables by ``testdata``; this module
 writes each derived table once per Spark application, as Parquet, in the
 shared folder named by ``spark.checkpoint.dir`` and serves later reads of
 that application from there, like a warehouse table. Tables with a quarter
-are partitioned by it, so a quarter filter or a join on few quarters reads
-only their folders, and sorted by week inside each file.
+are partitioned by it (the rep funnels by week too), so a filter or a join on
+few quarters or weeks reads only their folders, and sorted by week inside
+each file.
 
 Nothing is served across applications, so neither code nor input of an
 earlier run can answer a query. Within one, a table is built again when its
@@ -37,6 +38,9 @@ SORT_KEYS = {
     "store_detail": ["store_id"], "store_history": ["external_store_id"], "store_snapshot": ["store_id"],
 }
 
+# Folders of the tables that are read a week at a time: the last week of a quarter is found from folder names and read alone.
+FOLDERS = {"is_funnel": ["q", "week_date"], "ht_funnel": ["q", "week_date"]}
+
 # (application, input folder, table) -> (input version, folder of the stored table)
 _STORED: dict[tuple[str, str, str], tuple[tuple, str]] = {}
 
@@ -63,7 +67,8 @@ def _store(spark: SparkSession, sf_dir: str, name: str, build, sort_keys: list[s
         path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tallyspark-model/{name}-{uuid.uuid4().hex}"
         if sort_keys and sort_keys[0] == "q":
             # Balanced by size, so neither a large quarter nor many small ones decide the files.
-            df.hint("rebalance", "q").sortWithinPartitions(*sort_keys).write.partitionBy("q").parquet(path)
+            folders = FOLDERS.get(name, ["q"])
+            df.hint("rebalance", *folders).sortWithinPartitions(*sort_keys).write.partitionBy(*folders).parquet(path)
         else:
             df.sortWithinPartitions(*sort_keys).write.parquet(path)
         _STORED[key] = (version, path)
