@@ -64,23 +64,23 @@ def snapshots_as_of(history: DataFrame, refreshes: list[str], id_col: str, day_c
     older day never replaces a newer one, while a later load of the same
     day corrects it from the next refresh on.
 
-    ``refreshes`` (days as text) is a parameter, not data. Each row goes to the
-    first refresh that shows it; a hash aggregate keeps the greatest place per
-    key and refresh, a running maximum over a key's few refreshes carries it
-    on, and a join by key and place brings the rows."""
+    ``refreshes`` (days as text) is a parameter, not data. A hash aggregate
+    keeps the greatest place per key and business day of the load; these days
+    go to the first refresh that shows them, a running maximum over a key's
+    few refreshes carries the place on, and a join by key and place brings the rows."""
     days = sorted(set(refreshes))
     listed = F.array(*[F.lit(x).cast("date") for x in days])
-    seen = snapshot_day(history, loaded_col, cutoff, tz, "_seen")
-    shown = F.date_add("_seen", 1)  # loaded in the business day D: the refresh that ends D runs on D + 1
-    h = seen.withColumn("_first", F.size(F.filter(listed, lambda r: r < shown))).drop("_seen")
-    h = h.where((F.col("_first") < len(days)) & F.col(day_col).isNotNull() & F.col(loaded_col).isNotNull())
-    h = h.withColumn("_place", _packed(F.col(day_col), tie_col, F.unix_timestamp(F.col(loaded_col).cast("timestamp"))))
-    best = h.groupBy(id_col, "_first").agg(F.max("_place").alias("_best"))
+    place = _packed(F.col(day_col), tie_col, F.unix_timestamp(F.col(loaded_col).cast("timestamp")))
+    h = history.where(F.col(day_col).isNotNull() & F.col(loaded_col).isNotNull()).withColumn("_place", place)
+    # Loaded in the business day D: the refresh that ends D runs on D + 1.
+    shown = snapshot_day(h, loaded_col, cutoff, tz, "_seen").withColumn("_shown", F.date_add("_seen", 1))
+    daily = shown.where(F.col("_shown") <= F.lit(days[-1]).cast("date")).groupBy(id_col, "_shown").agg(F.max("_place").alias("_best"))
+    best = daily.withColumn("_first", F.size(F.filter(listed, lambda r: r < F.col("_shown")))).groupBy(id_col, "_first").agg(F.max("_best").alias("_best"))
     w = W.partitionBy(id_col).orderBy("_first")
     best = best.select(id_col, "_first", F.max("_best").over(w.rowsBetween(W.unboundedPreceding, 0)).alias("_best"),
                        F.coalesce(F.lead("_first").over(w), F.lit(len(days))).alias("_next"))
     best = best.select(id_col, "_best", F.explode(F.sequence("_first", F.col("_next") - 1)).alias("_r"))
-    j = h.drop("_first").alias("h").join(best.alias("b"), F.expr(f"h.`{id_col}` <=> b.`{id_col}` AND h._place = b._best"))
+    j = h.alias("h").join(best.alias("b"), F.expr(f"h.`{id_col}` <=> b.`{id_col}` AND h._place = b._best"))
     day = F.element_at(listed, F.col("_r") + 1)
     return j.select(day.alias("refresh_day"), *[F.col(f"h.`{c}`").alias(c) for c in history.columns],
                     F.date_diff(day, F.col(f"h.`{day_col}`")).alias("age_days"))
