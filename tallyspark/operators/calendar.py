@@ -8,6 +8,8 @@ dates inside an operator. ``quarter=None`` runs every quarter at once with
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -97,3 +99,11 @@ def alignment_report(funnel: DataFrame, target_used: DataFrame, quarter: str | N
                     F.coalesce("n_weeks_real", F.lit(0)).alias("n_weeks_real"),
                     F.coalesce("n_weeks_target_used", F.lit(0)).alias("n_weeks_target_used"))
             .withColumn("ok", F.col("n_weeks_target_used") <= F.col("n_weeks_real")))
+
+
+def alignment_of(tables: dict[str, tuple[DataFrame, DataFrame, str, str]]) -> DataFrame:
+    """``alignment_report`` of every fact with its targets, in one result with
+    the fact's name as ``source``; ``tables``: name -> (funnel, target rows
+    used, week column of the funnel, of the target)."""
+    parts = [alignment_report(f, t, funnel_week=fw, target_week=tw).select(F.lit(name).alias("source"), "*") for name, (f, t, fw, tw) in tables.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)

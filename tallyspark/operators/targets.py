@@ -14,6 +14,8 @@ Rules kept from the business definitions:
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -117,3 +119,14 @@ def target_grain_check(target: DataFrame, keys: list[str]) -> DataFrame:
     fan-out guard before any target join)."""
     return (target.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
             .where(F.col("n_rows") > 1))
+
+
+def grain_report(tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
+    """``target_grain_check`` of every table under its declared grain, in one
+    result: (table, the union of all grains' columns as text, n_rows); columns
+    that a table's grain does not have are NULL."""
+    cols = list(dict.fromkeys(k for _, keys in tables.values() for k in keys))
+    parts = [target_grain_check(t, keys).select(
+        F.lit(name).alias("table"), *[(F.col(c) if c in keys else F.lit(None)).cast("string").alias(c) for c in cols], "n_rows")
+        for name, (t, keys) in tables.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)

@@ -37,7 +37,7 @@ FROM lineitem GROUP BY 1, 2, 3"""
 CTES["is_funnel"] = f"""
 SELECT {qlabel('w.week_date')} AS q, w.week_date, n.n_name AS country, w.proyecto,
        w.proyecto AS proyecto_agrupado, {_AGING_CASE} AS aging_category_final,
-       s.s_name AS hunter_email, CASE WHEN s.s_suppkey % 7 = 0 THEN 0 ELSE 1 END AS hc,
+       CASE WHEN s.s_suppkey % 31 <> 5 THEN s.s_name END AS hunter_email, CASE WHEN s.s_suppkey % 7 = 0 THEN 0 ELSE 1 END AS hc,
        w.dias_trabajados, w.stores_totales
 FROM (SELECT l_suppkey, {wk('day')} AS week_date, proyecto,
              CAST(SUM(worked) AS BIGINT) AS dias_trabajados, CAST(SUM(stores) AS BIGINT) AS stores_totales
@@ -48,7 +48,7 @@ JOIN nation n ON s.s_nationkey = n.n_nationkey"""
 CTES["ht_funnel"] = f"""
 SELECT {qlabel('w.week_date')} AS q, w.week_date, n.n_name AS country,
        {_AGING_CASE} AS aging_category_final,
-       s.s_name AS hunter_email, CASE WHEN s.s_suppkey % 7 = 0 THEN 0 ELSE 1 END AS hc,
+       CASE WHEN s.s_suppkey % 31 <> 5 THEN s.s_name END AS hunter_email, CASE WHEN s.s_suppkey % 7 = 0 THEN 0 ELSE 1 END AS hc,
        w.dias_trabajados, w.stores_totales
 FROM (SELECT l_suppkey, {wk('day')} AS week_date,
              CAST(SUM(worked) AS BIGINT) AS dias_trabajados, CAST(SUM(stores) AS BIGINT) AS stores_totales
@@ -69,7 +69,7 @@ _TG_VALS = """
   CAST(CASE WHEN i = 2 AND (nk + w) % 13 = 0 THEN 0.0 ELSE 0.5 + 0.125 * i END AS DOUBLE) AS prod_v"""
 
 CTES["is_tcells"] = f"""
-SELECT * EXCLUDE (lab), hc_v * prod_v * mult AS stores_v FROM (
+SELECT * EXCLUDE (lab), CASE WHEN prod_v = 0 THEN 1.5 ELSE hc_v * prod_v * mult END AS stores_v FROM (
   SELECT onw.*, a.i, a.lab, p.proyecto, {_TG_VALS},
     CAST(1.0 + (w % 4) * 0.5 + CASE WHEN p.proyecto = 'INBOUND' THEN 0.25 ELSE 0.0 END AS DOUBLE) AS mult,
     CASE WHEN nk % 2 = 1 THEN ' ' || upper(a.lab) || ' ' ELSE a.lab END AS aging
@@ -78,7 +78,7 @@ SELECT * EXCLUDE (lab), hc_v * prod_v * mult AS stores_v FROM (
   WHERE (nk + a.i + w) % 7 <> 0)"""
 
 CTES["ht_tcells"] = f"""
-SELECT *, hc_v * prod_v * mult AS stores_v FROM (
+SELECT *, CASE WHEN prod_v = 0 THEN 1.5 ELSE hc_v * prod_v * mult END AS stores_v FROM (
   SELECT onw.*, a.i, {_TG_VALS},
     CAST(1.0 + (w % 4) * 0.5 AS DOUBLE) AS mult,
     CASE a.i WHEN 1 THEN '01 - new entry' WHEN 2 THEN '02 - junior' ELSE '03 - senior' END AS aging
@@ -92,7 +92,8 @@ def _target_union(cells: str, extra: str) -> str:
 SELECT {cols}, 'HC' AS tipo_target, hc_v AS target FROM {cells}
 UNION ALL SELECT {cols}, 'PRODUCTIVIDAD', prod_v FROM {cells}
 UNION ALL SELECT {cols}, 'STORES', stores_v FROM {cells}
-UNION ALL SELECT {cols}, 'HC', hc_v FROM {cells} WHERE (nk + w) % 11 = 0"""
+UNION ALL SELECT {cols}, 'HC', hc_v FROM {cells} WHERE (nk + w) % 11 = 0
+UNION ALL SELECT {cols}, 'STORES', stores_v FROM {cells} WHERE (nk + w) % 11 <> 0 AND (nk + w) % 17 = 0"""
 
 
 CTES["is_target"] = _target_union("is_tcells", "proyecto, ")

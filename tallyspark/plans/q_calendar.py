@@ -58,16 +58,31 @@ def snapshot_day(spark, d):
     return C.snapshot_day(ev, "ts", cutoff="08:15", tz=TZ)
 
 
-@query("alignment_report", with_tables("""
-SELECT COALESCE(r.q, t.q) AS q, r.min_week_real, r.max_week_real,
-       COALESCE(r.n_weeks_real, 0) AS n_weeks_real,
-       COALESCE(t.n_weeks_target_used, 0) AS n_weeks_target_used,
-       COALESCE(t.n_weeks_target_used, 0) <= COALESCE(r.n_weeks_real, 0) AS ok
-FROM r FULL OUTER JOIN tu t ON r.q = t.q""", extra={
-    "r": """SELECT q, MIN(week_date) AS min_week_real, MAX(week_date) AS max_week_real,
-                  COUNT(DISTINCT week_date) AS n_weeks_real FROM is_funnel GROUP BY q""",
-    "tu": f"""SELECT q, COUNT(DISTINCT week) AS n_weeks_target_used FROM is_target t
-              WHERE {_WEEKS_WITH_REAL} GROUP BY q"""}))
+# Each fact with its weeks and the targets that meet them.
+_FACTS = {"IS": ("is_funnel", "week_date", "is_target"), "HT": ("ht_funnel", "week_date", "ht_target"),
+          "ELC": ("elc_funnel", "week", "elc_target")}
+
+
+def _alignment_sql(source: str, facts: str, targets: str) -> str:
+    return f"""
+SELECT '{source}' AS source, COALESCE(r.q, t.q) AS q, r.lo AS min_week_real, r.hi AS max_week_real, COALESCE(r.n, 0) AS n_weeks_real,
+       COALESCE(t.n, 0) AS n_weeks_target_used, COALESCE(t.n, 0) <= COALESCE(r.n, 0) AS ok
+FROM (SELECT q, MIN(week) AS lo, MAX(week) AS hi, COUNT(DISTINCT week) AS n FROM ({facts}) GROUP BY q) r
+FULL OUTER JOIN (SELECT q, COUNT(DISTINCT week) AS n FROM ({targets}) WHERE (q, week) IN (SELECT (q, week) FROM ({facts})) GROUP BY q) t ON r.q = t.q"""
+
+
+@query("alignment_report", with_tables(" UNION ALL ".join(
+    [_alignment_sql(n, f"SELECT q, {w} AS week FROM {f}", f"SELECT q, week FROM {t}") for n, (f, w, t) in _FACTS.items()]
+    + [_alignment_sql("CHURN", "SELECT a.q, c.week FROM churn_detail c JOIN (SELECT DISTINCT q, week FROM elc_target) a ON a.week = c.week",
+                      "SELECT a.q, a.week FROM churn_target c JOIN (SELECT DISTINCT q, week FROM elc_target) a ON a.week = CAST(c.week AS DATE)")])))
 def alignment_report(spark, d):
-    f, t = TD.is_funnel(spark, d), TD.is_target(spark, d)
-    return C.alignment_report(f, C.align_weeks(t, f, mode="QTD"))
+    """Every fact with its targets; the churn tables have no quarter and take it from the week axis."""
+    tables = {}
+    for name, (funnel, week, target) in _FACTS.items():
+        f, t = getattr(TD, funnel)(spark, d), getattr(TD, target)(spark, d)
+        tables[name] = (f, C.align_weeks(t, f, mode="QTD", funnel_week=week), week, "week")
+    axis = C.week_axis(TD.elc_target(spark, d))
+    churn = TD.churn_detail(spark, d).join(axis, "week").select("q", "week")
+    goals = TD.churn_target(spark, d).select(F.col("week").cast("date").alias("week")).join(axis, "week").select("q", "week")
+    tables["CHURN"] = (churn, C.align_weeks(goals, churn, funnel_week="week"), "week", "week")
+    return C.alignment_of(tables)

@@ -73,9 +73,21 @@ def target_reconciliation(spark, d):
     return round_doubles(T.target_reconciliation(TD.ht_funnel(spark, d), TD.ht_target(spark, d)))
 
 
-@query("target_grain_check", with_tables("""
-SELECT q, week, country, proyecto, aging, tipo_target, COUNT(*) AS n_rows
-FROM is_target GROUP BY ALL HAVING COUNT(*) > 1"""))
+_GRAINS = {
+    "is_target": ["q", "week", "country", "proyecto", "aging", "tipo_target"],
+    "ht_target": ["q", "week", "country", "aging", "tipo_target"],
+    "elc_target": ["q", "week", "country", "team", "channel_group", "tipo_target"],
+    "churn_target": ["week", "country", "channel_am"],
+}
+_GRAIN_COLS = list(dict.fromkeys(k for keys in _GRAINS.values() for k in keys))
+
+
+def _grain_sql(table: str) -> str:
+    cols = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" if c in _GRAINS[table] else f"CAST(NULL AS VARCHAR) AS {c}" for c in _GRAIN_COLS)
+    return f"SELECT '{table}' AS \"table\", {cols}, COUNT(*) AS n_rows FROM {table} GROUP BY ALL HAVING COUNT(*) > 1"
+
+
+@query("target_grain_check", with_tables(" UNION ALL ".join(_grain_sql(t) for t in _GRAINS)))
 def target_grain_check(spark, d):
-    return T.target_grain_check(TD.is_target(spark, d),
-                                ["q", "week", "country", "proyecto", "aging", "tipo_target"])
+    """Rows of all four target tables that stand more than once in their declared grain."""
+    return T.grain_report({n: (getattr(TD, n)(spark, d), keys) for n, keys in _GRAINS.items()})

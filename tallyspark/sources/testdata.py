@@ -95,7 +95,7 @@ def _attach_rep(week_facts: DataFrame, spark: SparkSession, d: str) -> DataFrame
             .select(quarter_label("week_date").alias("q"),
                     F.col("n_name").alias("country"), *week_facts.columns,
                     aging.alias("aging_category_final"),
-                    F.col("s_name").alias("hunter_email"),
+                    F.when(k % 31 != 5, F.col("s_name")).alias("hunter_email"),
                     F.when(k % 7 == 0, F.lit(0)).otherwise(F.lit(1)).alias("hc")))
 
 
@@ -136,13 +136,16 @@ def _target_rows(cells: DataFrame, label, mult, extra_cols: list[str]) -> DataFr
     nk, i, w = F.col("nk"), F.col("i"), F.col("w")
     hc = (F.lit(1) + (nk + i) % 2).cast("double")
     prod = F.when((i == 2) & ((nk + w) % 13 == 0), F.lit(0.0)).otherwise(F.lit(0.5) + F.lit(0.125) * i)
-    stores = hc * prod * mult
+    # Where the productivity target is 0 the official stores follow from no headcount, so S0 and the official target differ.
+    stores = F.when(prod == 0, F.lit(1.5)).otherwise(hc * prod * mult)
 
     def kind(name, value):
         return F.struct(F.lit(name).alias("tipo_target"), value.cast("double").alias("target"))
 
     base = [kind("HC", hc), kind("PRODUCTIVIDAD", prod), kind("STORES", stores)]
-    kinds = F.when((nk + w) % 11 == 0, F.array(*base, kind("HC", hc))).otherwise(F.array(*base))
+    # Headcounts (averaged) and stores (summed) stand twice in some cells.
+    kinds = (F.when((nk + w) % 11 == 0, F.array(*base, kind("HC", hc))).when((nk + w) % 17 == 0, F.array(*base, kind("STORES", stores)))
+             .otherwise(F.array(*base)))
     return (cells.where((nk + i + w) % 7 != 0)
             .select("*", F.explode(kinds).alias("k"))
             .select(quarter_label("week").alias("q"), "week", "country", *extra_cols,
@@ -221,7 +224,7 @@ def elc_funnel(spark: SparkSession, d: str) -> DataFrame:
 
 def elc_target(spark: SparkSession, d: str) -> DataFrame:
     """ELC targets on the lineitem week axis (runs past the last order week)."""
-    sw = supplier_day(spark, d).select("l_suppkey", week_start("day").alias("week")).distinct()
+    sw = read_table(spark, d, "lineitem").select("l_suppkey", week_start("l_shipdate").alias("week")).distinct()
     sup = read_table(spark, d, "supplier").select("s_suppkey", "s_nationkey")
     g = (sw.join(sup, F.col("l_suppkey") == F.col("s_suppkey"))
          .select("week", F.col("s_nationkey").alias("nk")).distinct()
