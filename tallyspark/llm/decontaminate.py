@@ -7,6 +7,11 @@ fingerprints of all their windows, one starting at every word: an edited
 passage is found by any stretch of half an item that its edits leave alike. A fingerprint is the 64-bit
 weighted SimHash of the window's words (rare words count more).
 
+A document has fingerprints only around five-word shingles that an item
+holds too: an item-sized window without any has similarity 0. The shingles of
+a text are looked up in the sorted shingles of all items, and only windows
+from which a hit can be reached are fingerprinted, which changes no result.
+
 Fingerprints are compared through four 16-bit blocks: the tables of a class
 list, for every value of a block, the item windows within one bit of it. By
 the pigeonhole principle every pair within RADIUS = 4 * (1 + 1) - 1 = 7 bits
@@ -56,6 +61,7 @@ CLASS_RATIO = 4 / 3
 STEP_WORDS = 1 << 15
 MAX_WINDOW = 20_000
 _COMMON_SHARE, _RARE_WEIGHT = 0.02, 3
+_SIEVE_BITS = 24
 
 _WORD_BYTES = np.zeros(256, dtype=bool)
 _WORD_BYTES[48:58] = _WORD_BYTES[65:91] = _WORD_BYTES[97:123] = _WORD_BYTES[128:] = True
@@ -175,6 +181,21 @@ class Items:
                 by_class.setdefault(_size_class(len(w)), []).append(i)
         self.classes = [self._tables(members) for members in by_class.values()]
         self.longest = max((c["size"] for c in self.classes), default=0)
+        self.known = np.unique(np.concatenate([self.sets[i] for m in by_class.values() for i in m])) if by_class else np.zeros(0, np.uint64)
+        self._sieve = None
+
+    def holds(self, g: np.ndarray) -> np.ndarray:
+        """Whether any item has the shingle: a sieve over its first bits (made in the task), then the sorted shingles."""
+        if not len(self.known):
+            return np.zeros(len(g), dtype=bool)
+        if self._sieve is None:
+            self._sieve = np.zeros(1 << _SIEVE_BITS, dtype=bool)
+            self._sieve[self.known >> np.uint64(64 - _SIEVE_BITS)] = True
+        out = self._sieve[g >> np.uint64(64 - _SIEVE_BITS)]
+        may = np.flatnonzero(out)
+        at = np.minimum(np.searchsorted(self.known, g[may]), len(self.known) - 1)
+        out[may] = self.known[at] == g[may]
+        return out
 
     def weight(self, w: np.ndarray) -> np.ndarray:
         if not len(self.common):
@@ -199,7 +220,9 @@ class Items:
             key = (value[:, None] ^ near[None, :]).ravel()
             order = np.argsort(key, kind="stable")
             blocks.append((np.searchsorted(key[order], np.arange(65537)), order // len(near)))
-        return {"size": size, "prints": prints, "blocks": blocks,
+        # An implied place is up to an item before the window, the windows verified there reach up to an item beyond it.
+        reach = 2 * max(len(self.words[i]) for i in members) + SHIFT + SHINGLE
+        return {"size": size, "reach": reach, "prints": prints, "blocks": blocks,
                 "item": np.concatenate(item), "offset": np.concatenate(offset)}
 
 
@@ -243,23 +266,50 @@ def _starts(begin: int, end: int, n: int, place: int) -> list[int]:
     return sorted(starts)
 
 
+def _hits(items: Items, w: np.ndarray) -> np.ndarray:
+    """Where a shingle begins that an item holds (ascending)."""
+    out = []
+    for lo in range(0, len(w) - SHINGLE + 1, STEP_WORDS):
+        part = w[lo:lo + STEP_WORDS + SHINGLE - 1]
+        g = np.full(len(part) - SHINGLE + 1, SHINGLE, dtype=np.uint64)
+        for j in range(SHINGLE):
+            g += part[j:len(part) - SHINGLE + 1 + j] * _SHINGLE_MULT[j]
+        out.append(lo + np.flatnonzero(items.holds(mix64(g))))
+    return np.concatenate(out) if out else np.zeros(0, np.int64)
+
+
+def _around(hits: np.ndarray, reach: int, n: int) -> np.ndarray:
+    """Which of ``n`` words are within ``reach`` of a hit."""
+    step = np.bincount(np.maximum(hits - reach, 0), minlength=n + 1) - np.bincount(np.minimum(hits + reach + 1, n), minlength=n + 1)
+    return np.cumsum(step)[:n] > 0
+
+
 def matches(items: Items, column: pa.Array) -> list[tuple[int, int, float, int]]:
     """(row, item, similarity, first word) of the best window for each row and item that match."""
     best: dict[tuple[int, int], tuple[float, int]] = {}
     for row, w, first in _words(column):
+        hits = _hits(items, w)
+        if not len(hits):
+            continue
         tried: set[tuple[int, int, int]] = set()
-        left = np.repeat(first[1:], np.diff(first)) - np.arange(len(w))  # words to the end of the text
-        for lo in range(0, len(w), STEP_WORDS):
-            part = w[lo:lo + STEP_WORDS + items.longest]
+        near = [_around(hits, c["reach"] + c["size"], len(w)) for c in items.classes]
+        # The words around hits, side by side; a window ends with its stretch or its text.
+        kept = np.flatnonzero(np.logical_or.reduce(near))
+        text = np.searchsorted(first, kept, side="right") - 1
+        last = np.r_[np.flatnonzero((np.diff(kept) > 1) | (np.diff(text) > 0)), len(kept) - 1]
+        left = last[np.searchsorted(last, np.arange(len(kept)))] - np.arange(len(kept)) + 1
+        words = w[kept]
+        for lo in range(0, len(kept), STEP_WORDS):
+            part = words[lo:lo + STEP_WORDS + items.longest]
             running = _running(part, items.weight(part))
-            for c in items.classes:
-                at = np.flatnonzero(left[lo:lo + STEP_WORDS] >= c["size"])
+            here = slice(lo, lo + STEP_WORDS)
+            for c, mine in zip(items.classes, near, strict=True):
+                at = np.flatnonzero((left[here] >= c["size"]) & mine[kept[here]])
                 if not len(at):
                     continue
                 window, other = _near(_fingerprints(running[:, :at[-1] + c["size"] + 1], c["size"])[at], c)
-                place = lo + at[window]
-                text = np.searchsorted(first, place, side="right") - 1
-                for t, p, i in zip(text.tolist(), (place - c["offset"][other]).tolist(), c["item"][other].tolist(), strict=True):
+                at = lo + at[window]
+                for t, p, i in zip(text[at].tolist(), (kept[at] - c["offset"][other]).tolist(), c["item"][other].tolist(), strict=True):
                     tried.add((t, i, p))
         for t, i, p in sorted(tried):
             n, begin, end = len(items.words[i]), int(first[t]), int(first[t + 1])
