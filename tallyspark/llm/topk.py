@@ -20,7 +20,7 @@ Defined results: vectors that are null or hold a null or non-finite
 component take no part, neither do rows without a vec_id; of repeated queries
 with one vec_id and vector one is answered, and candidates with the query's
 vec_id are left out; ties go to the smaller vec_id; vectors meet only those of
-their own length; repeated candidate rows each take a place; a score beyond
+their own length (empty ones score 0 with each other); repeated candidate rows each take a place; a score beyond
 the range of a long is its limit.
 """
 
@@ -57,6 +57,8 @@ def _segments(x: np.ndarray, parts: int) -> list[np.ndarray]:
 
 def summary(x: np.ndarray, parts: int) -> np.ndarray:
     """Per row the segments' means and deviations, each times the root of the segment's length."""
+    if not x.shape[1]:
+        return np.zeros((len(x), 2))
     cut = _segments(x, parts)
     root = np.sqrt([c.shape[1] for c in cut])
     return np.concatenate([np.stack([c.mean(axis=1) for c in cut], axis=1) * root,
@@ -118,7 +120,7 @@ def _by_length(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]
     size = np.diff(column.offsets.to_numpy())
     flat = column.values.to_numpy(zero_copy_only=False)
     start = column.offsets.to_numpy()[:-1]
-    for n in np.unique(size[size > 0]):
+    for n in np.unique(size):
         rows = np.flatnonzero(size == n)
         yield ids[rows], flat[start[rows][:, None] + np.arange(n)]
 
@@ -139,7 +141,7 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY) -> DataFrame:
         for r in mine:
             by_length.setdefault(len(r["v"]), []).append(r)
         told = spark.sparkContext.broadcast({n: (np.array([r["vec_id"] for r in g], dtype=np.int64), np.array([r["v"] for r in g], dtype=np.int64))
-                                             for n, g in by_length.items() if n})
+                                             for n, g in by_length.items()})
 
         def run(batches: Iterator[pa.RecordBatch], told=told) -> Iterator[pa.RecordBatch]:
             held = {n: Block(i, v, k) for n, (i, v) in told.value.items()}

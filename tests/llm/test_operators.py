@@ -159,7 +159,7 @@ def brute_top(vectors, k=5):
     ok = [(i, [int(np.floor(256 * float(c))) for c in v]) for i, v in vectors if i is not None and v is not None and all(c is not None and np.isfinite(c) for c in v)]
     out = []
     for q, v in sorted({(i, tuple(v)) for i, v in ok if i % 50 == 0}):
-        best = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), i) for i, w in ok if i != q and len(w) == len(v) and w)[:k]
+        best = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), i) for i, w in ok if i != q and len(w) == len(v))[:k]
         out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
     return sorted(out)
 
@@ -170,7 +170,7 @@ def test_top_k(spark):
 
 
 def test_top_k_odd_rows(spark):
-    t = [(0, [1.0, -2.0, 0.5]), (0, [1.0, -2.0, 0.5]), (50, [3.0, 1.0]), (100, None), (150, [float("nan"), 1.0, 1.0]), (200, []), (1, [1.0, 0.0, 0.0]), (2, [1.0, 0.0, 0.0]),
+    t = [(0, [1.0, -2.0, 0.5]), (0, [1.0, -2.0, 0.5]), (50, [3.0, 1.0]), (100, None), (150, [float("nan"), 1.0, 1.0]), (200, []), (300, []), (10, []), (11, []), (1, [1.0, 0.0, 0.0]), (2, [1.0, 0.0, 0.0]),
          (3, [None, 1.0, 1.0]), (4, [float("inf"), 1.0, 1.0]), (None, [1.0, 1.0, 1.0]), (5, [2.0, 2.0]), (6, [1e7, 1e7, -1e7]), (7, [1.0, 0.0, 0.0]), (8, [0.0, 0.0, 0.0]), (9, [-1.0, 1.0, 1.0]), (250, [1e7, 1e7, 1e7])]
     df = spark.createDataFrame(t, "vec_id long, embedding array<double>").withColumn("v", F.lit(1)).withColumn("block", F.lit("x"))
     assert sorted(rows(topk.top_k(df))) == brute_top(t)
