@@ -300,9 +300,13 @@ def _possible(n_a: str, d_a: str, n_b: str, d_b: str) -> str:
 
 
 def _promising(pairs: DataFrame, reps: DataFrame) -> DataFrame:
-    """Sum the partial prefix overlaps of each pair (a, b, count) and keep the pairs that can still be similar."""
-    summed = pairs.groupBy("a", "b").agg(F.sum("count").alias("count"))
-    return _with_sizes(summed, reps).filter(_possible("n_a", "count", "n_b", "count")).select("a", "b")
+    """Sum the partial prefix overlaps of each pair (a, b, count) and keep the pairs that can still be similar.
+    Pairs that bring their sizes (n_a, n_b) meet no other table."""
+    own = [F.first(c).alias(c) for c in ("n_a", "n_b") if c in pairs.columns]
+    summed = pairs.groupBy("a", "b").agg(F.sum("count").alias("count"), *own)
+    if not own:
+        summed = _with_sizes(summed, reps)
+    return summed.filter(_possible("n_a", "count", "n_b", "count")).select("a", "b")
 
 
 def _links(docs: DataFrame, pairs: DataFrame, reps: DataFrame) -> DataFrame:
@@ -321,7 +325,8 @@ def _star(members: DataFrame) -> DataFrame:
     center = center.select("key", F.explode(F.array_distinct(F.array(*[
         F.struct(f"c{s}.cid", f"c{s}.label", f"c{s}.n", f"c{s}.degree") for s in range(len(ranks))]))).alias("c"))
     return (drawn.join(center, "key").filter("c.label <> label").filter(_possible("n", "degree", "c.n", "c.degree"))
-            .select(F.least("cid", "c.cid").alias("a"), F.greatest("cid", "c.cid").alias("b"), (KEYS * F.col("count")).alias("count")))
+            .select(F.least("cid", "c.cid").alias("a"), F.greatest("cid", "c.cid").alias("b"), (KEYS * F.col("count")).alias("count"),
+                    F.expr("IF(cid < c.cid, n, c.n)").alias("n_a"), F.expr("IF(cid < c.cid, c.n, n)").alias("n_b")))
 
 
 def _every(members: DataFrame) -> DataFrame:
@@ -329,7 +334,7 @@ def _every(members: DataFrame) -> DataFrame:
     x = members.select("key", F.col("cid").alias("a"), F.col("label").alias("label_a"), F.col("n").alias("n_a"), F.col("degree").alias("d_a"), "count")
     y = members.select("key", F.col("cid").alias("b"), F.col("label").alias("label_b"), F.col("n").alias("n_b"), F.col("degree").alias("d_b"))
     return (x.join(y, "key").filter("a < b AND label_a <> label_b").filter(_possible("n_a", "d_a", "n_b", "d_b"))
-            .select("a", "b", "count"))
+            .select("a", "b", "count", "n_a", "n_b"))
 
 
 def ngram_join(docs: DataFrame) -> DataFrame:
