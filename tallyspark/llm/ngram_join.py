@@ -272,7 +272,8 @@ def _overlaps(docs: DataFrame, pairs: DataFrame, reps: DataFrame) -> DataFrame:
                 at = np.searchsorted(x, y)
                 at[at == len(x)] = 0
                 out[i] = np.count_nonzero(x[at] == y)
-        return pd.DataFrame({"a": todo["a"].to_numpy(), "b": todo["b"].to_numpy(), "common": out})
+        some = out > 0  # a pair without a common shingle anywhere can't link
+        return pd.DataFrame({"a": todo["a"].to_numpy()[some], "b": todo["b"].to_numpy()[some], "common": out[some]})
 
     partial = left.groupBy("block", "frag").cogroup(right.groupBy("block", "frag")).applyInPandas(
         count_common, "a long, b long, common long")
