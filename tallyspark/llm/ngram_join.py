@@ -4,8 +4,9 @@ Documents are sets of distinct five-word shingles. Two documents link when
 ``100 * |intersection| >= 75 * |union|``. The join works on classes of equal
 sets, so copies are never compared with one another:
 
-1. ``sets``: one pass over the texts gives each document's set size and a
-   64-bit class id (a digest of the set).
+1. ``sets``: one pass over the texts gives each document's set size, a
+   64-bit class id (a digest of the set) and a signature: the parities of
+   the set's shingles by their low bits, two to four bits a shingle.
 2. Global order: shingles that a documented sample of classes shows to be
    common come last, all others stand by hash. Any order gives the same
    links; this one keeps common shingles out of the prefixes.
@@ -15,7 +16,10 @@ sets, so copies are never compared with one another:
    first pairs its members with a few centers only (stars, never all
    pairs); a common shingle is not gathered at all, its members are paired
    with the classes that the sample names. Partial overlaps are summed per pair
-   over the fragments, and pairs that can still be similar are verified.
+   over the fragments, and pairs that can still be similar are verified:
+   those whose sizes and prefix overlap allow it and whose signatures differ
+   in no more places than similar sets differ in shingles (every place
+   that differs stands for a shingle of one set alone, so no link is lost).
 4. Verification: pairs are dealt into blocks and each class's set into
    vertical fragments; a (block, fragment) group counts partial overlaps,
    and the counts are summed per pair.
@@ -61,6 +65,8 @@ BLOCK_PAIRS = 50_000
 VERTICAL = 32
 #: Documents that a task packs together.
 SLICE_ROWS = 2_500
+#: Words of 64 bits that a signature has at least.
+MIN_WORDS = 8
 #: Members of a bucket that each verify the others in a star round.
 CENTERS = 5
 #: The second star step reads one in so many buckets, with so many times the centers.
@@ -80,23 +86,32 @@ def _class_id(u: np.ndarray) -> int:
     return int(mix64(np.array([d], dtype=np.uint64)).view(np.int64)[0])
 
 
+def _signature(u: np.ndarray) -> np.ndarray:
+    """How many shingles fall on each value of the low bits, odd or even, packed into 64-bit words. The number
+    of values is a power of two, so halves laid on one another give the signature of half the length."""
+    places = max(64 * MIN_WORDS, 1 << (2 * len(u) - 1).bit_length())
+    odd = np.bincount((u & np.uint64(places - 1)).astype(np.int64), minlength=places) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").view(np.int64)
+
+
 def shingle_classes(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, cid, sample): set size, class id, and the set itself for
-    the sampled classes."""
+    """(doc_id, n, cid, sig, sample): set size, class id, signature, and the
+    set itself for the sampled classes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, cid, sample = [], [], []
+            n, cid, sig, sample = [], [], [], []
             with np.errstate(over="ignore"):
                 for u in shingle_sets(batch.column(1)):
                     c = _class_id(u) if len(u) else 0
                     n.append(len(u))
                     cid.append(c if len(u) else None)
+                    sig.append(_signature(u) if len(u) else None)
                     sample.append(u.view(np.int64) if len(u) and (c >> 20) % SAMPLE == 0 else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(cid, pa.int64()),
-                 pa.array(sample, pa.list_(pa.int64()))], ["doc_id", "n", "cid", "sample"])
+                 pa.array(sig, pa.list_(pa.int64())), pa.array(sample, pa.list_(pa.int64()))], ["doc_id", "n", "cid", "sig", "sample"])
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        run, "doc_id long, n long, cid long, sample array<long>")
+        run, "doc_id long, n long, cid long, sig array<long>, sample array<long>")
 
 
 def _rank(cid: str, seed: int):
@@ -217,13 +232,14 @@ def _buckets(pdf: pd.DataFrame) -> pd.DataFrame:
         "kind": 1, "a": (frag << 32) + k.astype(np.int64), "b": c, "count": count})])[["kind", "a", "b", "count"]].astype({"kind": np.int32})
 
 
-def _overlaps(docs: DataFrame, pairs: DataFrame, reps: DataFrame) -> DataFrame:
-    """``pairs(a, b)`` of class ids -> (a, b, common): sizes of the
-    intersections, counted fragment by fragment and summed per pair."""
+def _overlaps(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``pairs(a, b, n_a, n_b, doc_a, doc_b)`` of class ids, their sizes and a document of each -> (a, b, n_a, n_b,
+    common): sizes of the intersections, counted fragment by fragment and summed per pair."""
     blocks = max(1, pairs.count() // BLOCK_PAIRS)
-    dealt = store(pairs.select("a", "b").repartitionByRange(blocks, "a", "b").withColumn("block", F.spark_partition_id()), "op4-pairs")
-    wanted = store(dealt.select("block", F.explode(F.array("a", "b")).alias("cid")).distinct()
-                   .groupBy("cid").agg(F.collect_list("block").alias("blocks")).join(reps, "cid"), "op4-wanted")
+    dealt = store(pairs.repartitionByRange(blocks, "a", "b").withColumn("block", F.spark_partition_id()), "op4-pairs")
+    end = lambda x: F.struct(F.col(x).alias("cid"), F.col(f"doc_{x}").alias("doc_id"))
+    wanted = store(dealt.select("block", F.explode(F.array(end("a"), end("b"))).alias("end")).groupBy("end.cid").agg(
+        F.min("end.doc_id").alias("doc_id"), F.collect_set("block").alias("blocks")), "op4-wanted")
     width = np.uint64(((1 << 64) - 1) // VERTICAL + 1)
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,7 +273,7 @@ def _overlaps(docs: DataFrame, pairs: DataFrame, reps: DataFrame) -> DataFrame:
         digest = texts.filter("doc_id IS NULL").select("text").distinct().mapInArrow(_with_class, "cid long, text string")
         found = found.union(digest.join(nameless, "cid").select("text", "blocks"))
     left = found.mapInArrow(segments, "block int, frag int, cid binary, size binary, seg binary")
-    right = dealt.select("block", F.explode(F.array(*[F.lit(f) for f in range(VERTICAL)])).alias("frag"), "a", "b")
+    right = dealt.select("block", F.explode(F.array(*[F.lit(f) for f in range(VERTICAL)])).alias("frag"), "a", "b", "n_a", "n_b")
 
     def count_common(seg: pd.DataFrame, todo: pd.DataFrame) -> pd.DataFrame:
         parts: dict[int, np.ndarray] = {}
@@ -273,11 +289,11 @@ def _overlaps(docs: DataFrame, pairs: DataFrame, reps: DataFrame) -> DataFrame:
                 at[at == len(x)] = 0
                 out[i] = np.count_nonzero(x[at] == y)
         some = out > 0  # a pair without a common shingle anywhere can't link
-        return pd.DataFrame({"a": todo["a"].to_numpy()[some], "b": todo["b"].to_numpy()[some], "common": out[some]})
+        return todo.loc[some, ["a", "b", "n_a", "n_b"]].assign(common=out[some])
 
     partial = left.groupBy("block", "frag").cogroup(right.groupBy("block", "frag")).applyInPandas(
-        count_common, "a long, b long, common long")
-    return partial.groupBy("a", "b").agg(F.sum("common").alias("common"))
+        count_common, "a long, b long, n_a long, n_b long, common long")
+    return partial.groupBy("a", "b", "n_a", "n_b").agg(F.sum("common").alias("common"))
 
 
 def _with_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -300,20 +316,34 @@ def _possible(n_a: str, d_a: str, n_b: str, d_b: str) -> str:
             f"{100 + _PERCENT} * (least({d_a}, {d_b}) + {rest}) >= {_PERCENT} * ({n_a} + {n_b})")
 
 
-def _promising(pairs: DataFrame, reps: DataFrame) -> DataFrame:
-    """Sum the partial prefix overlaps of each pair (a, b, count) and keep the pairs that can still be similar.
-    Pairs that bring their sizes (n_a, n_b) meet no other table."""
+def _alike(sig_a: str, sig_b: str) -> str:
+    """Whether the signatures differ in no more places than similar sets of sizes n_a and n_b differ in shingles.
+    Sets that can be similar have signatures of one length or of its double, which is folded."""
+    word = lambda x: f"IF(size({x}) > w, {x}[i] ^ {x}[i + w], {x}[i])"
+    # ``w`` stands for the shorter length: a lambda's argument, so that it is found once a pair
+    differ = (f"aggregate(array(least(size({sig_a}), size({sig_b}))), 0, (none, w) -> aggregate(sequence(0, w - 1), 0, "
+              f"(sum, i) -> sum + bit_count({word(sig_a)} ^ {word(sig_b)})))")
+    return f"{100 + _PERCENT} * (n_a + n_b - {differ}) >= {2 * _PERCENT} * (n_a + n_b)"
+
+
+def _promising(pairs: DataFrame, reps: DataFrame, tried: DataFrame | None = None) -> DataFrame:
+    """Sum the partial prefix overlaps of each pair (a, b, count) and keep the pairs that can still be similar
+    and aren't ``tried`` yet: (a, b, n_a, n_b, doc_a, doc_b). Pairs that bring their sizes don't look them up."""
     own = [F.first(c).alias(c) for c in ("n_a", "n_b") if c in pairs.columns]
     summed = pairs.groupBy("a", "b").agg(F.sum("count").alias("count"), *own)
     if not own:
         summed = _with_sizes(summed, reps)
-    return summed.filter(_possible("n_a", "count", "n_b", "count")).select("a", "b")
+    summed = summed.filter(_possible("n_a", "count", "n_b", "count")).select("a", "b", "n_a", "n_b")
+    if tried is not None:
+        summed = summed.join(tried, ["a", "b"], "left_anti")
+    for x in ("a", "b"):
+        summed = summed.join(reps.select(F.col("cid").alias(x), F.col("doc_id").alias(f"doc_{x}"), F.col("sig").alias(f"sig_{x}")), x)
+    return summed.filter(_alike("sig_a", "sig_b")).select("a", "b", "n_a", "n_b", "doc_a", "doc_b")
 
 
-def _links(docs: DataFrame, pairs: DataFrame, reps: DataFrame) -> DataFrame:
+def _links(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs that are similar enough."""
-    joined = _with_sizes(_overlaps(docs, pairs, reps), reps)
-    return joined.filter(100 * F.col("common") >= _PERCENT * (F.col("n_a") + F.col("n_b") - F.col("common"))).select("a", "b")
+    return _overlaps(docs, pairs).filter(100 * F.col("common") >= _PERCENT * (F.col("n_a") + F.col("n_b") - F.col("common"))).select("a", "b")
 
 
 def _star(members: DataFrame) -> DataFrame:
@@ -342,14 +372,15 @@ def ngram_join(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs(doc_id, text)``."""
     spark = docs.sparkSession
     sets = store(shingle_classes(docs), "op4-sets")
-    reps = store(sets.filter("n > 0").groupBy("cid").agg(F.first("n").alias("n"), F.min("doc_id").alias("doc_id")), "op4-classes")
+    reps = store(sets.filter("n > 0").groupBy("cid").agg(F.first("n").alias("n"), F.min("doc_id").alias("doc_id"),
+                                                      F.first("sig").alias("sig")), "op4-classes")
     entries = reps.agg(F.sum(F.expr("n - ceil(n * 0.75) + 1"))).first()[0] or 0
     fragments = max(2, shuffle_width(spark), int(entries) // FRAGMENT_ENTRIES)
     bucket = store(_entries(docs, _common(sets), fragments).groupBy("frag").applyInPandas(
         _buckets, "kind int, a long, b long, count long"), "op4-buckets")
     star = bucket.filter("kind = 0").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "count")
     first = store(_promising(star, reps), "op4-first")
-    links = store(_links(docs, first, reps), "op4-links")
+    links = store(_links(docs, first), "op4-links")
     labels = connected_components(links)
 
     members = store(bucket.filter("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("cid"), "count").union(
@@ -363,9 +394,9 @@ def ngram_join(docs: DataFrame) -> DataFrame:
         # A class shares no more of its prefix with another than with all others together.
         degree = named.groupBy("cid").agg(F.sum("count").alias("degree")).join(reps.select("cid", "n"), "cid")
         members = store(named.join(degree, "cid"), "op4-open")
-        more = store(_promising(step(members), reps).join(first, ["a", "b"], "left_anti"), "op4-more")
+        more = store(_promising(step(members), reps, first.select("a", "b")), "op4-more")
         if more.limit(1).count():
-            links = store(links.union(_links(docs, more, reps)), "op4-links")
+            links = store(links.union(_links(docs, more)), "op4-links")
             labels = connected_components(links)
             first = store(first.union(more), "op4-first")
         members = members.select("key", "cid", "count")
