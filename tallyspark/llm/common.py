@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 
 from tallyspark.session import ensure_checkpoint_dir
 
+#: Rows of two numbers up to which a table is broadcast (8 MB); beyond, it is a shuffled join.
+BROADCAST_ROWS = 1 << 19
 #: Bytes of text that one vectorised step handles; a longer text is a step of its own.
 CHUNK_BYTES = 2 << 20
 
@@ -185,21 +187,41 @@ def shingle_sets(column: pa.Array, k: int = 5) -> Iterator[np.ndarray]:
                 yield g[:0]
 
 
-def connected_components(edges: DataFrame, label: str = "cc") -> DataFrame:
+def bounded(df: DataFrame, rows: int) -> DataFrame:
+    """A table of ``rows`` rows of two numbers as the small side of a join: told to
+    all executors up to BROADCAST_ROWS, shuffled beyond."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
+def connected_components(edges: DataFrame, label: str = "cc", known: DataFrame | None = None) -> DataFrame:
     """Components of the undirected graph ``edges(a, b)``: (id, label) for every
     end of an edge, label being the smallest id of the component.
 
     Labels fall to the least neighbouring label and then jump to the label
-    of their label, until none changes. Every round is a hash aggregate
+    of their label, until none changes. Every round is one hash aggregate
     (partial first, so a hub does not gather) and is stored in the shared
-    folder; the driver sees one count per round.
+    folder; the driver sees one count per round. ``known(id, label)`` are the
+    components of earlier edges: the new edges then run between these, and
+    the result covers both.
     """
-    both = store(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), label)
+    if known is not None:
+        rows = known.count()
+        end = lambda x: bounded(known.select(F.col("id").alias(x), F.col("label").alias(f"label_{x}")), rows)
+        ends = edges.join(end("a"), "a", "left").join(end("b"), "b", "left").select(
+            F.coalesce("label_a", "a").alias("a"), F.coalesce("label_b", "b").alias("b")).filter("a <> b")
+        top = connected_components(ends, label)
+        over = bounded(top.select(F.col("id").alias("label"), F.col("label").alias("over")), top.count())
+        old = known.join(over, "label", "left").select("id", F.coalesce("over", "label").alias("label"))
+        return store(old.union(top.join(known, "id", "left_anti").select("id", "label")), label)
+    both = store(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), label)
     labels = store(both.groupBy(F.col("a").alias("id")).agg(F.least(F.first("a"), F.min("b")).alias("label")), label)
+    rows = labels.count()
     while True:
-        near = (both.join(labels.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id")).agg(F.min("label").alias("near")))
-        low = labels.join(near, "id", "left").select("id", F.col("label").alias("was"), F.least("label", "near").alias("label"))
-        jump = labels.select(F.col("id").alias("label"), F.col("label").alias("over"))
+        near = both.join(bounded(labels.withColumnRenamed("id", "b"), rows), "b").select(
+            F.col("a").alias("id"), "label", F.lit(None).cast("long").alias("was"))
+        low = labels.select("id", "label", F.col("label").alias("was")).union(near).groupBy("id").agg(
+            F.min("label").alias("label"), F.max("was").alias("was"))
+        jump = bounded(labels.select(F.col("id").alias("label"), F.col("label").alias("over")), rows)
         new = store(low.join(jump, "label", "left").select("id", "was", F.least("label", "over").alias("label")), label)
         changed = new.filter("label <> was").limit(1).count()
         labels = new.select("id", "label")

@@ -51,7 +51,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import connected_components, mix64, shingle_sets, shuffle_width, store
+from tallyspark.llm.common import bounded, connected_components, mix64, shingle_sets, shuffle_width, store
 
 #: Share of classes (1 in SAMPLE) whose shingles are counted for the order.
 SAMPLE = 16
@@ -71,8 +71,8 @@ MIN_WORDS = 8
 CENTERS = 5
 #: The second star step reads one in so many buckets, with so many times the centers.
 KEYS = 8
-#: Class ids up to which the list of classes to verify is broadcast (about 32 MB); beyond, it is a shuffled join.
-BROADCAST_CLASSES = 1 << 20
+#: Bytes of class ids and block numbers up to which the list of classes to verify is broadcast; beyond, it is a shuffled join.
+BROADCAST_BYTES = 32 << 20
 
 _PERCENT = 75
 
@@ -265,7 +265,7 @@ def _overlaps(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     at = wanted.filter("doc_id IS NOT NULL").select("doc_id", "blocks")
-    if at.count() <= BROADCAST_CLASSES:
+    if (at.agg(F.sum(16 + 4 * F.size("blocks"))).first()[0] or 0) <= BROADCAST_BYTES:
         at = F.broadcast(at)
     found = texts.join(at, "doc_id").select("text", "blocks")
     nameless = wanted.filter("doc_id IS NULL")
@@ -304,7 +304,8 @@ def _with_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _with_sizes(pairs: DataFrame, reps: DataFrame) -> DataFrame:
-    size = lambda x: reps.select(F.col("cid").alias(x), F.col("n").alias(f"n_{x}"))
+    rows = reps.count()
+    size = lambda x: bounded(reps.select(F.col("cid").alias(x), F.col("n").alias(f"n_{x}")), rows)
     return pairs.join(size("a"), "a").join(size("b"), "b")
 
 
@@ -374,8 +375,8 @@ def ngram_join(docs: DataFrame) -> DataFrame:
     sets = store(shingle_classes(docs), "op4-sets")
     reps = store(sets.filter("n > 0").groupBy("cid").agg(F.first("n").alias("n"), F.min("doc_id").alias("doc_id"),
                                                       F.first("sig").alias("sig")), "op4-classes")
-    entries = reps.agg(F.sum(F.expr("n - ceil(n * 0.75) + 1"))).first()[0] or 0
-    fragments = max(2, shuffle_width(spark), int(entries) // FRAGMENT_ENTRIES)
+    classes, entries = reps.agg(F.count("*"), F.sum(F.expr("n - ceil(n * 0.75) + 1"))).first()
+    fragments = max(2, shuffle_width(spark), int(entries or 0) // FRAGMENT_ENTRIES)
     bucket = store(_entries(docs, _common(sets), fragments).groupBy("frag").applyInPandas(
         _buckets, "kind int, a long, b long, count long"), "op4-buckets")
     star = bucket.filter("kind = 0").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "count")
@@ -392,12 +393,11 @@ def ngram_join(docs: DataFrame) -> DataFrame:
         mixed = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("key")
         named = named.join(mixed, "key", "left_semi")
         # A class shares no more of its prefix with another than with all others together.
-        degree = named.groupBy("cid").agg(F.sum("count").alias("degree")).join(reps.select("cid", "n"), "cid")
+        degree = named.groupBy("cid").agg(F.sum("count").alias("degree")).join(bounded(reps.select("cid", "n"), classes), "cid")
         members = store(named.join(degree, "cid"), "op4-open")
         more = store(_promising(step(members), reps, first.select("a", "b")), "op4-more")
         if more.limit(1).count():
-            links = store(links.union(_links(docs, more)), "op4-links")
-            labels = connected_components(links)
+            labels = connected_components(store(_links(docs, more), "op4-links"), known=labels)
             first = store(first.union(more), "op4-first")
         members = members.select("key", "cid", "count")
     named = sets.select("doc_id", "n", "cid").join(labels.withColumnRenamed("id", "cid"), "cid", "left").select(

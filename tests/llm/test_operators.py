@@ -72,6 +72,17 @@ def test_components_of_a_long_chain(spark):
     assert set(got[i] for i in range(61)) == {0} and got[101] == 100
 
 
+@pytest.mark.parametrize("limit", [0, 1 << 19])
+def test_components_grow_with_new_edges(spark, monkeypatch, limit):
+    """Later edges join known components, new ends and both, with or without broadcasts."""
+    monkeypatch.setattr(common, "BROADCAST_ROWS", limit)
+    table = lambda e: spark.createDataFrame(e, "a long, b long")
+    known = common.connected_components(table([(5, 6), (6, 7), (1, 2), (20, 21), (21, 22)]))
+    got = rows(common.connected_components(table([(7, 2), (30, 31), (22, 40), (22, 40), (3, 5)]), known=known))
+    assert sorted(got) == sorted([(x, 1) for x in (1, 2, 3, 5, 6, 7)] + [(x, 20) for x in (20, 21, 22, 40)] + [(30, 30), (31, 30)])
+    assert sorted(rows(common.connected_components(table([(6, 5), (2, 2)]), known=known))) == sorted(rows(known))
+
+
 # --------------------------------------------------------------------- op2, op7
 @pytest.mark.parametrize("scan, patterns, ok, kinds", [
     (secrets.scan, X.SECRETS, X.secret_ok, ("assign", "access", "hex")),
