@@ -8,7 +8,7 @@ licence templates and hold an informative word, one that is rare among
 the paragraphs of the corpus sample, or a whole short form made of common words. A multinomial logistic regression over
 these n-grams, trained on the templates, their variants (a word left out,
 halves, joined sentences) and at most SAMPLE_PARAGRAPHS paragraphs of the
-corpus as class ``unknown``, gives the licence family. A paragraph without an
+corpus that hold no template (see CONFIRM) as class ``unknown``, gives the licence family. A paragraph without an
 informative word has no feature at all and is ``unknown``; saying so first
 spares the rest of the work and changes nothing. A family counts when its
 probability exceeds the calibrated threshold: the 99.9 % quantile of the best
@@ -68,7 +68,8 @@ TEMPLATES = {
 #: Sentences about licences that declare none.
 OTHER = ("The license of the driver was checked at the border", "Please read the terms before you use this", "The software was released in spring",
          "He holds a license", "A new version of the general plan is public", "This work was published by the foundation", "The permission was granted")
-SAMPLE_PARAGRAPHS = 4_000
+#: Bounds of the sample: paragraphs (lines), and documents that they come from.
+SAMPLE_PARAGRAPHS, SAMPLE_DOCUMENTS = 4_000, 1_000
 MIN_PROBABILITY, CONFIRM, COMMON_SHARE = 0.5, 0.6, 0.002
 UNKNOWN = "unknown"
 _WORD = r"[\p{L}\p{N}+.-]*[\p{L}\p{N}+]"
@@ -115,6 +116,18 @@ def paragraphs(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(lines).alias("paragraph", "text")).filter(F.trim("text") != "")
 
 
+def template_pairs(spark) -> DataFrame:
+    """(family, template, gram, size): the word pairs of every template and their number."""
+    told = [(f, i, s) for f, sentences in sorted(TEMPLATES.items()) for i, s in enumerate(sentences)]
+    pairs = spark.createDataFrame(told, "family string, template int, text string").select("family", "template", F.explode(_pairs("text")).alias("gram")).distinct()
+    return pairs.join(pairs.groupBy("family", "template").agg(F.count("*").alias("size")), ["family", "template"])
+
+
+def _pairs(text: str) -> Column:
+    """Distinct word pairs."""
+    return F.filter(_grams(_words(F.col(text)), 2), lambda g: g.contains(" "))
+
+
 class LicenseModel:
     """Weights per n-gram and family, intercepts, informative words and the threshold."""
 
@@ -149,11 +162,7 @@ class LicenseModel:
         self.intercepts = dict(zip(self.classes, (float(v) for v in fitted.interceptVector), strict=True))
         weights = [(g, c, float(matrix[k][j])) for j, g in enumerate(vocabulary) for k, c in enumerate(self.classes) if matrix[k][j]]
         self.weights = spark.createDataFrame(weights, "gram string, family string, weight double")
-        pairs = [(f, i, s) for f, sentences in sorted(TEMPLATES.items()) for i, s in enumerate(sentences)]
-        bigrams = spark.createDataFrame(pairs, "family string, template int, text string").select("family", "template", F.explode(
-            F.filter(_grams(_words(F.col("text")), 2), lambda g: g.contains(" "))).alias("gram")).distinct()
-        sizes = bigrams.groupBy("family", "template").agg(F.count("*").alias("size"))
-        self.templates = bigrams.join(sizes, ["family", "template"])
+        self.templates = template_pairs(spark)
         self.threshold = MIN_PROBABILITY
         held = self.classify(store(rows.filter("held").select(F.monotonically_increasing_id().alias("id"), "text").filter(self.gate(F.col("text"))), "op8-held"))
         held_n = rows.filter("held").count()
@@ -181,19 +190,25 @@ class LicenseModel:
 
     def confirm(self, rows: DataFrame) -> DataFrame:
         """``rows(id, text, family)`` -> (id, template, similarity): the share of a template's word pairs that the paragraph holds, the best of the family."""
-        grams = rows.select("id", "family", _words(F.col("text")).alias("words")).select(
-            "id", "family", F.explode(F.filter(_grams(F.col("words"), 2), lambda g: g.contains(" "))).alias("gram"))
+        grams = rows.select("id", "family", F.explode(_pairs("text")).alias("gram"))
         found = grams.join(F.broadcast(self.templates), ["family", "gram"]).groupBy("id", "template", "size").agg(F.count("*").alias("n"))
         return found.groupBy("id").agg(F.min(F.struct((-F.col("n") / F.col("size")).alias("down"), "template")).alias("b")).select(
             "id", "b.template", F.round(-F.col("b.down"), 9).alias("similarity"))
 
 
 def train(docs: DataFrame) -> LicenseModel:
-    """From the templates and a bounded sample of the corpus' paragraphs: those of the documents that come first by hash."""
-    few = docs.select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_PARAGRAPHS // 4)
-    lines = (paragraphs(few).filter(~F.col("text").rlike(r"(?i)licen[sc]e|copyright|rights reserved|public domain")).select(F.substring("text", 1, 2000).alias("text"))
-             .orderBy(F.xxhash64("text"), "text").limit(SAMPLE_PARAGRAPHS))
-    return LicenseModel(docs.sparkSession, store(lines, "op8-background"))
+    """From the templates and a bounded sample of the corpus' paragraphs: lines of the documents that come first by hash.
+    Documents and lines are chosen by hashes alone, so that no text goes to the task that chooses; chosen lines are whole."""
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).filter("doc_id IS NOT NULL")
+    few = ids.distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCUMENTS)
+    # SAMPLE_DOCUMENTS ids: bounded.
+    lines = store(paragraphs(docs.join(F.broadcast(few), docs["doc_id"].cast("long") == few["doc_id"], "left_semi"))
+                  .select("text", F.xxhash64("text").alias("key")), "op8-lines")
+    keys = lines.select("key").distinct().orderBy(F.xxhash64(F.lit(1), "key"), "key").limit(SAMPLE_PARAGRAPHS)
+    drawn = store(lines.dropDuplicates(["key"]).join(F.broadcast(keys), "key", "left_semi"), "op8-drawn")
+    declares = (drawn.select("key", F.explode(_pairs("text")).alias("gram")).join(F.broadcast(template_pairs(docs.sparkSession)), "gram")
+                .groupBy("key", "family", "template", "size").agg(F.count("*").alias("n")).filter(F.col("n") >= CONFIRM * F.col("size")).select("key"))
+    return LicenseModel(docs.sparkSession, store(drawn.join(declares, "key", "left_anti").select("text"), "op8-background"))
 
 
 def scan(docs: DataFrame, model: LicenseModel | None = None) -> DataFrame:
