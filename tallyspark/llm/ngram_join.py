@@ -409,11 +409,16 @@ def ngram_join(docs: DataFrame) -> DataFrame:
 
 def deduplicate(docs: DataFrame) -> DataFrame:
     """One row of every component: that with the component's smallest doc_id.
-    Of repeated rows with that id one stays; rows without an id all stay."""
+    Of repeated rows with that id the one whose columns have the least digest
+    stays, whatever the order of the rows; rows without an id all stay."""
     found = store(ngram_join(docs), "op4-components")
     kept = found.filter("doc_id = component_id").select("doc_id")
     ids = kept.distinct().select(F.col("doc_id").alias("_kept_doc_id"))
     rows = docs.join(ids, F.col("doc_id").cast("long") == F.col("_kept_doc_id"), "left_semi")
     if kept.groupBy("doc_id").count().filter("count > 1").limit(1).count():
-        rows = rows.dropDuplicates(["doc_id"])
+        # Rows of one digest are alike in every column, so it doesn't matter which of them stays.
+        marked = rows.withColumn("_digest", F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns])), 256))
+        least = marked.groupBy(F.col("doc_id").alias("_least_id")).agg(F.min("_digest").alias("_least"))
+        rows = marked.join(least, (F.col("doc_id") == F.col("_least_id")) & (F.col("_digest") == F.col("_least")), "left_semi")
+        rows = rows.dropDuplicates(["doc_id"]).drop("_digest")
     return rows.union(docs.filter("doc_id IS NULL"))

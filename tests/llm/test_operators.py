@@ -66,6 +66,12 @@ def test_deduplicate_keeps_one_of_each_group(spark):
     assert sorted(ids) == sorted(want)
 
 
+def test_deduplicate_of_a_repeated_id_does_not_depend_on_the_order(spark):
+    told = [(4, "one two three four five six", "a"), (4, "seven eight nine ten eleven twelve", None), (4, "seven eight nine ten eleven twelve", "b"), (5, "x", None)]
+    kept = [sorted(rows(ngram_join.deduplicate(spark.createDataFrame(t, "doc_id long, text string, source string").coalesce(1)))) for t in (told, told[::-1])]
+    assert kept[0] == kept[1] and [r[0] for r in kept[0]] == [4, 5]
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101)], "a long, b long")
     got = dict(rows(common.connected_components(edges)))
