@@ -28,7 +28,7 @@ def _sections(spark, d):
     inside = stored(K.rep_weekly(TD.is_funnel(spark, d), TD.is_target(spark, d), by_project=True), "report-part")
     reps = {p: inside.where(F.col("proyecto") == p).drop("proyecto") for p in ("OUTBOUND", "INBOUND")}
     churn = CH.early_churn(TD.churn_detail(spark, d), TD.churn_target(spark, d), C.week_axis(etg), AS_OF, TZ)
-    return {
+    sections = {
         "main_metrics_top": K.main_metrics_top(elc),
         "main_metrics_bottom": K.main_metrics_bottom(elc),
         "hunting": K.rep_channel_section(elc, etg, K.rep_weekly(TD.ht_funnel(spark, d), TD.ht_target(spark, d)), "HUNTING", "HUNTING"),
@@ -38,6 +38,10 @@ def _sections(spark, d):
         "brand_expansion": K.simple_channel_section(elc, etg, "BRAND EXPANSION", "BRAND EXPANSION", True),
         "early_churn_m1": churn, "early_churn_m2": churn, "early_churn_m3": churn,
     }
+    # A frame has a row per week and channel. Read from its few files, its unpivoting needs one task, not one per shuffle
+    # partition of each frame in one stage, where every task reports the metrics of all frames to the driver.
+    kept = {id(f): stored(f, "report-section") for f in {id(f): f for f in sections.values()}.values()}
+    return {name: kept[id(f)] for name, f in sections.items()}
 
 
 # One report run = every section computed once, unpivoted into the long
