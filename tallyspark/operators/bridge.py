@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyspark.functions.counting import distinct_counts
 from tallyspark.functions.exprs import (AGING_LABELS, aging_key, guarded_div, norm_key,
                                         round_half_away, safe_div)
 from tallyspark.operators.calendar import in_quarter, valid_weeks
@@ -27,20 +28,17 @@ IS_EFFECTS = [("ef_prod", "Productividad"), ("ef_hc", "Headcount"), ("ef_maturit
 
 
 def _headcount_cells(funnel: DataFrame, keys: list[str]) -> DataFrame:
-    """Distinct active reps per cell without a DISTINCT aggregate: group by
-    (cell, rep) first, then count flags. Both stages combine map-side, so a
-    hot cell never lands whole in one task. A NULL rep id is no rep; its days
-    and stores stay in the sums."""
+    """Sums and distinct active reps per cell. Days and stores are summed
+    to the cell before they are shuffled; the distinct reps join these sums as
+    rows of their own. A NULL rep id is no rep; its days and stores stay in the sums."""
     hc1 = F.col("hc") == 1
-    rep = (funnel.groupBy(*keys, "hunter_email")
-           .agg(F.max(F.when(hc1 & F.col("hunter_email").isNotNull(), F.lit(1)).otherwise(F.lit(0))).alias("active"),
-                F.sum("dias_trabajados").alias("dias"),
-                F.sum(F.when(hc1, F.col("dias_trabajados")).otherwise(F.lit(0))).alias("dias_active"),
-                F.sum("stores_totales").alias("stores")))
-    return rep.groupBy(*keys).agg(F.sum("active").cast("bigint").alias("hc_real"),
-                                  F.sum("dias").alias("dias_real"),
-                                  F.sum("dias_active").alias("dias_active"),
-                                  F.sum("stores").alias("stores_real"))
+    sums = funnel.groupBy(*keys).agg(F.sum("dias_trabajados").alias("dias"),
+                                     F.sum(F.when(hc1, F.col("dias_trabajados")).otherwise(F.lit(0))).alias("dias_active"),
+                                     F.sum("stores_totales").alias("stores")).withColumn("one", F.lit(0))
+    heads = distinct_counts(funnel.where(hc1), keys, "hunter_email", "one")
+    return sums.unionByName(heads, allowMissingColumns=True).groupBy(*keys).agg(
+        F.sum("one").cast("bigint").alias("hc_real"), F.sum("dias").alias("dias_real"),
+        F.sum("dias_active").alias("dias_active"), F.sum("stores").alias("stores_real"))
 
 
 def is_real_cells(funnel: DataFrame, quarter: str | None = None, project_col: str = "proyecto_agrupado") -> DataFrame:

@@ -5,6 +5,7 @@ import re
 from pyspark.sql import functions as F
 
 from tallyspark.functions.counting import distinct_counts
+from tallyspark.operators import bridge as B
 from tallyspark.operators import kpi as K
 
 FUNNEL = "q string, week_date date, country string, proyecto string, proyecto_agrupado string, aging_category_final string, hunter_email string, hc int, dias_trabajados bigint, stores_totales bigint"
@@ -40,3 +41,10 @@ def test_reps_of_a_week_are_counted_without_a_hash_table_of_reps(spark):
     assert [(r.headcount, r.senior_headcount, r.stores_real, r.dias_real) for r in heads.collect()] == [(2, 1, 17, 19)]
     idle = K.headcount_weekly(_funnel(spark).where("hc = 0"))
     assert [(r.headcount, r.senior_headcount) for r in idle.collect()] == [(0, 0)]
+
+
+def test_bridge_cells_count_reps_without_a_hash_table_of_reps(spark):
+    cells = B.is_real_cells(_funnel(spark))
+    assert not _rep_tables(cells) and not _rep_tables(B.ht_real_cells(_funnel(spark)))
+    got = {(r.aging_norm, r.country): (r.hc_real, r.dias_real, r.dias_active, r.stores_real) for r in cells.collect()}
+    assert got == {("02 - JUNIOR", "CO"): (1, 3, 3, 2), ("03 - SENIOR", "CO"): (1, 14, 10, 14), ("02 - JUNIOR", "MX"): (1, 1, 1, None), (None, "CO"): (0, 1, 0, 1)}
