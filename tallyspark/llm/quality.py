@@ -57,6 +57,13 @@ def _bucket(h: np.ndarray, seed: np.uint64) -> np.ndarray:
     return (mix64(h ^ mix64(np.array([seed], dtype=np.uint64))) & np.uint64(BUCKETS - 1)).astype(np.int64)
 
 
+def _running(hit: np.ndarray) -> np.ndarray:
+    """Sums of the hits before each byte, and of all: as narrow as a chunk of texts allows, since there is one per byte."""
+    out = np.zeros(len(hit) + 1, dtype=np.int32 if len(hit) < 1 << 31 else np.int64)
+    np.cumsum(hit, out=out[1:], dtype=out.dtype)
+    return out
+
+
 def features(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """By chunks of texts: (bucket, value) of every feature occurrence, in text
     order, and the index of each text's first one."""
@@ -65,17 +72,19 @@ def features(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndar
         n = len(starts)
         per = np.diff(first)
         text = np.repeat(np.arange(len(per)), per)
-        core = np.r_[0, np.cumsum(_CORE[raw])]
+        core = _running(_CORE[raw])
         inner = core[ends] - core[starts]
+        del core
         words = word_hashes(ASCII_LOWER[raw], starts, ends)
         # The pattern of a word: its first two and last three bytes as kinds, and whether it is all capitals.
         kind = _PATTERN[raw]
         last = np.maximum(ends - 1, 0)
-        capitals = np.r_[0, np.cumsum(_UPPER[raw])]
+        capitals = _running(_UPPER[raw])
         pattern = np.zeros(n, dtype=np.uint64)
         for place in (starts, np.minimum(starts + 1, last), np.maximum(last - 2, starts), np.maximum(last - 1, starts), last):
             pattern = pattern * np.uint64(257) + (kind[place].astype(np.uint64) if n else pattern)
         pattern = pattern * np.uint64(2) + (capitals[ends] - capitals[starts] >= np.maximum(2, inner)).astype(np.uint64)
+        del kind, capitals
         share = SHARE_SCALE / np.maximum(per, 1)[text]
         again = np.r_[False, words[1:] == words[:-1]] if n else np.zeros(0, bool)
         again[first[:-1][per > 0]] = False
