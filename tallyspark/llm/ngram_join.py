@@ -121,9 +121,11 @@ def _rank(cid: str, seed: int):
 def _common(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Of the commonest sampled shingles: hash (sorted) and CENTERS classes that have it."""
     sampled = sets.filter("sample IS NOT NULL").groupBy("cid").agg(F.first("sample").alias("sample"))
-    rows = (sampled.select("cid", F.explode("sample").alias("g")).groupBy("g")
-            .agg(F.count("*").alias("df"), *[F.min(F.struct(_rank("cid", s), "cid")).alias(f"c{s}") for s in range(CENTERS)])
-            .filter(F.col("df") >= COMMON_IN_SAMPLE).orderBy(F.desc("df"), "g").limit(MAX_COMMON)
+    held = sampled.select("cid", F.explode("sample").alias("g"))
+    # Counted alone first: most shingles are in one class only, and these rows are shuffled two numbers wide.
+    often = held.groupBy("g").agg(F.count("*").alias("df")).filter(F.col("df") >= COMMON_IN_SAMPLE).orderBy(F.desc("df"), "g").limit(MAX_COMMON)
+    rows = (held.join(F.broadcast(often.select("g")), "g").groupBy("g")
+            .agg(*[F.min(F.struct(_rank("cid", s), "cid")).alias(f"c{s}") for s in range(CENTERS)])
             .select("g", *[F.col(f"c{s}.cid").alias(f"c{s}") for s in range(CENTERS)]).toPandas())
     g = rows["g"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(g)
@@ -412,13 +414,17 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     Of repeated rows with that id the one whose columns have the least digest
     stays, whatever the order of the rows; rows without an id all stay."""
     found = store(ngram_join(docs), "op4-components")
-    kept = found.filter("doc_id = component_id").select("doc_id")
-    ids = kept.distinct().select(F.col("doc_id").alias("_kept_doc_id"))
-    rows = docs.join(ids, F.col("doc_id").cast("long") == F.col("_kept_doc_id"), "left_semi")
-    if kept.groupBy("doc_id").count().filter("count > 1").limit(1).count():
+    ids = store(found.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_doc_id")).agg(
+        F.count(F.expr("IF(doc_id = component_id, 1, NULL)")).alias("kept")).filter("kept <> 1"), "op4-not-once")
+    near = lambda of: F.broadcast(of) if 16 * of.count() <= BROADCAST_BYTES else of
+    same = F.col("doc_id").cast("long") == F.col("_doc_id")
+    # The ids that go are few against those that stay: told to all tasks, they leave the texts where they are.
+    rows = docs.filter(F.col("doc_id").cast("long").isNotNull()).join(near(ids.select("_doc_id")), same, "left_anti")
+    again = ids.filter("kept > 1").select("_doc_id")
+    if again.limit(1).count():
         # Rows of one digest are alike in every column, so it doesn't matter which of them stays.
-        marked = rows.withColumn("_digest", F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns])), 256))
+        marked = docs.join(near(again), same, "left_semi").withColumn("_digest", F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns])), 256))
         least = marked.groupBy(F.col("doc_id").alias("_least_id")).agg(F.min("_digest").alias("_least"))
-        rows = marked.join(least, (F.col("doc_id") == F.col("_least_id")) & (F.col("_digest") == F.col("_least")), "left_semi")
-        rows = rows.dropDuplicates(["doc_id"]).drop("_digest")
+        again = marked.join(least, (F.col("doc_id") == F.col("_least_id")) & (F.col("_digest") == F.col("_least")), "left_semi")
+        rows = rows.union(again.dropDuplicates(["doc_id"]).drop("_digest"))
     return rows.union(docs.filter("doc_id IS NULL"))
