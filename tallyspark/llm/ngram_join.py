@@ -20,13 +20,15 @@ sets, so copies are never compared with one another:
    those whose sizes and prefix overlap allow it and whose signatures differ
    in no more places than similar sets differ in shingles (every place
    that differs stands for a shingle of one set alone, so no link is lost).
-4. Verification: pairs are dealt into blocks and each class's set into
-   vertical fragments; a (block, fragment) group counts partial overlaps,
+4. Verification: pairs are dealt into blocks and each class's set into as many
+   vertical fragments as the sets of its block need; a (block, fragment) group counts partial overlaps,
    and the counts are summed per pair.
 5. Components of the links so far, then two more steps, each of which leaves
-   out what the last has joined: a star with many centers, and every pair
-   between components that is left. Prefix overlaps are summed, pruned and verified as before; in
-   the last step the sums are exact, so no link between different components
+   out what the last has joined: a star with many centers, whose prefix overlaps are
+   summed, pruned and verified as before, and every pair between components that is
+   left. In the last step the prefix overlaps in small buckets are summed exactly; the
+   members of a large bucket meet in one task (or part by part) and are compared there
+   by signature, and only pairs that may be similar become rows. So no link between different components
    is lost, and pairs inside a component can't change it. The stars
    join large groups of near copies at linear cost.
 
@@ -59,10 +61,11 @@ SAMPLE = 16
 COMMON_IN_SAMPLE = 2
 #: So many of the commonest shingles at most are told to the tasks (16 bytes each).
 MAX_COMMON = 1 << 18
-#: Prefix entries per fragment, pairs per block, and vertical fragments of a block.
+#: Prefix entries per fragment, pairs per block, vertical fragments that a block has at most and shingles of its pairs in each.
 FRAGMENT_ENTRIES = 500_000
-BLOCK_PAIRS = 50_000
+BLOCK_PAIRS = 5_000
 VERTICAL = 32
+PART_SHINGLES = 4_000_000
 #: Documents that a task packs together.
 SLICE_ROWS = 2_500
 #: Words of 64 bits that a signature has at least.
@@ -71,6 +74,14 @@ MIN_WORDS = 8
 CENTERS = 5
 #: The second star step reads one in so many buckets, with so many times the centers.
 KEYS = 8
+#: The last step: members of a bucket up to which a join pairs them; for larger buckets, members that a task compares with
+#: one another, classes of a bucket in one part, pairs compared at once, and buckets up to which a class names them all,
+#: so that a pair is told by one of those it shares only.
+JOIN_MEMBERS = 256
+DEAL_ENTRIES = 20_000
+PART_CLASSES = 2_000
+SLAB_PAIRS = 1 << 18
+NAMED_KEYS = 64
 #: Bytes of class ids and block numbers up to which the list of classes to verify is broadcast; beyond, it is a shuffled join.
 BROADCAST_BYTES = 32 << 20
 
@@ -239,13 +250,15 @@ def _overlaps(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     common): sizes of the intersections, counted fragment by fragment and summed per pair."""
     blocks = max(1, pairs.count() // BLOCK_PAIRS)
     dealt = store(pairs.repartitionByRange(blocks, "a", "b").withColumn("block", F.spark_partition_id()), "op4-pairs")
+    # As many fragments as the block's sets need: a pair has one row of partial counts for each.
+    parts = F.least(F.lit(VERTICAL), 1 + F.sum(F.col("n_a") + F.col("n_b")) / PART_SHINGLES).cast("int")
+    dealt = dealt.join(F.broadcast(dealt.groupBy("block").agg(parts.alias("parts"))), "block")
     end = lambda x: F.struct(F.col(x).alias("cid"), F.col(f"doc_{x}").alias("doc_id"))
-    wanted = store(dealt.select("block", F.explode(F.array(end("a"), end("b"))).alias("end")).groupBy("end.cid").agg(
-        F.min("end.doc_id").alias("doc_id"), F.collect_set("block").alias("blocks")), "op4-wanted")
-    width = np.uint64(((1 << 64) - 1) // VERTICAL + 1)
+    wanted = store(dealt.select("block", "parts", F.explode(F.array(end("a"), end("b"))).alias("end")).groupBy("end.cid").agg(
+        F.min("end.doc_id").alias("doc_id"), F.collect_set(F.expr(f"block * {VERTICAL + 1}L + parts")).alias("blocks")), "op4-wanted")
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cuts = width * np.arange(1, VERTICAL, dtype=np.uint64)
+        cuts = [np.array([(i << 64) // n for i in range(1, n)], dtype=np.uint64) for n in range(1, VERTICAL + 1)]
         for batch in _slices(batches):
             held: dict[tuple[int, int], tuple[list, list, list]] = {}
             with np.errstate(over="ignore"):
@@ -253,12 +266,13 @@ def _overlaps(docs: DataFrame, pairs: DataFrame) -> DataFrame:
                     if not len(u):
                         continue
                     c = _class_id(u)
-                    for f, part in enumerate(np.split(u, np.searchsorted(u, cuts))):
-                        for block in to if len(part) else ():
-                            cids, sizes, segs = held.setdefault((block, f), ([], [], []))
-                            cids.append(c)
-                            sizes.append(len(part))
-                            segs.append(part)
+                    for block, parts in (divmod(x, VERTICAL + 1) for x in to):
+                        for f, part in enumerate(np.split(u, np.searchsorted(u, cuts[parts - 1]))):
+                            if len(part):
+                                cids, sizes, segs = held.setdefault((block, f), ([], [], []))
+                                cids.append(c)
+                                sizes.append(len(part))
+                                segs.append(part)
             pack = lambda x, t: np.array(x, dtype=t).tobytes()
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k[0] for k in held], pa.int32()), pa.array([k[1] for k in held], pa.int32()),
@@ -267,7 +281,7 @@ def _overlaps(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     at = wanted.filter("doc_id IS NOT NULL").select("doc_id", "blocks")
-    if (at.agg(F.sum(16 + 4 * F.size("blocks"))).first()[0] or 0) <= BROADCAST_BYTES:
+    if (at.agg(F.sum(16 + 8 * F.size("blocks"))).first()[0] or 0) <= BROADCAST_BYTES:
         at = F.broadcast(at)
     found = texts.join(at, "doc_id").select("text", "blocks")
     nameless = wanted.filter("doc_id IS NULL")
@@ -275,7 +289,7 @@ def _overlaps(docs: DataFrame, pairs: DataFrame) -> DataFrame:
         digest = texts.filter("doc_id IS NULL").select("text").distinct().mapInArrow(_with_class, "cid long, text string")
         found = found.union(digest.join(nameless, "cid").select("text", "blocks"))
     left = found.mapInArrow(segments, "block int, frag int, cid binary, size binary, seg binary")
-    right = dealt.select("block", F.explode(F.array(*[F.lit(f) for f in range(VERTICAL)])).alias("frag"), "a", "b", "n_a", "n_b")
+    right = dealt.select("block", F.explode(F.expr("sequence(0, parts - 1)")).alias("frag"), "a", "b", "n_a", "n_b")
 
     def count_common(seg: pd.DataFrame, todo: pd.DataFrame) -> pd.DataFrame:
         parts: dict[int, np.ndarray] = {}
@@ -349,8 +363,8 @@ def _links(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return _overlaps(docs, pairs).filter(100 * F.col("common") >= _PERCENT * (F.col("n_a") + F.col("n_b") - F.col("common"))).select("a", "b")
 
 
-def _star(members: DataFrame) -> DataFrame:
-    """Partial pairs of each class with some centers of its buckets, over one in KEYS buckets.
+def _star(members: DataFrame, reps: DataFrame, tried: DataFrame) -> DataFrame:
+    """Promising pairs of each class with some centers of its buckets, over one in KEYS buckets.
     The class that shares most of its prefix lies in the middle of its group; the other centers are drawn by hash."""
     drawn = members.filter(F.pmod(F.xxhash64("key"), F.lit(KEYS)) == 0)
     ranks = [-F.col("degree") / F.col("n")] + [F.lit(0.0)] * (KEYS * CENTERS - 1)
@@ -358,17 +372,104 @@ def _star(members: DataFrame) -> DataFrame:
         F.min(F.struct(r, _rank("cid", 100 + s), "cid", "label", "n", "degree")).alias(f"c{s}") for s, r in enumerate(ranks)])
     center = center.select("key", F.explode(F.array_distinct(F.array(*[
         F.struct(f"c{s}.cid", f"c{s}.label", f"c{s}.n", f"c{s}.degree") for s in range(len(ranks))]))).alias("c"))
-    return (drawn.join(center, "key").filter("c.label <> label").filter(_possible("n", "degree", "c.n", "c.degree"))
+    pairs = (drawn.join(center, "key").filter("c.label <> label").filter(_possible("n", "degree", "c.n", "c.degree"))
             .select(F.least("cid", "c.cid").alias("a"), F.greatest("cid", "c.cid").alias("b"), (KEYS * F.col("count")).alias("count"),
                     F.expr("IF(cid < c.cid, n, c.n)").alias("n_a"), F.expr("IF(cid < c.cid, c.n, n)").alias("n_b")))
-
-
-def _every(members: DataFrame) -> DataFrame:
-    """Partial pairs of all classes of a bucket that lie in different components."""
-    x = members.select("key", F.col("cid").alias("a"), F.col("label").alias("label_a"), F.col("n").alias("n_a"), F.col("degree").alias("d_a"), "count")
-    y = members.select("key", F.col("cid").alias("b"), F.col("label").alias("label_b"), F.col("n").alias("n_b"), F.col("degree").alias("d_b"))
-    return (x.join(y, "key").filter("a < b AND label_a <> label_b").filter(_possible("n_a", "d_a", "n_b", "d_b"))
-            .select("a", "b", "count", "n_a", "n_b"))
+    return _promising(pairs, reps, tried)
+
+
+def _compare(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The pairs of one deal that share a bucket, lie in different components, and whose sizes, shared prefixes and
+    signatures allow a link. Slab by slab: what is held at once doesn't grow with the number of pairs."""
+    cid, label, n, degree = (pdf[c].to_numpy(np.int64) for c in ("cid", "label", "n", "degree"))
+    named = [dict(zip(x.tolist(), y.tolist(), strict=True)) if x is not None else None for x, y in zip(pdf["named"], pdf["counts"], strict=True)]
+    small = [int(d) - sum(x.values()) if x is not None else 0 for d, x in zip(degree, named, strict=True)]  # shared in small buckets, at most
+    who = np.repeat(np.arange(len(pdf)), [len(x) for x in pdf["key"]])
+    key, lo, hi, part = (np.concatenate(pdf[c].to_list()).astype(np.int64) for c in ("key", "lo", "hi", "part"))
+    order = np.lexsort((hi, lo, key))
+    who, key, lo, hi, part = (x[order] for x in (who, key, lo, hi, part))
+    new = np.r_[True, (key[1:] != key[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])]
+    stop = np.r_[np.flatnonzero(new)[1:], len(key)][np.cumsum(new) - 1]
+    after = stop - np.arange(len(key)) - 1  # members of its bucket that follow each
+    words = np.array([len(x) for x in pdf["sig"]])
+    place, sigs = np.zeros(len(pdf), np.int64), {}
+    for w in np.unique(words).tolist():
+        at = np.flatnonzero(words == w)
+        place[at], sigs[w] = np.arange(len(at)), np.stack([pdf["sig"].iloc[i] for i in at]).astype(np.int64).view(np.uint64)
+    told: dict[tuple[int, int], None] = {}
+    total = np.r_[0, np.cumsum(after)]
+    start = 0
+    while start < len(key):
+        end = max(start + 1, int(np.searchsorted(total, total[start] + SLAB_PAIRS, side="right")) - 1)
+        i = np.repeat(np.arange(start, end), after[start:end])
+        j = i + 1 + np.arange(len(i)) - np.repeat(total[start:end] - total[start], after[start:end])
+        start = end
+        x, y = who[i], who[j]
+        n_x, n_y = n[x], n[y]
+        rest = (3 * np.maximum(n_x, n_y) + 3) // 4 - 1
+        open_ = ((label[x] != label[y]) & ((lo[i] == hi[i]) | (part[i] != part[j])) & (100 * np.minimum(n_x, n_y) >= _PERCENT * np.maximum(n_x, n_y))
+                 & ((100 + _PERCENT) * (np.minimum(degree[x], degree[y]) + rest) >= _PERCENT * (n_x + n_y)))
+        i, x, y = i[open_], x[open_], y[open_]
+        swap = words[x] > words[y]
+        x, y = np.where(swap, y, x), np.where(swap, x, y)
+        for w, v in sorted(set(zip(words[x].tolist(), words[y].tolist(), strict=True))):
+            pairs = np.flatnonzero((words[x] == w) & (words[y] == v))
+            step = max(1, 8 * SLAB_PAIRS // v)
+            for at in (pairs[k:k + step] for k in range(0, len(pairs), step)):
+                other = sigs[v][place[y[at]]]
+                differ = np.bitwise_count(sigs[w][place[x[at]]] ^ (other if v == w else other[:, :w] ^ other[:, w:])).sum(axis=1, dtype=np.int64)
+                size = n[x[at]] + n[y[at]]
+                for k in at[(100 + _PERCENT) * (size - differ) >= 2 * _PERCENT * size].tolist():
+                    p, q = int(x[k]), int(y[k])
+                    if named[p] is not None and named[q] is not None:
+                        shared = sorted(named[p].keys() & named[q].keys())
+                        if shared[int(cid[p] ^ cid[q]) % len(shared)] != key[i[k]]:
+                            continue  # told by another bucket
+                        most = sum(named[p][s] for s in shared) + min(small[p], small[q]) + (3 * max(int(n[p]), int(n[q])) + 3) // 4 - 1
+                        if (100 + _PERCENT) * most < _PERCENT * int(n[p] + n[q]):
+                            continue
+                    told[(p, q) if cid[p] < cid[q] else (q, p)] = None
+    a, b = np.array(list(told), dtype=np.int64).reshape(-1, 2).T
+    return pd.DataFrame({"a": cid[a], "b": cid[b], "n_a": n[a], "n_b": n[b]})
+
+
+def _every(members: DataFrame, reps: DataFrame, tried: DataFrame) -> DataFrame:
+    """The pairs of classes that share a bucket, lie in different components, can be similar and aren't ``tried`` yet:
+    (a, b, n_a, n_b, doc_a, doc_b). Pairs of small buckets are joined and summed, at most JOIN_MEMBERS / 2 rows for a member;
+    a pair that shares small buckets only is summed exactly. The others meet in large buckets."""
+    sizes = members.groupBy("key").count().filter(F.col("count") > JOIN_MEMBERS)
+    large = store(sizes.select("key", F.ceil(F.col("count") / PART_CLASSES).alias("parts")), "op4-large")
+    keys = large.count()
+    small = members.join(bounded(large, keys), "key", "left_anti")
+    x = small.select("key", F.col("cid").alias("a"), F.col("label").alias("label_a"), F.col("n").alias("n_a"), F.col("degree").alias("d_a"), "count")
+    y = small.select("key", F.col("cid").alias("b"), F.col("label").alias("label_b"), F.col("n").alias("n_b"), F.col("degree").alias("d_b"))
+    pairs = (x.join(y, "key").filter("a < b AND label_a <> label_b").filter(_possible("n_a", "d_a", "n_b", "d_b"))
+             .select("a", "b", "count", "n_a", "n_b"))
+    found = _promising(pairs, reps, tried)
+    if not keys:
+        return found
+    return found.union(_large(members.join(bounded(large, keys), "key"), reps, tried)).dropDuplicates(["a", "b"])
+
+
+def _large(members: DataFrame, reps: DataFrame, tried: DataFrame) -> DataFrame:
+    """The same for members of large buckets, whose pairs would be rows by the square of their number: they meet in one
+    task, or part by part if they are many, and are compared there by signature, so that only pairs to verify become rows."""
+    deals = max(shuffle_width(members.sparkSession), members.count() // DEAL_ENTRIES)
+    at = members.withColumn("part", F.expr("pmod(xxhash64(cid, 7), parts)")).withColumn(
+        "other", F.explode(F.expr("sequence(0, parts - 1)"))).select(
+        "cid", "label", "n", "degree", "key", "part", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"))
+    at = at.withColumn("deal", F.pmod(F.xxhash64("key", "lo", "hi"), F.lit(deals)))
+    named = members.groupBy("cid").agg(F.count("*").alias("keys"), F.collect_list(F.struct("key", "count")).alias("named")).select(
+        "cid", *[F.expr(f"IF(keys <= {NAMED_KEYS}, named.{c}, NULL)").alias(x) for c, x in (("key", "named"), ("count", "counts"))])
+    packed = at.groupBy("cid", "deal").agg(
+        *[F.first(c).alias(c) for c in ("label", "n", "degree")], F.collect_list(F.struct("key", "lo", "hi", "part")).alias("at"))
+    packed = packed.join(named, "cid").join(reps.select("cid", "sig"), "cid").select(
+        "deal", "cid", "label", "n", "degree", "sig", "named", "counts", *[F.col(f"at.{c}").alias(c) for c in ("key", "lo", "hi", "part")])
+    pairs = packed.groupBy("deal").applyInPandas(_compare, "a long, b long, n_a long, n_b long").dropDuplicates(["a", "b"])
+    pairs = pairs.join(tried, ["a", "b"], "left_anti")
+    for x in ("a", "b"):
+        pairs = pairs.join(reps.select(F.col("cid").alias(x), F.col("doc_id").alias(f"doc_{x}")), x)
+    return pairs.select("a", "b", "n_a", "n_b", "doc_a", "doc_b")
 
 
 def ngram_join(docs: DataFrame) -> DataFrame:
@@ -397,7 +498,7 @@ def ngram_join(docs: DataFrame) -> DataFrame:
         # A class shares no more of its prefix with another than with all others together.
         degree = named.groupBy("cid").agg(F.sum("count").alias("degree")).join(bounded(reps.select("cid", "n"), classes), "cid")
         members = store(named.join(degree, "cid"), "op4-open")
-        more = store(_promising(step(members), reps, first.select("a", "b")), "op4-more")
+        more = store(step(members, reps, first.select("a", "b")), "op4-more")
         if more.limit(1).count():
             labels = connected_components(store(_links(docs, more), "op4-links"), known=labels)
             first = store(first.union(more), "op4-first")
