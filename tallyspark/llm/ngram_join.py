@@ -62,10 +62,10 @@ COMMON_IN_SAMPLE = 2
 #: So many of the commonest shingles at most are told to the tasks (16 bytes each).
 MAX_COMMON = 1 << 18
 #: Prefix entries per fragment, pairs per block, vertical fragments that a block has at most and shingles of its pairs in each.
-FRAGMENT_ENTRIES = 500_000
-BLOCK_PAIRS = 5_000
+FRAGMENT_ENTRIES = 150_000
+BLOCK_PAIRS = 1_000
 VERTICAL = 32
-PART_SHINGLES = 4_000_000
+PART_SHINGLES = 500_000
 #: Documents that a task packs together.
 SLICE_ROWS = 2_500
 #: Words of 64 bits that a signature has at least.
